@@ -123,7 +123,8 @@ def lag_rows(c: str, k: int, w: Window) -> Column:
 
 def group_rank(df: DataFrame, group: str, order_col: str, descending: bool = True,
                name: str = "rank", target_rows: int = 2_000_000, max_buckets: int = 1024,
-               accuracy: int = 10_000, partitions: int | None = None) -> DataFrame:
+               accuracy: int = 10_000, partitions: int | None = None,
+               tiebreak: Sequence[str] = ()) -> DataFrame:
     """SQL ``RANK()`` of ``order_col`` within ``group``, splitting hot groups.
 
     Group sizes are checked first (a partial-aggregate count). When every
@@ -134,13 +135,14 @@ def group_rank(df: DataFrame, group: str, order_col: str, descending: bool = Tru
     the number of the group's rows in higher ranges. The rank stays exact:
     approximation only moves where the cuts fall. NULL values get a NULL rank
     (pandas semantics)."""
-    key = F.desc_nulls_last(order_col) if descending else F.asc_nulls_last(order_col)
+    key = [F.desc_nulls_last(order_col) if descending else F.asc_nulls_last(order_col)]
+    key += [F.asc_nulls_last(c) for c in tiebreak]
     v = F.col(order_col)
     sizes = materialize(df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn")))
     largest = sizes.agg(F.max("_gn")).head()[0] or 0
     n_buckets = min(max_buckets, -(-largest // target_rows))
     if n_buckets <= 1:
-        r = F.rank().over(Window.partitionBy(group).orderBy(key))
+        r = F.rank().over(Window.partitionBy(group).orderBy(*key))
         return df.withColumn(name, F.when(v.isNotNull(), r))
     probs = [k / n_buckets for k in range(1, n_buckets)]
     hot = sizes.filter(F.col("_gn") > target_rows).select(group)
@@ -153,7 +155,7 @@ def group_rank(df: DataFrame, group: str, order_col: str, descending: bool = Tru
     else:
         bucket = F.size(F.filter(F.col("_cuts"), lambda c: c < v))
     x = x.withColumn("_rb", F.when(F.col("_cuts").isNull() | v.isNull(), F.lit(0)).otherwise(bucket)).drop("_cuts")
-    local = x.withColumn("_lr", F.rank().over(Window.partitionBy(group, "_rb").orderBy(key)))
+    local = x.withColumn("_lr", F.rank().over(Window.partitionBy(group, "_rb").orderBy(*key)))
     counts = x.groupBy(group, "_rb").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(group).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
