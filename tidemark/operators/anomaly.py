@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import ratio_below, ratio_exceeds
-from tidemark.operators.series import materialize, sized_join, with_entity_windows
+from tidemark.operators.series import materialize, sized_join, stage, with_entity_windows
 
 # Default thresholds and model settings.
 FLASH_CRASH_DROP = -0.08
@@ -111,14 +111,18 @@ def anomaly_score(df: DataFrame, flags: Sequence[str] = ANOMALY_FLAGS) -> DataFr
 
 
 def run_anomaly_pipeline(df: DataFrame, isolation_forest: bool = True, lof: bool = True,
-                         seed: int = 42, accuracy: int | None = None, **chunking) -> DataFrame:
-    """M2: J5-J8 on the entity frame, then J9/J10 per snapshot, then J11."""
+                         seed: int = 42, accuracy: int | None = None, checkpoint: bool = True,
+                         **chunking) -> DataFrame:
+    """M2: J5-J8 on the entity frame, then J9/J10 per snapshot, then J11.
+
+    Stage boundary before the models: LOF and the forest read their input
+    several times (medians, counts, blocks, neighbours)."""
     out = step_flags(df, **chunking)
     out = group_zscores(out, {"volume_24h": "volume_zscore", "market_cap": "market_cap_zscore"})
-    out = out.withColumns({
+    out = stage(out.withColumns({
         "is_volume_spike": F.coalesce(F.abs("volume_zscore") > ZSCORE_THRESHOLD, F.lit(False)),
         "is_market_cap_anomaly": F.coalesce(F.abs("market_cap_zscore") > ZSCORE_THRESHOLD, F.lit(False)),
-    })
+    }), checkpoint)
     out = ml_anomalies(out, isolation_forest=isolation_forest, lof=lof, seed=seed, accuracy=accuracy)
     return anomaly_score(out)
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import nan_to_null
+from tidemark.operators.series import stage
 from tidemark.operators.stats import median, quantiles
 from tidemark.schema import MEDIAN_FILL_COLUMNS, NUMERIC_COLUMNS, PERCENT_COLUMNS
 
@@ -242,11 +243,13 @@ class Stages:
 
 
 def clean_stages(raw: DataFrame, now=None, isolation_forest: bool = True,
-                 accuracy: int | None = None, order: str = "ingest_ord") -> Stages:
+                 accuracy: int | None = None, order: str = "ingest_ord", checkpoint: bool = True) -> Stages:
     typed = enforce_dtypes(raw)
     missing = handle_missing(typed, accuracy)
     a, b, c = remove_duplicates(missing, order)
-    checked = consistency_checks(c, now)
+    # stage boundary: the outlier statistics are a dozen global aggregates
+    # over the checked rows; they read the written rows, not the dedup plan
+    checked = stage(consistency_checks(c, now), checkpoint)
     flagged = outlier_flags(checked, isolation_forest=isolation_forest, accuracy=accuracy)
     keep = list(checked.columns) + ["any_outlier_flag"]
     clean = flagged.select(*keep).withColumnRenamed("any_outlier_flag", "is_outlier")
@@ -254,10 +257,10 @@ def clean_stages(raw: DataFrame, now=None, isolation_forest: bool = True,
 
 
 def clean_pipeline(raw: DataFrame, now=None, isolation_forest: bool = True,
-                   accuracy: int | None = None, order: str = "ingest_ord") -> DataFrame:
+                   accuracy: int | None = None, order: str = "ingest_ord", checkpoint: bool = True) -> DataFrame:
     """Types → missing → duplicates → rules → outlier flag (G9); the flag is
     attached as ``is_outlier`` (C7: a column, not a join)."""
-    return clean_stages(raw, now, isolation_forest, accuracy, order).clean
+    return clean_stages(raw, now, isolation_forest, accuracy, order, checkpoint).clean
 
 
 def cleaning_audit(raw: DataFrame, now=None, isolation_forest: bool = True,

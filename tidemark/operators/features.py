@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import pct_change, safe_div
 from tidemark.operators.series import (DEFAULT_CHUNK_ROWS, group_rank, materialize, sized_join,
-                                       with_entity_windows)
+                                       stage, with_entity_windows)
 from tidemark.operators.stats import median
 
 # Rolling windows (rows), lag lengths at 30-minute cadence,
@@ -141,11 +141,15 @@ def add_market_structure(df: DataFrame, time: str = "snapshot_time", entity: str
 
 
 def build_feature_set(clean: DataFrame, entity: str = "symbol", time: str = "snapshot_time",
-                      chunk_rows: int = DEFAULT_CHUNK_ROWS, accuracy: int | None = None) -> DataFrame:
-    """M1: calendar → per-entity returns/rolling → cross-section (41 columns)."""
+                      chunk_rows: int = DEFAULT_CHUNK_ROWS, accuracy: int | None = None,
+                      checkpoint: bool = True) -> DataFrame:
+    """M1: calendar → per-entity returns/rolling → cross-section (41 columns).
+
+    Two stage boundaries: after the entity-keyed windows (the cross-section's
+    snapshot aggregates and rank read them twice) and at the end."""
     df = add_timestamp_features(clean, time)
-    df = add_return_features(df, entity, time, chunk_rows=chunk_rows)
-    return add_market_structure(df, time, entity, accuracy=accuracy)
+    df = stage(add_return_features(df, entity, time, chunk_rows=chunk_rows), checkpoint)
+    return stage(add_market_structure(df, time, entity, accuracy=accuracy), checkpoint)
 
 
 # --------------------------------------------------------------------------- E17

@@ -40,6 +40,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, enabled: bool = True) -> DataFrame:
+    """Pipeline stage boundary: write the frame once to the shared checkpoint
+    folder and continue from there. Later size checks, scalar subqueries and
+    joins then read the written rows instead of re-running the stage's whole
+    lineage, and a lost executor costs one stage, not the job."""
+    return materialize(df) if enabled else df
+
+
 def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Join with ``small`` broadcast only when its row count is checked to be
