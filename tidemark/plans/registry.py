@@ -38,4 +38,5 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from tidemark.plans import (q_library, q_cleaning, q_features, q_anomaly,  # noqa: F401
-                                q_reports, q_sources, q_timeseries, q_cluster, q_streams)
+                                q_reports, q_sources, q_timeseries, q_cluster, q_streams,
+                                q_charts)
