@@ -59,21 +59,22 @@ def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
 
 def _bucket_offsets(df: DataFrame, entity: str, bucket_col: str, chunk_rows: int,
-                    lookback: int) -> DataFrame:
+                    lookback: int, lookahead: int = 0) -> DataFrame:
     counts = df.groupBy(entity, bucket_col).agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(entity).orderBy(F.asc_nulls_last(bucket_col))
          .rowsBetween(Window.unboundedPreceding, -1))
     before = F.coalesce(F.sum("_n").over(w), F.lit(0))
     total = F.sum("_n").over(Window.partitionBy(entity))
     return (counts.withColumn("_before", before)
-            .select(entity, bucket_col, "_before", total.alias("_total"),
+            .select(entity, bucket_col, "_before", total.alias("_total"), "_n",
                     F.floor(F.col("_before") / chunk_rows).alias("_home"),
+                    F.floor(F.greatest(F.col("_before") - lookahead, F.lit(0)) / chunk_rows).alias("_first"),
                     F.floor((F.col("_before") + F.col("_n") - 1 + lookback) / chunk_rows).alias("_last")))
 
 
 def chunked(df: DataFrame, entity: str = "symbol", time: str = "snapshot_time",
             chunk_rows: int = DEFAULT_CHUNK_ROWS, lookback: int = DEFAULT_LOOKBACK,
-            bucket: str = "day") -> DataFrame:
+            bucket: str = "day", lookahead: int = 0) -> DataFrame:
     """Add ``_chunk``, ``_home``, ``_bkt``, ``_before``, ``_total`` to every row,
     copying halo rows.
 
@@ -85,13 +86,20 @@ def chunked(df: DataFrame, entity: str = "symbol", time: str = "snapshot_time",
     if chunk_rows <= 0 or lookback < 0:
         raise ValueError("chunk_rows must be positive and lookback non-negative")
     keyed = df.withColumn("_bkt", F.date_trunc(bucket, F.col(time)))
-    offsets = _bucket_offsets(keyed, entity, "_bkt", chunk_rows, lookback)
+    offsets = _bucket_offsets(keyed, entity, "_bkt", chunk_rows, lookback, lookahead)
     offsets = materialize(offsets.withColumnRenamed(entity, "_ent").withColumnRenamed("_bkt", "_obkt"))
+    if lookahead > 0:
+        # a chunk's home rows end inside its last bucket, which may run past the
+        # nominal chunk end by up to one bucket: reach back that much further
+        widest = offsets.agg(F.max("_n")).head()[0] or 0
+        back = -(-widest // chunk_rows)
+        offsets = offsets.withColumn("_first", F.greatest(F.col("_first") - back, F.lit(0)))
+    offsets = offsets.drop("_n")
     cond = keyed[entity].eqNullSafe(offsets["_ent"]) & keyed["_bkt"].eqNullSafe(offsets["_obkt"])
     joined = sized_join(keyed, offsets, cond).drop("_ent", "_obkt")
-    return (joined.withColumn("_chunk", F.explode(F.sequence(F.col("_home"), F.col("_last"))))
+    return (joined.withColumn("_chunk", F.explode(F.sequence(F.col("_first"), F.col("_last"))))
             .withColumn("_home", F.col("_chunk") == F.col("_home"))
-            .drop("_last"))
+            .drop("_first", "_last"))
 
 
 def entity_window(entity: str, time: str, tiebreak: Sequence[str] = ()) -> Window:
@@ -113,14 +121,16 @@ def ordinal(entity: str, time: str, tiebreak: Sequence[str] = ()) -> Column:
 def with_entity_windows(df: DataFrame, build: Callable[[DataFrame, Window], DataFrame],
                         entity: str = "symbol", time: str = "snapshot_time",
                         tiebreak: Sequence[str] = (), chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                        lookback: int = DEFAULT_LOOKBACK, bucket: str = "day") -> DataFrame:
+                        lookback: int = DEFAULT_LOOKBACK, bucket: str = "day",
+                        lookahead: int = 0) -> DataFrame:
     """Run ``build(frame, window)`` over chunked entity histories.
 
     ``build`` adds columns using ``window`` (row frames looking back at most
-    ``lookback`` rows); it may also use ``ordinal(...)`` and the ``_total``
-    column. The result keeps each input row exactly once.
+    ``lookback`` rows and ahead at most ``lookahead``); it may also use
+    ``ordinal(...)`` and the ``_total`` column. The result keeps each input
+    row exactly once.
     """
-    frame = chunked(df, entity, time, chunk_rows, lookback, bucket)
+    frame = chunked(df, entity, time, chunk_rows, lookback, bucket, lookahead)
     out = build(frame, entity_window(entity, time, tiebreak))
     return out.filter(F.col("_home")).drop("_home", "_chunk", "_bkt", "_before", "_total")
 
