@@ -18,6 +18,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import duckdb  # noqa: E402
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tidemark.fixtures import TABLES  # noqa: E402
 

@@ -48,6 +48,8 @@ def lof_scores(df: DataFrame, cols: Sequence[str], group: str = "snapshot_time",
     """Add ``lof_score`` (NULL for groups under ``min_rows``)."""
     cols = list(cols)
     sort_col = sort_col or cols[0]
+    # a block must hold k + 1 rows so the in-block bound sees k other points
+    block_rows = max(block_rows, k_max + 1)
     feat = [f"_x{i}" for i in range(len(cols))]
     meds = df.groupBy(group).agg(*[median(c, accuracy).alias(f"_m{i}") for i, c in enumerate(cols)])
     base = sized_join(df, materialize(meds), group, "left")
