@@ -59,17 +59,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """Return the session's active checkpoint folder, setting it once.
 
-    On a cluster the setting must name a shared folder; the library never
-    falls back to a machine-local one there. A local-mode session without the
-    setting (tests, the driver's smoke check) gets a fresh scratch folder.
-    """
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder; the
+    library never falls back to a machine-local one there. A local-mode
+    session without the setting (tests, the driver's smoke check) gets a fresh
+    scratch folder. Spark adds its own sub-folder when the folder is set, so
+    it is set only when none is active."""
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    active = sc.getCheckpointDir()
+    if active:
+        return active
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for the cluster")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TIDEMARK_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir() or path
