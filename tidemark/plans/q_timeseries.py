@@ -103,3 +103,41 @@ def q_stitch(spark, sf):
     fc, _ = _linear(spark, sf)
     out = TS.stitch_tail_and_forecast(bars(spark, sf), fc)
     return out.withColumn("forecast", fix6("forecast"))
+
+
+@query("adf_test")
+def q_adf(spark, sf):
+    """Augmented Dickey-Fuller per symbol (AIC lag choice, MacKinnon p-value)."""
+    from tidemark.operators.models import adf_test
+    return adf_test(bars(spark, sf))
+
+
+@query("forecast_arima")
+def q_arima(spark, sf):
+    """ARIMA(2,1,2) by Hannan-Rissanen, 12 steps with 95 % bands."""
+    from tidemark.operators.models import forecast_arima
+    fc, _ = forecast_arima(bars(spark, sf), backtest=False)
+    return fc
+
+
+@query("arima_backtest_metrics")
+def q_arima_metrics(spark, sf):
+    """80/20 backtest of ARIMA(2,1,2)."""
+    from tidemark.operators.models import forecast_arima
+    _, m = forecast_arima(bars(spark, sf), steps=1)
+    return m
+
+
+@query("forecast_sarima")
+def q_sarima(spark, sf):
+    """SARIMA(1,1,1)(1,1,1,48), 12 steps with 95 % bands."""
+    from tidemark.operators.models import forecast_sarima
+    fc, _ = forecast_sarima(bars(spark, sf), backtest=False)
+    return fc
+
+
+@query("forecast_trend_seasonal")
+def q_trend_seasonal(spark, sf):
+    """Trend + daily/weekly seasonality forecast every 30 minutes, 80 % band."""
+    from tidemark.operators.models import forecast_trend_seasonal
+    return forecast_trend_seasonal(bars(spark, sf))
