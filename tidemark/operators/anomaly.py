@@ -124,7 +124,7 @@ def run_anomaly_pipeline(df: DataFrame, isolation_forest: bool = True, lof: bool
         "is_market_cap_anomaly": F.coalesce(F.abs("market_cap_zscore") > ZSCORE_THRESHOLD, F.lit(False)),
     }), checkpoint)
     out = ml_anomalies(out, isolation_forest=isolation_forest, lof=lof, seed=seed, accuracy=accuracy)
-    return anomaly_score(out)
+    return stage(anomaly_score(out), checkpoint)
 
 
 def filter_flagged(df: DataFrame, time: str = "snapshot_time") -> DataFrame:

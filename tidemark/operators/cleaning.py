@@ -247,9 +247,10 @@ def clean_stages(raw: DataFrame, now=None, isolation_forest: bool = True,
     typed = enforce_dtypes(raw)
     missing = handle_missing(typed, accuracy)
     a, b, c = remove_duplicates(missing, order)
-    # stage boundary: the outlier statistics are a dozen global aggregates
-    # over the checked rows; they read the written rows, not the dedup plan
-    checked = stage(consistency_checks(c, now), checkpoint)
+    # stage boundary after the two de-duplication shuffles: the rule filters,
+    # a dozen global outlier statistics and the audit all read written rows
+    c = stage(c, checkpoint)
+    checked = consistency_checks(c, now)
     flagged = outlier_flags(checked, isolation_forest=isolation_forest, accuracy=accuracy)
     keep = list(checked.columns) + ["any_outlier_flag"]
     clean = flagged.select(*keep).withColumnRenamed("any_outlier_flag", "is_outlier")
@@ -279,34 +280,44 @@ def cleaning_audit(raw: DataFrame, now=None, isolation_forest: bool = True,
         return d.select(F.count(F.lit(1))).scalar()
 
     metrics: list[tuple[str, Column]] = [
-        ("rows_dropped_no_price", cnt(t) - cnt(after_drop)),
+        ("rows_dropped_no_price",
+         t.select(F.count_if(F.col("price").isNull() | F.col(idc).isNull())).scalar()),
     ]
+    fills = [c for c in PERCENT_COLUMNS + MEDIAN_FILL_COLUMNS if c in t.columns]
+    nulls = after_drop.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in fills])
     for c in PERCENT_COLUMNS:
         if c in t.columns:
-            metrics.append((f"{c}_imputed_with_zero", cnt(after_drop, F.col(c).isNull())))
-    med_input = impute_zero(after_drop)
+            metrics.append((f"{c}_imputed_with_zero", nulls.select(c).scalar()))
     for c in MEDIAN_FILL_COLUMNS:
         if c in t.columns:
-            metrics.append((f"{c}_imputed_with_median", cnt(med_input, F.col(c).isNull())))
+            metrics.append((f"{c}_imputed_with_median", nulls.select(c).scalar()))
     metrics += [
         ("duplicate_coin_snapshot_rows_removed", cnt(s.missing) - cnt(s.dedup_id)),
         ("duplicate_symbol_timestamp_rows_removed", cnt(s.dedup_id) - cnt(s.dedup_symbol)),
         ("exact_duplicate_rows_removed", cnt(s.dedup_symbol) - cnt(s.dedup_exact)),
     ]
+    # the rule stages are successive filters of the de-duplicated rows, so
+    # their counts come from one pass over them (each predicate includes the
+    # filters of the stages before it)
     c0 = s.dedup_exact
-    c1 = drop_negative_price(c0)
-    c2 = null_negative_cap(c1)
-    c3 = drop_null_symbol(c2)
-    c4 = null_invalid_rank(c3)
+    ok_price = F.col("price") >= 0
+    ok_symbol = F.col("symbol").isNotNull() & ~F.col("symbol").isin(NULL_SYMBOLS)
+    rules = c0.agg(
+        F.count_if(F.col("price") < 0).alias("neg_price"),
+        F.count_if(ok_price & (F.col("market_cap") < 0)).alias("neg_cap"),
+        F.count_if(ok_price & F.col("symbol").isin(NULL_SYMBOLS)).alias("null_symbol"),
+        (F.count_if(ok_price & ok_symbol & (F.col("cmc_rank") <= 0)) if "cmc_rank" in c0.columns
+         else F.lit(0)).alias("bad_rank"),
+        F.count_if(ok_price & ok_symbol & (F.col("snapshot_time") > _now(now))).alias("future"))
     metrics += [
-        ("negative_price_rows_removed", cnt(c0, F.col("price") < 0)),
-        ("negative_market_cap_flagged", cnt(c1, F.col("market_cap") < 0)),
-        ("null_symbol_rows_removed", cnt(c2, F.col("symbol").isin(NULL_SYMBOLS))),
+        ("negative_price_rows_removed", rules.select("neg_price").scalar()),
+        ("negative_market_cap_flagged", rules.select("neg_cap").scalar()),
+        ("null_symbol_rows_removed", rules.select("null_symbol").scalar()),
     ]
-    if "cmc_rank" in c3.columns:
-        metrics.append(("invalid_rank_flagged", cnt(c3, F.col("cmc_rank") <= 0)))
+    if "cmc_rank" in c0.columns:
+        metrics.append(("invalid_rank_flagged", rules.select("bad_rank").scalar()))
     metrics += [
-        ("future_timestamp_rows_removed", cnt(c4, F.col("snapshot_time") > _now(now))),
+        ("future_timestamp_rows_removed", rules.select("future").scalar()),
         ("outliers_detected", cnt(s.flagged, F.col("any_outlier_flag"))),
     ]
     row = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(n).alias("metric"), v.cast("bigint").alias("value"))

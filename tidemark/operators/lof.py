@@ -51,8 +51,11 @@ def lof_scores(df: DataFrame, cols: Sequence[str], group: str = "snapshot_time",
     # a block must hold k + 1 rows so the in-block bound sees k other points
     block_rows = max(block_rows, k_max + 1)
     feat = [f"_x{i}" for i in range(len(cols))]
-    meds = df.groupBy(group).agg(*[median(c, accuracy).alias(f"_m{i}") for i, c in enumerate(cols)])
-    base = sized_join(df, materialize(meds), group, "left")
+    # the neighbour search reads its input several times: write the narrow
+    # projection once instead of re-running the input's plan for each pass
+    src = materialize(df.select(group, key, *cols))
+    meds = src.groupBy(group).agg(*[median(c, accuracy).alias(f"_m{i}") for i, c in enumerate(cols)])
+    base = sized_join(src, materialize(meds), group, "left")
     base = base.withColumns({f: F.coalesce(F.col(c).cast("double"), F.col(f"_m{i}"))
                              for i, (f, c) in enumerate(zip(feat, cols))})
     # a column missing in a whole group stays NULL after the fill: such rows
