@@ -25,6 +25,8 @@ def query(name: str, oracle: str | None = None):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # results are defined on UTC wall-clock time (as the oracle reads them)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return to_ntz(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
