@@ -159,8 +159,15 @@ def isolation_forest_scores(df: DataFrame, cols: Sequence[str], group: str | Non
         h = F.xxhash64(F.col("_if_key"), t)
         return F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30)
 
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: (unit(t) < F.col("_frac")) | (F.col("_frac") >= 1.0))
-    drawn = keyed.select(gcol, "_n", "_salts", *feat, "_if_key", F.explode(trees).alias("_tree"))
+    # one hash per row first: a row can enter some tree only with probability
+    # g = min(1, 1.2 * trees * frac); among those rows a tree takes each with
+    # frac / g, so every tree still draws a uniform frac-sample while only
+    # about g of the rows pay for the per-tree hashes
+    g = F.least(F.lit(1.0), F.lit(1.2 * n_trees) * F.col("_frac"))
+    pre = keyed.filter(unit(F.lit(-1)) < g)
+    cond = F.col("_frac") / g
+    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: (unit(t) < cond) | (cond >= 1.0))
+    drawn = pre.select(gcol, "_n", "_salts", *feat, "_if_key", F.explode(trees).alias("_tree"))
     psi = F.least(F.lit(max_samples), F.col("_n"))
     from pyspark.sql import Window
     w = Window.partitionBy(gcol, "_tree").orderBy(F.xxhash64(F.col("_if_key"), F.col("_tree")), "_if_key")

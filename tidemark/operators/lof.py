@@ -18,7 +18,9 @@ Exact k-nearest neighbours without comparing all pairs:
      range meets [x - r, x + r] are scanned (a contiguous run of blocks);
      each (point, block) pair keeps its candidates within r, and the k best
      over all scanned blocks are the exact neighbours.
-Work is O(n · block_rows · blocks touched), memory per task one block.
+Blocks hold max(block_rows, sqrt(n)) rows, so per point the block-range
+lookup and the scan of the blocks touched cost O(sqrt n); memory per task is
+one block.
 """
 
 from __future__ import annotations
@@ -69,8 +71,11 @@ def lof_scores(df: DataFrame, cols: Sequence[str], group: str = "snapshot_time",
     pts = sized_join(pts, counts, group).withColumn("_k", F.least(F.lit(k_max), F.col("_n") - 1))
     pts = pts.filter(F.col("_n") >= min_rows)
     pts = group_rank(pts, group, sx, descending=False, name="_pos", tiebreak=[key])
-    last_block = F.greatest(F.floor(F.col("_n") / block_rows) - 1, F.lit(0))
-    pts = pts.withColumn("_blk", F.least(F.floor((F.col("_pos") - 1) / block_rows), last_block))
+    # rows per block: at least ``block_rows`` and sqrt(n), so both the block
+    # range lookup and the block scan cost O(sqrt n) per point in a huge group
+    bsz = F.greatest(F.lit(block_rows), F.ceil(F.sqrt(F.col("_n").cast("double"))))
+    last_block = F.greatest(F.floor(F.col("_n") / bsz) - 1, F.lit(0))
+    pts = pts.withColumn("_blk", F.least(F.floor((F.col("_pos") - 1) / bsz), last_block))
 
     # 2. upper bound on the k-distance from the ±k rows in sort order (within the block)
     me = [F.col(f) for f in feat]
