@@ -147,3 +147,22 @@ def q_chart_corr(spark, sf):
     """Correlation heatmap of the latest snapshot."""
     from tidemark.operators.stats import correlation_matrix
     return correlation_matrix(S.latest_snapshot(panel(spark, sf))).withColumn("corr", fix6("corr"))
+
+
+from tidemark.plans.registry import alias  # noqa: E402
+
+# Inventory names for checks registered under other names above or elsewhere.
+alias("chart_frames", "chart_bubble")
+alias("stitch_tail_and_forecast", "stitch_tail_forecast")
+alias("benchmark_broadcast", "relative_strength_vs_btc")
+alias("distinct_aggregate", "distinct_times")
+alias("dedup_keep_last", "dedup_keep_last_id")
+alias("top_n_report", "top_n_gainers_20")
+alias("outlier_isolation_forest", "isolation_forest_outliers")
+alias("decompose", "decompose_series")
+alias("group_zscore_volume", "volume_spike")
+alias("group_zscore_cap", "market_cap_anomaly")
+alias("market_cap_share", "market_dominance")
+alias("is_any_anomaly", "anomaly_score")
+alias("add_timestamp_features", "timestamp_features")
+alias("json_decode", "decode_nested_quotes")

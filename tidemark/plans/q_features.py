@@ -192,3 +192,44 @@ def feature_select(df):
 def q_feature_set(spark, sf):
     """M1: calendar → per-entity returns/rolling → cross-section, all 41 added columns."""
     return feature_select(FE.build_feature_set(panel(spark, sf)))
+
+
+# One query per inventory line of the per-entity and cross-section features.
+_rq("rolling_mean", [f"rolling_mean_{n}" for n in FE.ROLLING_WINDOWS], "E2: rolling mean over 3, 6, 12, 24 rows.")
+_rq("rolling_median", [f"rolling_median_{n}" for n in FE.ROLLING_WINDOWS], "E3: rolling interpolated median.")
+_rq("rolling_std", [f"rolling_std_{n}" for n in FE.ROLLING_WINDOWS], "E4: rolling sample std (NULL on one row).")
+_rq("moving_average_12", ["moving_average_12"], "E5: 12-row moving average.")
+_rq("price_momentum", ["price_momentum"], "E7: first difference of price.")
+_rq("price_acceleration", ["price_acceleration"], "E8: second difference of price.")
+_rq("price_change_velocity", ["price_change_velocity"], "E9: price change per second.")
+_rq("rolling_volatility_24", ["rolling_volatility_24"], "E11: std of hourly returns over 24 rows.")
+_rq("sharpe_ratio_simplified", ["sharpe_ratio_simplified"], "E13: mean/std of hourly returns over 24 rows.")
+_rq("volume_growth", ["volume_growth", "market_cap_growth"], "E12: one-step volume and cap growth.")
+
+
+def _msq(name, cols, doc):
+    sel = ", ".join(c if c in MS_FIXED else f"{fix6_sql(c)} AS {c}" for c in cols)
+
+    @query(name, P + MS_SQL.format(m="percent_change_24h", src="panel") + f"SELECT symbol, snapshot_time, {sel} FROM ms")
+    def q(spark, sf):
+        out = FE.add_market_structure(panel(spark, sf))
+        return out.select("symbol", "snapshot_time", *[F.col(c) if c in MS_FIXED else fix6(c).alias(c) for c in cols])
+    q.__doc__ = doc
+    return q
+
+
+_msq("market_dominance", ["market_dominance", "market_cap_share"], "F1: cap share of the snapshot total.")
+_msq("volume_share", ["volume_share"], "F2: volume share of the snapshot total.")
+_msq("volume_to_marketcap_ratio", ["volume_to_marketcap_ratio"], "F3: volume / cap.")
+_msq("price_rank", ["price_rank"], "F4: descending price rank in the snapshot, ties share the lowest.")
+
+
+@query("rounding_functions", P + """
+SELECT snapshot_time, CAST(sum(CAST(percent_change_24h > 0 AS INTEGER)) AS BIGINT) AS n_up,
+       round_even(avg(volume_24h) / 7.0, 2) AS volume_round2 FROM panel GROUP BY snapshot_time""")
+def q_rounding(spark, sf):
+    """Half-even rounding to 2 decimals and boolean sums."""
+    p = panel(spark, sf)
+    return p.groupBy("snapshot_time").agg(
+        F.sum((F.col("percent_change_24h") > 0).cast("int")).cast("bigint").alias("n_up"),
+        F.bround(F.avg("volume_24h") / 7.0, 2).alias("volume_round2"))

@@ -132,3 +132,12 @@ def q_foreach_batch(spark, sf):
     return out.select("symbol", "snapshot_time", "price", "hourly_return", "daily_return",
                       fix6("rolling_mean_3").alias("rolling_mean_3"),
                       fix6("market_dominance").alias("market_dominance"), "price_rank")
+
+
+@query("stream_price_spike", T + f"""
+SELECT symbol, snapshot_time,
+  coalesce(price / nullif(LAG(price) OVER {W}, 0) - 1 > 0.1 OR (LAG(price) OVER {W} = 0 AND price > 0), false) AS is_price_spike
+FROM tape QUALIFY snapshot_time <= {_WM}""")
+def q_stream_spike(spark, sf):
+    """S3: the price-spike alert from the same keyed state."""
+    return _steps(spark, sf).select("symbol", "snapshot_time", "is_price_spike")

@@ -42,3 +42,12 @@ def load_all() -> None:
     from tidemark.plans import (q_library, q_cleaning, q_features, q_anomaly,  # noqa: F401
                                 q_reports, q_sources, q_timeseries, q_cluster, q_streams,
                                 q_charts)
+
+
+def alias(new: str, existing: str) -> None:
+    """Register an existing check under the inventory's name for the operator."""
+    if new in QUERIES:
+        raise ValueError(f"duplicate query {new}")
+    QUERIES[new] = QUERIES[existing]
+    if existing in ORACLES:
+        ORACLES[new] = ORACLES[existing]
