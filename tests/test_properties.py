@@ -235,3 +235,15 @@ def test_hot_symbol_spreads_over_chunks(spark):
     a = _pdf(FE.add_return_features(df, chunk_rows=400, bucket="hour").select(*cols), ["symbol", "snapshot_time"])
     b = _pdf(FE.add_return_features(df).select(*cols), ["symbol", "snapshot_time"])
     pd.testing.assert_frame_equal(a, b, check_exact=False, rtol=1e-12)
+
+
+def test_exact_quantiles_bracket_path_equals_percentile(spark):
+    """The scalable path (sketch bracket + sort of the bracket) gives the
+    same numbers as Spark's exact percentile."""
+    from tidemark.operators.stats import exact_quantiles
+    df = tape(spark, SF_MID)
+    probs = [0.0, 0.03, 0.25, 0.5, 0.75, 0.97, 1.0]
+    for c in ("price", "volume_24h"):
+        got = exact_quantiles(df, c, probs, small=100)
+        ref = list(df.agg(F.percentile(c, F.array(*[F.lit(p) for p in probs]))).head()[0])
+        assert got == ref

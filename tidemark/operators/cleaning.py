@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.exprs import nan_to_null
 from tidemark.operators.series import stage
-from tidemark.operators.stats import median, quantiles
+from tidemark.operators.stats import global_quantiles, median, quantile_table
 from tidemark.schema import MEDIAN_FILL_COLUMNS, NUMERIC_COLUMNS, PERCENT_COLUMNS
 
 # Thresholds and the symbol spellings treated as missing.
@@ -105,8 +105,8 @@ def impute_median(df: DataFrame, cols: Sequence[str] = MEDIAN_FILL_COLUMNS, by:
     if not cols:
         return df
     if by is None:
-        meds = df.agg(*[median(c, accuracy).alias(c) for c in cols])
-        return df.withColumns({c: F.coalesce(F.col(c), meds.select(c).scalar()) for c in cols})
+        q = quantile_table(df, {c: [0.5] for c in cols}, accuracy)
+        return df.withColumns({c: F.coalesce(F.col(c), q[(c, 0.5)]) for c in cols})
     meds = df.groupBy(by).agg(*[median(c, accuracy).alias(f"_med_{c}") for c in cols])
     out = df.join(meds, by, "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}).drop(
@@ -185,11 +185,12 @@ def consistency_checks(df: DataFrame, now=None) -> DataFrame:
 
 # --------------------------------------------------------------------------- J1, J2, J4
 def zscore_flag(df: DataFrame, c: str, threshold: float | None = None,
-                accuracy: int | None = None) -> Column:
+                accuracy: int | None = None, med: Column | None = None) -> Column:
     """|z| > threshold, population std, NULLs filled with the median first;
     a zero std flags nothing (J1)."""
     threshold = ZSCORE_THRESHOLD if threshold is None else threshold
-    med = df.agg(median(c, accuracy).alias("m")).select("m").scalar()
+    if med is None:
+        med = global_quantiles(df, c, [0.5], accuracy)[0]
     filled = F.coalesce(F.col(c), med)
     stats = df.select(F.coalesce(F.col(c), med).alias("_v")).agg(
         F.avg("_v").alias("mu"), F.stddev_pop("_v").alias("sd"))
@@ -198,11 +199,10 @@ def zscore_flag(df: DataFrame, c: str, threshold: float | None = None,
 
 
 def iqr_flag(df: DataFrame, c: str, multiplier: float | None = None,
-             accuracy: int | None = None) -> Column:
+             accuracy: int | None = None, quartiles: tuple[Column, Column] | None = None) -> Column:
     """Outside [q1 - m*iqr, q3 + m*iqr]; NULL → false."""
     m = IQR_MULTIPLIER if multiplier is None else multiplier
-    q = df.agg(quantiles(c, (0.25, 0.75), accuracy).alias("q"))
-    q1, q3 = q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[1]).scalar()
+    q1, q3 = quartiles if quartiles is not None else global_quantiles(df, c, (0.25, 0.75), accuracy)
     iqr = q3 - q1
     v = F.col(c)
     return F.coalesce((v < q1 - m * iqr) | (v > q3 + m * iqr), F.lit(False))
@@ -214,9 +214,10 @@ def outlier_flags(df: DataFrame, cols: Sequence[str] = OUTLIER_COLUMNS, isolatio
     ``any_outlier_flag`` (J4). Global statistics: every row sees the same
     thresholds, computed once each as scalar subqueries."""
     flags = {}
+    qt = quantile_table(df, {c: (0.25, 0.5, 0.75) for c in cols}, accuracy)  # one batch for all columns
     for c in cols:
-        flags[f"{c}_zscore_outlier"] = zscore_flag(df, c, accuracy=accuracy)
-        flags[f"{c}_iqr_outlier"] = iqr_flag(df, c, accuracy=accuracy)
+        flags[f"{c}_zscore_outlier"] = zscore_flag(df, c, accuracy=accuracy, med=qt[(c, 0.5)])
+        flags[f"{c}_iqr_outlier"] = iqr_flag(df, c, accuracy=accuracy, quartiles=(qt[(c, 0.25)], qt[(c, 0.75)]))
     out = df.withColumns(flags)
     names = list(flags)
     if isolation_forest:

@@ -136,8 +136,9 @@ def isolation_forest_scores(df: DataFrame, cols: Sequence[str], group: str | Non
     feat = [f"_if_{c}" for c in cols]
     if fill == "median":
         if group is None:
-            meds = base.agg(*[median(c, accuracy).alias(c) for c in cols])
-            base = base.withColumns({f: F.coalesce(F.col(c).cast("double"), meds.select(c).scalar())
+            from tidemark.operators.stats import global_quantiles
+            base = base.withColumns({f: F.coalesce(F.col(c).cast("double"),
+                                                   global_quantiles(base, c, [0.5], accuracy)[0])
                                      for f, c in zip(feat, cols)})
         else:
             meds = base.groupBy(gcol).agg(*[median(c, accuracy).alias(f"_m_{c}") for c in cols])

@@ -1,14 +1,17 @@
 """Descriptive statistics as single aggregate passes.
 
 Each statistic is a partial aggregate (map-side combine), so a table of any
-size reduces to one small row per column before anything is shuffled. Exact
-quantiles use ``percentile`` (linear interpolation, as pandas and DuckDB's
-``quantile_cont``); pass ``accuracy`` to switch to ``percentile_approx`` when
-exact per-group value maps are too large.
+size reduces to one small row per column before anything is shuffled.
+Whole-column quantiles are exact without gathering the column
+(``exact_quantiles``: sketch bracket, count, sort only the bracket); grouped
+quantiles use ``percentile`` per group (linear interpolation, as pandas and
+DuckDB's ``quantile_cont``). ``accuracy`` switches either to
+``percentile_approx``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -45,8 +48,9 @@ def describe(df: DataFrame, cols: Sequence[str] = DESCRIBE_COLUMNS,
              accuracy: int | None = None) -> DataFrame:
     """count, mean, std (n-1), min, q25, q50, q75, max per column, nulls skipped."""
     structs = []
+    qt = quantile_table(df, {c: (0.25, 0.5, 0.75) for c in cols}, accuracy)
     for c in cols:
-        q = quantiles(c, (0.25, 0.5, 0.75), accuracy)
+        q = [qt[(c, p)] for p in (0.25, 0.5, 0.75)]
         structs.append(F.struct(
             F.lit(c).alias("column_name"), F.count(c).alias("count"), F.avg(c).alias("mean"),
             F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
@@ -82,8 +86,9 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLUMNS) -> Dat
 def median_and_quartiles(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """q1, median, q3 per column (D14), long form."""
     structs = []
+    qt = quantile_table(df, {c: (0.25, 0.5, 0.75) for c in cols}, accuracy)
     for c in cols:
-        q = quantiles(c, (0.25, 0.5, 0.75), accuracy)
+        q = [qt[(c, p)] for p in (0.25, 0.5, 0.75)]
         structs.append(F.struct(F.lit(c).alias("column_name"), q[0].alias("q1"),
                                 q[1].alias("median"), q[2].alias("q3")))
     return _long(df, structs)
@@ -105,3 +110,87 @@ def missing_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
         structs.append(F.struct(F.lit(c).alias("column_name"), n_missing.alias("missing_count"),
                                 F.bround(F.try_divide(n_missing * 100.0, total), 2).alias("missing_pct")))
     return _long(df, structs).orderBy(F.desc("missing_count"), "column_name")
+
+
+SMALL_EXACT = 5_000_000
+
+
+def quantile_table(df: DataFrame, spec: dict[str, Sequence[float]], accuracy: int | None = None,
+                   small: int = SMALL_EXACT) -> dict[tuple[str, float], Column]:
+    """Whole-column quantiles for several columns at once, as literal Columns.
+
+    Exact by default without gathering a big column: one pass counts every
+    column and brackets each needed rank with ``percentile_approx`` (error at
+    most n/sketch_accuracy ranks). Columns with at most ``small`` values then
+    take ``percentile`` in one shared pass; larger ones count the rows under
+    their brackets and sort only the bracketed values (about 4n/1e6) to pick
+    the two order statistics, interpolated exactly as ``percentile`` does.
+    With ``accuracy`` the quantiles are ``percentile_approx`` (lazy)."""
+    cols = list(spec)
+    if not cols:
+        return {}
+    val = {c: F.col(c).cast("double") for c in cols}
+    ok = {c: val[c].isNotNull() & ~F.isnan(val[c]) for c in cols}
+    if accuracy is not None:
+        out = {}
+        for c in cols:
+            q = df.agg(F.percentile_approx(F.when(ok[c], val[c]), F.array(*[F.lit(float(p)) for p in spec[c]]),
+                                           accuracy).alias("q"))
+            for i, p in enumerate(spec[c]):
+                out[(c, p)] = q.select(F.col("q")[i]).scalar()
+        return out
+    sketch = 1_000_000
+    eps = 2.0 / sketch
+    first = df.agg(*[F.count(F.when(ok[c], F.lit(1))).alias(f"n_{k}") for k, c in enumerate(cols)],
+                   *[F.percentile_approx(F.when(ok[c], val[c]),
+                                         F.array(*[F.lit(max(0.0, p - eps)) for p in spec[c]],
+                                                 *[F.lit(min(1.0, p + eps)) for p in spec[c]]), sketch)
+                     .alias(f"b_{k}") for k, c in enumerate(cols)]).head()
+    out: dict[tuple[str, float], Column] = {}
+    small_cols = [k for k, c in enumerate(cols) if first[f"n_{k}"] <= small]
+    if small_cols:
+        exact = df.agg(*[F.percentile(F.when(ok[cols[k]], val[cols[k]]),
+                                      F.array(*[F.lit(float(p)) for p in spec[cols[k]]])).alias(f"q_{k}")
+                         for k in small_cols]).head()
+        for k in small_cols:
+            for i, p in enumerate(spec[cols[k]]):
+                v = exact[f"q_{k}"][i] if exact[f"q_{k}"] is not None else None
+                out[(cols[k], p)] = F.lit(v).cast("double")
+    for k, c in enumerate(cols):
+        if k in small_cols:
+            continue
+        n = first[f"n_{k}"]
+        br = first[f"b_{k}"]
+        m = len(spec[c])
+        src = df.select(val[c].alias("_v")).filter(ok[c])
+        below = src.agg(*[F.count_if(F.col("_v") < F.lit(br[i])).alias(f"c{i}") for i in range(m)]).head()
+        for i, p in enumerate(spec[c]):
+            pos = p * (n - 1)
+            k_lo, k_hi = math.floor(pos), math.ceil(pos)
+            b = below[f"c{i}"]
+            inside = src.filter((F.col("_v") >= F.lit(br[i])) & (F.col("_v") <= F.lit(br[m + i])))
+            srt = F.sort_array(F.collect_list("_v"))
+            got = inside.agg(F.count(F.lit(1)).alias("m"), F.element_at(srt, F.lit(max(k_lo - b + 1, 1))).alias("a"),
+                             F.element_at(srt, F.lit(max(k_hi - b + 1, 1))).alias("z")).head()
+            if not (b <= k_lo and k_hi < b + got["m"]):  # outside the guaranteed bracket: exact fallback
+                v = src.agg(F.percentile("_v", F.lit(float(p)))).head()[0]
+            elif k_lo == k_hi or got["a"] == got["z"]:
+                v = float(got["a"])
+            else:
+                v = (k_hi - pos) * got["a"] + (pos - k_lo) * got["z"]
+            out[(c, p)] = F.lit(v).cast("double")
+    return out
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], small: int = SMALL_EXACT) -> list:
+    """Exact whole-column quantiles as Python floats (see ``quantile_table``)."""
+    table = quantile_table(df, {column: list(probs)}, small=small)
+    row = df.sparkSession.range(1).select(*[table[(column, p)].alias(f"q{i}") for i, p in enumerate(probs)]).head()
+    return [row[f"q{i}"] for i in range(len(probs))]
+
+
+def global_quantiles(df: DataFrame, column: str, probs: Sequence[float],
+                     accuracy: int | None = None) -> list[Column]:
+    """Whole-column quantiles of one column as literal Columns."""
+    t = quantile_table(df, {column: list(probs)}, accuracy)
+    return [t[(column, p)] for p in probs]
