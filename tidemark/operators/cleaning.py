@@ -107,7 +107,9 @@ def impute_median(df: DataFrame, cols: Sequence[str] = MEDIAN_FILL_COLUMNS, by:
     if by is None:
         q = quantile_table(df, {c: [0.5] for c in cols}, accuracy)
         return df.withColumns({c: F.coalesce(F.col(c), q[(c, 0.5)]) for c in cols})
-    meds = df.groupBy(by).agg(*[median(c, accuracy).alias(f"_med_{c}") for c in cols])
+    from tidemark.operators.stats import grouped_quantiles
+    meds = grouped_quantiles(df, by, {c: [0.5] for c in cols}).select(
+        by, *[F.col(f"_q_{c}_0").alias(f"_med_{c}") for c in cols])
     out = df.join(meds, by, "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}).drop(
         *[f"_med_{c}" for c in cols])

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.series import materialize, sized_join
-from tidemark.operators.stats import median
+from tidemark.operators.stats import grouped_quantiles
 
 # The feature list, cluster count, DBSCAN parameters.
 CLUSTER_FEATURES = ["price", "market_cap", "volume_24h", "percent_change_24h", "percent_change_7d",
@@ -47,7 +47,8 @@ def standardize(df: DataFrame, features: Sequence[str] = CLUSTER_FEATURES, group
     feats = available(df, features)
     g = group or "_std_g"
     base = df if group else df.withColumn(g, F.lit(0))
-    meds = materialize(base.groupBy(g).agg(*[median(f, accuracy).alias(f"_m_{f}") for f in feats]))
+    meds = materialize(grouped_quantiles(base, g, {f: [0.5] for f in feats}).select(
+        g, *[F.col(f"_q_{f}_0").alias(f"_m_{f}") for f in feats]))
     base = sized_join(base, meds, g, "left").withColumns(
         {f"_f_{f}": F.coalesce(F.col(f).cast("double"), F.col(f"_m_{f}")) for f in feats})
     mom = materialize(base.groupBy(g).agg(*[F.avg(f"_f_{f}").alias(f"_mu_{f}") for f in feats],

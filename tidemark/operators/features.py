@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import pct_change, safe_div
 from tidemark.operators.series import (DEFAULT_CHUNK_ROWS, group_rank, materialize, sized_join,
                                        stage, with_entity_windows)
-from tidemark.operators.stats import median
+from tidemark.operators.stats import grouped_quantiles
 
 # Rolling windows (rows), lag lengths at 30-minute cadence,
 # EMA span, momentum weights.
@@ -113,11 +113,15 @@ def snapshot_aggregates(df: DataFrame, time: str = "snapshot_time", entity: str
     the metric's median — partial aggregates, so a hot snapshot is combined
     map-side."""
     aggs = [F.sum("market_cap").alias("_tot_cap"), F.sum("volume_24h").alias("_tot_vol")]
-    if metric in df.columns:
-        aggs += [F.max(F.when(F.col(entity) == benchmark, F.col(metric))).alias("_bench_val"),
-                 F.max(F.col(entity) == benchmark).alias("_has_bench"),
-                 median(metric, accuracy).alias("_median")]
-    return df.groupBy(time).agg(*aggs)
+    if metric not in df.columns:
+        return df.groupBy(time).agg(*aggs)
+    aggs += [F.max(F.when(F.col(entity) == benchmark, F.col(metric))).alias("_bench_val"),
+             F.max(F.col(entity) == benchmark).alias("_has_bench")]
+    if accuracy is not None:
+        aggs.append(F.percentile_approx(metric, F.lit(0.5), accuracy).alias("_median"))
+        return df.groupBy(time).agg(*aggs)
+    med = grouped_quantiles(df, time, {metric: [0.5]}).withColumnRenamed(f"_q_{metric}_0", "_median")
+    return df.groupBy(time).agg(*aggs).join(med, time, "left")
 
 
 def add_market_structure(df: DataFrame, time: str = "snapshot_time", entity: str = "symbol",

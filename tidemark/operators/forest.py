@@ -141,7 +141,9 @@ def isolation_forest_scores(df: DataFrame, cols: Sequence[str], group: str | Non
                                                    global_quantiles(base, c, [0.5], accuracy)[0])
                                      for f, c in zip(feat, cols)})
         else:
-            meds = base.groupBy(gcol).agg(*[median(c, accuracy).alias(f"_m_{c}") for c in cols])
+            from tidemark.operators.stats import grouped_quantiles
+            meds = grouped_quantiles(base, gcol, {c: [0.5] for c in cols}).select(
+                gcol, *[F.col(f"_q_{c}_0").alias(f"_m_{c}") for c in cols])
             base = base.join(meds, gcol, "left").withColumns(
                 {f: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for f, c in zip(feat, cols)}
             ).drop(*[f"_m_{c}" for c in cols])

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.series import group_rank, materialize, sized_join
-from tidemark.operators.stats import median
+from tidemark.operators.stats import grouped_quantiles
 
 LOF_EPS = 1e-10
 
@@ -56,7 +56,8 @@ def lof_scores(df: DataFrame, cols: Sequence[str], group: str = "snapshot_time",
     # the neighbour search reads its input several times: write the narrow
     # projection once instead of re-running the input's plan for each pass
     src = materialize(df.select(group, key, *cols))
-    meds = src.groupBy(group).agg(*[median(c, accuracy).alias(f"_m{i}") for i, c in enumerate(cols)])
+    meds = grouped_quantiles(src, group, {c: [0.5] for c in cols}).select(
+        group, *[F.col(f"_q_{c}_0").alias(f"_m{i}") for i, c in enumerate(cols)])
     base = sized_join(src, materialize(meds), group, "left")
     base = base.withColumns({f: F.coalesce(F.col(c).cast("double"), F.col(f"_m{i}"))
                              for i, (f, c) in enumerate(zip(feat, cols))})

@@ -194,3 +194,62 @@ def global_quantiles(df: DataFrame, column: str, probs: Sequence[float],
     """Whole-column quantiles of one column as literal Columns."""
     t = quantile_table(df, {column: list(probs)}, accuracy)
     return [t[(column, p)] for p in probs]
+
+
+def grouped_quantiles(df: DataFrame, group: str, spec: dict[str, Sequence[float]],
+                      sketch: int = 100_000, small: int = 100_000, prefix: str = "_q") -> DataFrame:
+    """Exact per-group quantiles without gathering a big group: one row per
+    group with ``{prefix}_{column}_{i}`` for the i-th probability of each column.
+
+    Lazy, two aggregates and a join. (1) Per group: the value count and a
+    ``percentile_approx`` sketch bracket around each target rank. (2) Groups
+    of at most ``small`` values take ``percentile`` (its buffer holds at most
+    ``small`` values); larger groups count the values under each bracket and
+    collect only the values inside it, in a partial aggregate, so a group
+    holding a third of all rows is reduced map-side. The bracket is widened
+    by the sketch error (n/sketch ranks) plus 2/small, which covers the two
+    ranks between the sketch's rank convention and interpolation positions
+    for any group above ``small``. Order statistics are interpolated as
+    ``percentile`` does, so results equal it."""
+    eps = 2.0 / sketch + 2.0 / small
+    cols = list(spec)
+    val = {c: F.col(c).cast("double") for c in cols}
+    ok = {c: val[c].isNotNull() & ~F.isnan(val[c]) for c in cols}
+    aggs = []
+    for k, c in enumerate(cols):
+        ps = list(spec[c])
+        aggs.append(F.count(F.when(ok[c], F.lit(1))).alias(f"_gn{k}"))
+        aggs.append(F.percentile_approx(F.when(ok[c], val[c]),
+                                        F.array(*[F.lit(max(0.0, p - eps)) for p in ps],
+                                                *[F.lit(min(1.0, p + eps)) for p in ps]), sketch)
+                    .alias(f"_gb{k}"))
+    brackets = df.groupBy(group).agg(*aggs)
+    x = df.select(group, *[F.when(ok[c], val[c]).alias(f"_gv{k}") for k, c in enumerate(cols)]).join(brackets, group)
+    aggs2, outs = [], []
+    for k, c in enumerate(cols):
+        ps = list(spec[c])
+        m = len(ps)
+        v = F.col(f"_gv{k}")
+        big = F.col(f"_gn{k}") > small
+        aggs2.append(F.percentile(F.when(~big, v), F.array(*[F.lit(float(p)) for p in ps])).alias(f"_gp{k}"))
+        for i in range(m):
+            lo, hi = F.col(f"_gb{k}")[i], F.col(f"_gb{k}")[m + i]
+            aggs2.append(F.count_if(big & (v < lo)).alias(f"_gbel{k}_{i}"))
+            aggs2.append(F.sort_array(F.collect_list(F.when(big & (v >= lo) & (v <= hi), v))).alias(f"_gc{k}_{i}"))
+        aggs2.append(F.first(f"_gn{k}").alias(f"_gn{k}"))
+    per = x.groupBy(group).agg(*aggs2)
+    for k, c in enumerate(cols):
+        ps = list(spec[c])
+        n = F.col(f"_gn{k}").cast("double")
+        for i, p in enumerate(ps):
+            pos = F.lit(float(p)) * (n - 1)
+            k_lo, k_hi = F.floor(pos), F.ceil(pos)
+            b = F.col(f"_gbel{k}_{i}")
+            cand = F.col(f"_gc{k}_{i}")
+            ia, iz = (k_lo - b + 1).cast("int"), (k_hi - b + 1).cast("int")
+            a = F.when(ia >= 1, F.try_element_at(cand, ia))
+            z = F.when(iz >= 1, F.try_element_at(cand, iz))
+            bracketed = F.when((k_lo == k_hi) | (a == z), a).otherwise((k_hi - pos) * a + (pos - k_lo) * z)
+            q = (F.when(n == 0, F.lit(None)).when(n <= small, F.col(f"_gp{k}")[i]).otherwise(bracketed))
+            outs.append(q.cast("double").alias(f"{prefix}_{c}_{i}"))
+    return per.select(group, *outs)
