@@ -247,3 +247,16 @@ def test_exact_quantiles_bracket_path_equals_percentile(spark):
         got = exact_quantiles(df, c, probs, small=100)
         ref = list(df.agg(F.percentile(c, F.array(*[F.lit(p) for p in probs]))).head()[0])
         assert got == ref
+
+
+def test_grouped_quantiles_bracket_path_equals_percentile(spark):
+    """Per-group quantiles through the hot-group path equal percentile."""
+    from tidemark.operators.stats import grouped_quantiles
+    df = tape(spark, SF_MID)
+    probs = [0.25, 0.5, 0.97]
+    got = grouped_quantiles(df, "event_type", {"price": probs}, sketch=50, small=10, check_sizes=False)
+    ref = df.groupBy("event_type").agg(F.percentile("price", F.array(*[F.lit(p) for p in probs])).alias("r"))
+    j = got.join(ref, "event_type")
+    bad = j.filter(~(F.col("_q_price_0").eqNullSafe(F.col("r")[0]) & F.col("_q_price_1").eqNullSafe(F.col("r")[1])
+                     & F.col("_q_price_2").eqNullSafe(F.col("r")[2])))
+    assert bad.count() == 0 and j.count() == 5

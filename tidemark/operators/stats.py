@@ -141,11 +141,14 @@ def quantile_table(df: DataFrame, spec: dict[str, Sequence[float]], accuracy: in
         return out
     sketch = 1_000_000
     eps = 2.0 / sketch
-    first = df.agg(*[F.count(F.when(ok[c], F.lit(1))).alias(f"n_{k}") for k, c in enumerate(cols)],
-                   *[F.percentile_approx(F.when(ok[c], val[c]),
-                                         F.array(*[F.lit(max(0.0, p - eps)) for p in spec[c]],
-                                                 *[F.lit(min(1.0, p + eps)) for p in spec[c]]), sketch)
-                     .alias(f"b_{k}") for k, c in enumerate(cols)]).head()
+    first = df.agg(*[F.count(F.when(ok[c], F.lit(1))).alias(f"n_{k}") for k, c in enumerate(cols)]).head()
+    large = [k for k, c in enumerate(cols) if first[f"n_{k}"] > small]
+    if large:  # sketch brackets only for the columns that need them
+        sk = df.agg(*[F.percentile_approx(F.when(ok[cols[k]], val[cols[k]]),
+                                          F.array(*[F.lit(max(0.0, p - eps)) for p in spec[cols[k]]],
+                                                  *[F.lit(min(1.0, p + eps)) for p in spec[cols[k]]]), sketch)
+                      .alias(f"b_{k}") for k in large]).head()
+        first = {**first.asDict(), **sk.asDict()}
     out: dict[tuple[str, float], Column] = {}
     small_cols = [k for k, c in enumerate(cols) if first[f"n_{k}"] <= small]
     if small_cols:
@@ -197,7 +200,8 @@ def global_quantiles(df: DataFrame, column: str, probs: Sequence[float],
 
 
 def grouped_quantiles(df: DataFrame, group: str, spec: dict[str, Sequence[float]],
-                      sketch: int = 100_000, small: int = 100_000, prefix: str = "_q") -> DataFrame:
+                      sketch: int = 100_000, small: int = 100_000, prefix: str = "_q",
+                      check_sizes: bool = True) -> DataFrame:
     """Exact per-group quantiles without gathering a big group: one row per
     group with ``{prefix}_{column}_{i}`` for the i-th probability of each column.
 
@@ -215,6 +219,16 @@ def grouped_quantiles(df: DataFrame, group: str, spec: dict[str, Sequence[float]
     cols = list(spec)
     val = {c: F.col(c).cast("double") for c in cols}
     ok = {c: val[c].isNotNull() & ~F.isnan(val[c]) for c in cols}
+    if check_sizes:
+        # sizes first (a count per group): when no group is large, one plain
+        # percentile aggregate is exact and holds at most ``small`` values per group
+        largest = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).head()[0] or 0
+        if largest <= small:
+            plain = df.groupBy(group).agg(*[
+                F.percentile(F.when(ok[c], val[c]), F.array(*[F.lit(float(p)) for p in spec[c]])).alias(f"_gp{k}")
+                for k, c in enumerate(cols)])
+            return plain.select(group, *[F.col(f"_gp{k}")[i].cast("double").alias(f"{prefix}_{c}_{i}")
+                                         for k, c in enumerate(cols) for i in range(len(spec[c]))])
     aggs = []
     for k, c in enumerate(cols):
         ps = list(spec[c])
