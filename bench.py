@@ -43,7 +43,8 @@ def main() -> None:
     only = [a for a in sys.argv[1:]] or HEADLINE
     from tidemark.plans.registry import QUERIES, load_all
     from tidemark.session import get_spark
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2))
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=parts,
                       extra={"spark.sql.autoBroadcastJoinThreshold": str(32 << 20)})
     load_all()
     # warm-up, untimed: JIT and code generation for the fixtures' scans, joins

@@ -264,7 +264,9 @@ def clean_pipeline(raw: DataFrame, now=None, isolation_forest: bool = True,
                    accuracy: int | None = None, order: str = "ingest_ord", checkpoint: bool = True) -> DataFrame:
     """Types → missing → duplicates → rules → outlier flag (G9); the flag is
     attached as ``is_outlier`` (C7: a column, not a join)."""
-    return clean_stages(raw, now, isolation_forest, accuracy, order, checkpoint).clean
+    # stage boundary at the pipeline's output: later stages read the cleaned
+    # rows instead of re-running the flags' global statistics in every job
+    return stage(clean_stages(raw, now, isolation_forest, accuracy, order, checkpoint).clean, checkpoint)
 
 
 def cleaning_audit(raw: DataFrame, now=None, isolation_forest: bool = True,
