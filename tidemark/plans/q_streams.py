@@ -141,3 +141,16 @@ FROM tape QUALIFY snapshot_time <= {_WM}""")
 def q_stream_spike(spark, sf):
     """S3: the price-spike alert from the same keyed state."""
     return _steps(spark, sf).select("symbol", "snapshot_time", "is_price_spike")
+
+
+@query("stream_ingest_payloads", P + "SELECT coin_id, snapshot_time, symbol, cmc_rank, price FROM panel")
+def q_stream_payloads(spark, sf):
+    """S1 end to end: JSON payload lines (one per snapshot) streamed, decoded, de-duplicated, stored."""
+    from tidemark.sources.payloads import encode_nested
+    lines = encode_nested(panel(spark, sf)).select(F.col("snapshot_time").cast("string").alias("snapshot_time"),
+                                                   "payload")
+    path = _dir(spark, "landing")
+    lines.coalesce(2).write.mode("append").json(path)
+    src = spark.readStream.schema("snapshot_time string, payload string").option("maxFilesPerTrigger", 1).json(path)
+    out = _run(ST.stream_payloads(src, delay="3650 days", now=NOW), spark, partition="capture_date")
+    return out.select("coin_id", "snapshot_time", "symbol", "cmc_rank", "price")

@@ -167,3 +167,14 @@ def refresh_batch(store_path: str, features_path: str, lookback_days: int | None
         (feats.join(keys, ["symbol", "snapshot_time"], "left_semi")
          .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(features_path))
     return run
+
+
+def stream_payloads(stream: DataFrame, provider: str = "nested", convert: str = "USD",
+                    delay: str = "1 day", now=None) -> DataFrame:
+    """S1 from raw landing files: one JSON payload per line with its capture
+    time, ``{"snapshot_time": ..., "payload": "<provider JSON>"}``, decoded
+    into contract rows (a rejected batch yields nothing) and ingested."""
+    from tidemark.sources.payloads import decode_flat_quotes, decode_nested_quotes
+    s = stream.withColumn("snapshot_time", F.col("snapshot_time").cast(T.TimestampType()))
+    rows = (decode_nested_quotes(s, convert=convert) if provider == "nested" else decode_flat_quotes(s))
+    return stream_ingest(rows, delay=delay, now=now)
