@@ -191,3 +191,18 @@ def min_history(df: DataFrame, min_rows: int = 20, entity: str = "symbol", value
 
 def _normal_cdf(x: float) -> float:
     return 0.5 * (1.0 + math.erf(x / math.sqrt(2.0)))
+
+
+def append_forecast(df: DataFrame, forecast: DataFrame, n_tail: int = 50, entity: str = "symbol",
+                    value: str = "price") -> DataFrame:
+    """C8, the continuous form: the last ``n_tail`` values at positions
+    0..m-1 followed by the forecast at m, m+1, ... (a union with a step
+    offset), with ``kind`` telling the two apart."""
+    from tidemark.operators.reports import tail_n
+    tail = tail_n(df, n_tail, entity, value=value)
+    width = tail.groupBy(entity).agg(F.count(F.lit(1)).alias("_m"))
+    hist = tail.select(entity, "pos", F.col(value).alias("value"), F.lit("history").alias("kind"))
+    fc = (forecast.join(width, entity)
+          .select(entity, (F.col("_m") + F.col("step")).cast("long").alias("pos"), F.col("yhat").alias("value"),
+                  F.lit("forecast").alias("kind")))
+    return hist.unionByName(fc)

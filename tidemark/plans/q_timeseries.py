@@ -141,3 +141,17 @@ def q_trend_seasonal(spark, sf):
     """Trend + daily/weekly seasonality forecast every 30 minutes, 80 % band."""
     from tidemark.operators.models import forecast_trend_seasonal
     return forecast_trend_seasonal(bars(spark, sf))
+
+
+@query("append_forecast", B + SERIES + FIT + f"""
+, tl AS (SELECT symbol, CAST(least(50, n) - rd AS BIGINT) AS pos, price AS value, 'history' AS kind FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY snapshot_time DESC) AS rd,
+         count(*) OVER (PARTITION BY symbol) AS n FROM bars WHERE price IS NOT NULL) WHERE rd <= 50),
+m AS (SELECT symbol, count(*) AS m FROM tl GROUP BY symbol)
+SELECT symbol, pos, {fix6_sql('value')} AS value, kind FROM tl
+UNION ALL SELECT fc2.symbol, CAST(m.m + fc2.step AS BIGINT), {fix6_sql('yhat')}, 'forecast' FROM fc2 JOIN m USING (symbol)""")
+def q_append_forecast(spark, sf):
+    """C8 (continuous form): last 50 values then the 12 forecasts at the following positions."""
+    fc, _ = _linear(spark, sf)
+    out = TS.append_forecast(bars(spark, sf), fc)
+    return out.withColumn("value", fix6("value"))
