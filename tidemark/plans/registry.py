@@ -27,6 +27,7 @@ def query(name: str, oracle: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # results are defined on UTC wall-clock time (as the oracle reads them)
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            _local_partitions(spark)
             return to_ntz(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
@@ -37,6 +38,14 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+def _local_partitions(spark: SparkSession) -> None:
+    """A local-mode session left at Spark's default of 200 shuffle partitions
+    gets two per core instead; cluster sessions keep their own setting."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(2, sc.defaultParallelism * 2)))
+
+
 def load_all() -> None:
     """Import every module that registers queries."""
     from tidemark.plans import (q_library, q_cleaning, q_features, q_anomaly,  # noqa: F401
