@@ -46,11 +46,12 @@ k AS (SELECT *, CAST(ceil((hi - lo) / CASE WHEN 2.0 * (q3 - q1) * pow(n, -1.0 /
         THEN least(2.0 * (q3 - q1) * pow(n, -1.0 / 3.0), (hi - lo) / (log2(n) + 1.0))
         ELSE (hi - lo) / (log2(n) + 1.0) END) AS INTEGER) AS nb FROM st),
 w AS (SELECT *, (hi - lo) / nb AS width FROM k),
-c AS (SELECT CAST(least(floor((price - lo) / width), nb - 1) AS INTEGER) AS bin, count(*) AS cnt
-      FROM panel, w WHERE price IS NOT NULL GROUP BY 1)
+c AS (SELECT CAST(least(floor((price - (SELECT lo FROM w)) / (SELECT width FROM w)), (SELECT nb FROM w) - 1)
+             AS INTEGER) AS bin, count(*) AS cnt FROM panel WHERE price IS NOT NULL GROUP BY 1),
+g AS (SELECT unnest(range(nb)) AS bin, lo, width FROM w)
 SELECT CAST(g.bin AS INTEGER) AS bin, lo + g.bin * width AS "left", lo + (g.bin + 1) * width AS "right",
        CAST(coalesce(cnt, 0) AS BIGINT) AS count
-FROM (SELECT unnest(range(nb)) AS bin FROM w) g CROSS JOIN w LEFT JOIN c ON g.bin = c.bin""")
+FROM g LEFT JOIN c ON g.bin = c.bin""")
 def q_histogram(spark, sf):
     """Equal-width histogram of price, bin count by numpy's 'auto' rule."""
     return CH.histogram(panel(spark, sf), "price")
