@@ -41,6 +41,7 @@ ADF_TAU_STAR = -1.61
 ADF_SMALL_P = [2.1659, 1.4412, 0.038269]
 ADF_LARGE_P = [1.7339, 0.93202, -0.12745, -0.010368]
 Z95 = 1.959963984540054
+MAX_LONG_AR = 40
 
 
 def _norm_cdf(x: float) -> float:
@@ -292,7 +293,10 @@ def forecast_arima(df: DataFrame, order=(2, 1, 2), steps: int = 12, entity: str
     """(forecast with 95 % interval, backtest metrics or None)."""
     p, d, q = order
     n_min = df.filter(F.col(value).isNotNull()).groupBy(entity).count().agg(F.min("count")).head()[0] or 2
-    long_ar = max(min(int(math.floor(math.log(max(n_min, 2)) ** 2)), max(n_min // 4, 1)), 2 * max(p, q), 1)
+    # the first-stage AR order of Hannan-Rissanen: ln(n)^2, at most n/4, and at
+    # most MAX_LONG_AR so the cross-product aggregate stays ~MAX_LONG_AR^2/2 sums
+    long_ar = max(min(int(math.floor(math.log(max(n_min, 2)) ** 2)), max(n_min // 4, 1), MAX_LONG_AR),
+                  2 * max(p, q), 1)
 
     def fit(frame, h):
         return _hr_fit(frame, entity, time, value, list(range(1, p + 1)), list(range(1, q + 1)), d, 0, 1, h,
