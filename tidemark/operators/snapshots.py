@@ -211,14 +211,25 @@ def last_two_times(df: DataFrame, time: str = "snapshot_time") -> DataFrame:
     return times.withColumn("snap_rank", F.dense_rank().over(Window.orderBy(F.desc(time))))
 
 
-def snapshot_rank(df: DataFrame, time: str = "snapshot_time") -> DataFrame:
-    """Dense rank of snapshots, newest first, for every row.
+def time_rank(df: DataFrame, time: str = "snapshot_time", descending: bool = True,
+              name: str = "snap_rank") -> DataFrame:
+    """Dense rank of the distinct times (1 = newest when ``descending``).
+
+    The distinct times are numbered with the chunked ordinal machinery under
+    one constant key, so even a very long list of snapshots is ranked in
+    parallel chunks rather than by a window without a partition key."""
+    times = df.select(time).distinct().withColumn("_one", F.lit(1))
+
+    def build(fr, w):
+        pos = ordinal("_one", time) + 1
+        return fr.withColumn(name, ((F.col("_total") - pos + 1) if descending else pos).cast("int"))
+    return with_entity_windows(times, build, "_one", time, lookback=0).drop("_one")
 
-    Ranked over the distinct times (one row per snapshot), then joined back
-    with a checked-size broadcast."""
-    times = df.select(time).distinct()
-    ranked = materialize(times.withColumn("snap_rank",
-                                          F.dense_rank().over(Window.orderBy(F.desc(time)))))
+
+def snapshot_rank(df: DataFrame, time: str = "snapshot_time") -> DataFrame:
+    """Dense rank of snapshots, newest first, for every row (F6): ranked over
+    the distinct times, then joined back with a checked-size broadcast."""
+    ranked = materialize(time_rank(df, time))
     return sized_join(df, ranked, time)
 
 

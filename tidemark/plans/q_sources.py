@@ -52,8 +52,7 @@ SELECT {CONTRACT_SQL}, CASE WHEN sr % 3 = 0 THEN 'secondary' ELSE 'primary' END
 def q_fallback(spark, sf):
     """A3: primary payloads miss every third snapshot; those come from the secondary."""
     p = panel(spark, sf)
-    times = p.select("snapshot_time").distinct().withColumn(
-        "_sr", F.dense_rank().over(Window.orderBy("snapshot_time")))  # one row per snapshot
+    times = S.time_rank(p, descending=False, name="_sr")  # one row per snapshot
     prim_p = p.join(times.filter(F.col("_sr") % 3 != 0).select("snapshot_time"), "snapshot_time", "left_semi")
     primary = PL.decode_nested_quotes(PL.encode_nested(prim_p)).withColumn("provider", F.lit("primary"))
     secondary = PL.decode_flat_quotes(PL.encode_flat(p)).withColumn("provider", F.lit("secondary"))
