@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.exprs import nan_to_null
 from tidemark.operators.series import stage
-from tidemark.operators.stats import global_quantiles, median, quantile_table
+from tidemark.operators.stats import global_quantiles, quantile_table
 from tidemark.schema import MEDIAN_FILL_COLUMNS, NUMERIC_COLUMNS, PERCENT_COLUMNS
 
 # Thresholds and the symbol spellings treated as missing.

@@ -24,7 +24,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.series import materialize, sized_join
 from tidemark.operators.stats import grouped_quantiles

@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.series import materialize, sized_join
-from tidemark.operators.stats import median
 
 EULER_GAMMA = 0.5772156649015329
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidemark.fixtures import oracle_cte, panel, tape
 from tidemark.functions.exprs import fix6, fix6_sql
 from tidemark.operators import anomaly as A

@@ -23,14 +23,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.functions.exprs import ratio_below, ratio_exceeds  # noqa: F401  (batch twins)
 
 FLASH_CRASH_DROP = -0.08
 PRICE_SPIKE_RISE = 0.10
