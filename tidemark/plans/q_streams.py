@@ -154,3 +154,24 @@ def q_stream_payloads(spark, sf):
     src = spark.readStream.schema("snapshot_time string, payload string").option("maxFilesPerTrigger", 1).json(path)
     out = _run(ST.stream_payloads(src, delay="3650 days", now=NOW), spark, partition="capture_date")
     return out.select("coin_id", "snapshot_time", "symbol", "cmc_rank", "price")
+
+
+@query("foreach_batch_refresh_tail", feature_set_sql("panel", P) + "SELECT symbol, snapshot_time, price, hourly_return, "
+       f"daily_return, {fix6_sql('rolling_mean_3')} AS rolling_mean_3, {fix6_sql('market_dominance')} AS market_dominance, "
+       "price_rank FROM ms")
+def q_foreach_batch_tail(spark, sf):
+    """S6 with the back-history cut to each symbol's last 336 rows before the micro-batch."""
+    c = _panel_contract(spark, sf)
+    t = F.col("snapshot_time")
+    cuts = [F.lit(x).cast("timestamp") for x in ("1997-01-01", "1999-06-01")]
+    parts = [c.filter(t < cuts[0]), c.filter((t >= cuts[0]) & (t < cuts[1])), c.filter(t >= cuts[1])]
+    path, schema = _land(spark, parts)
+    store, feats = _dir(spark, "store"), _dir(spark, "features")
+    q = (_source(spark, path, schema).writeStream.option("checkpointLocation", _dir(spark, "chk"))
+         .foreachBatch(ST.refresh_batch(store, feats, lookback_days=None, lookback_rows=336))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(feats)
+    return out.select("symbol", "snapshot_time", "price", "hourly_return", "daily_return",
+                      fix6("rolling_mean_3").alias("rolling_mean_3"),
+                      fix6("market_dominance").alias("market_dominance"), "price_rank")

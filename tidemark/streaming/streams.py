@@ -141,12 +141,16 @@ def stream_step_features(stream: DataFrame, delay: str = "1 hour", drop: float =
 
 
 def refresh_batch(store_path: str, features_path: str, lookback_days: int | None = 8,
-                  now=None, checkpoint: bool = True):
+                  lookback_rows: int | None = None, now=None, checkpoint: bool = True):
     """A ``foreachBatch`` body. Stores the micro-batch (insert-ignore),
-    re-reads only the touched symbols (and, with ``lookback_days``, only the
-    dates within that many days before the batch: 336 half-hour rows plus
-    margin), rebuilds their features and appends the batch's rows."""
+    re-reads only the touched symbols (with ``lookback_days``, only the dates
+    within that many days before the batch, a partition-pruned read; with
+    ``lookback_rows``, then only each symbol's last that many rows before the
+    batch — 336 covers every look-back of the feature set, so the batch's
+    features equal a full recompute), rebuilds their features and appends
+    the batch's rows."""
     from tidemark.operators.features import build_feature_set
+    from tidemark.operators.series import ordinal, with_entity_windows
     from tidemark.sources.store import upsert_ignore
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -160,19 +164,17 @@ def refresh_batch(store_path: str, features_path: str, lookback_days: int | None
         hist = spark.read.parquet(store_path).join(touched, "symbol", "left_semi")
         if lookback_days is not None:
             hist = hist.filter(F.col("capture_date") >= F.date_sub(F.lit(lo).cast("date"), lookback_days))
-        feats = build_feature_set(hist.drop("capture_date", "inserted_at"), checkpoint=checkpoint)
+        hist = hist.drop("capture_date", "inserted_at")
+        if lookback_rows is not None:
+            before = hist.filter(F.col("snapshot_time") < F.lit(lo))
+            after = hist.filter(F.col("snapshot_time") >= F.lit(lo))
+
+            def build(fr, w):
+                return fr.withColumn("_rd", F.col("_total") - ordinal("symbol", "snapshot_time"))
+            tail = with_entity_windows(before, build, lookback=0).filter(F.col("_rd") <= lookback_rows).drop("_rd")
+            hist = tail.unionByName(after)
+        feats = build_feature_set(hist, checkpoint=checkpoint)
         keys = batch.select("symbol", "snapshot_time").distinct()
         (feats.join(keys, ["symbol", "snapshot_time"], "left_semi")
          .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(features_path))
     return run
-
-
-def stream_payloads(stream: DataFrame, provider: str = "nested", convert: str = "USD",
-                    delay: str = "1 day", now=None) -> DataFrame:
-    """S1 from raw landing files: one JSON payload per line with its capture
-    time, ``{"snapshot_time": ..., "payload": "<provider JSON>"}``, decoded
-    into contract rows (a rejected batch yields nothing) and ingested."""
-    from tidemark.sources.payloads import decode_flat_quotes, decode_nested_quotes
-    s = stream.withColumn("snapshot_time", F.col("snapshot_time").cast(T.TimestampType()))
-    rows = (decode_nested_quotes(s, convert=convert) if provider == "nested" else decode_flat_quotes(s))
-    return stream_ingest(rows, delay=delay, now=now)
