@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import decontam, langid, pii, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,22 @@ def query(fn):
 @query
 def op7_simhash_near_dedup(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
+
+
+@query
+def op8_benchmark_decontamination(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    """Documents (``doc_id``) and web pages (``page_id``) in one model."""
+    docs = langid.records_of_documents(table(spark, sf_dir, "documents")).drop("text", "lang", "source", "n_chars")
+    pages = langid.records_of_pages(table(spark, sf_dir, "pages")).drop("html", "url")
+    records = docs.unionByName(pages, allowMissingColumns=True)
+    return langid.identify(records, langid.fit(records))
+
+
+@query
+def op2_pii(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))
