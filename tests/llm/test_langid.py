@@ -40,7 +40,7 @@ def test_edges(spark):
 def test_pages_fields(spark):
     rows = [(1, "https://u:p@WWW.Host.DE:80/a?b#c", '<html class=x lang="de-AT"><script>if (a<b) x="</p>"</script><p>Der Text</p>'),
             (2, None, None), (3, "notaurl", "<<<p>a < b")]
-    got = {r.page_id: r for r in langid.records_of_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    got = {r.row.page_id: r for r in langid.records_of_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     r = got[1]
     assert (r._host, r._suffix, r._declared, r._text.split()) == ("www.host.de", "de", "de-AT", ["Der", "Text"])
     assert got[2]._text is None and got[3]._host == "" and "a < b" in got[3]._text

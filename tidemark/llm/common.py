@@ -37,6 +37,22 @@ def unstage(df: DataFrame | None) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def col(name: str) -> Column:
+    """The column of exactly this name (dots and backticks in it are plain text)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(df: DataFrame, names: list[str] | None = None) -> Column:
+    """The columns as one struct ``row``, so that names an operator uses inside can't
+    clash with them; a struct without fields gets a constant one."""
+    names = df.columns if names is None else names
+    return F.struct(*([col(c) for c in names] or [F.lit(0).alias("_")])).alias("row")
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    return [F.col("row").getField(c).alias(c) for c in names]
+
+
 def fold(id_col: str, k: int) -> Column:
     """crc32 of the id's text modulo ``k``; a NULL id counts as the text ``null``."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))) % k

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _LOWER, stage, text_buffer, unstage
+from .common import _LOWER, packed, stage, text_buffer, unpacked, unstage
 
 BUCKETS = 1 << 15
 _BLOCK = 1 << 22
@@ -57,21 +57,22 @@ def _trigrams(col):
         yield t[ok], doc[:-2][ok]
 
 
-def records_of_pages(pages: DataFrame) -> DataFrame:
-    """text, declared, host, suffix of web pages: tags, scripts and styles off, the
-    ``html`` element's ``lang``, and the URL's host and last label."""
+def records_of_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """row (the columns ``keep``, all by default), text, declared, host, suffix of web
+    pages: tags, scripts and styles off, the ``html`` element's ``lang``, and the URL's
+    host and last label."""
     html, url = F.col("html"), F.lower(F.col("url"))
     text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^<>]*>", " ")
     host = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
-    return pages.select("*", text.alias("_text"),
+    return pages.select(packed(pages, keep), text.alias("_text"),
                         F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z][A-Za-z_-]*)", 1).alias("_declared"),
                         host.alias("_host"), F.regexp_extract(host, r"\.([a-z][a-z0-9-]+)$", 1).alias("_suffix"))
 
 
-def records_of_documents(docs: DataFrame) -> DataFrame:
+def records_of_documents(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The same for plain documents: ``lang`` is the declaration, ``source`` the
     host; there is no address, so the suffix is empty."""
-    return docs.select("*", F.col("text").alias("_text"), F.col("lang").cast("string").alias("_declared"),
+    return docs.select(packed(docs, keep), F.col("text").alias("_text"), F.col("lang").cast("string").alias("_declared"),
                        F.col("source").cast("string").alias("_host"), F.lit("").alias("_suffix"))
 
 
@@ -176,7 +177,7 @@ def fit(records: DataFrame, min_share: float = 0.001, kappa: float = 20.0, alpha
 
 
 def identify(records: DataFrame, model: Model, min_confidence: float = 0.5) -> DataFrame:
-    """``records`` (without its underscored columns) plus ``language`` (NULL if no
+    """The columns of ``row`` (but those of these names) plus ``language`` (NULL if no
     text and no language), ``text_language``, ``confidence`` and ``kept``.
 
     A record is kept if its text has a trigram and the fused posterior of the best
@@ -184,7 +185,8 @@ def identify(records: DataFrame, model: Model, min_confidence: float = 0.5) -> D
     unknown declaration, host or suffix: that evidence is the general one. Ties go
     to the first language in order. Extra columns pass through; an empty table gives
     an empty one; without any declaration nothing can be learnt and nothing is kept."""
-    cols = [c for c in records.columns if c not in ("_text", "_declared", "_host", "_suffix")]
+    added = ("language", "text_language", "confidence", "kept")
+    cols = unpacked([c for c in records.schema["row"].dataType.names if c not in added])
     rec = _prepared(records)
     if not model.langs:
         return rec.select(*cols, F.lit(None).cast("string").alias("language"),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, langid, pii, simhash
+from . import decontam, langid, pieces, pii, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,12 +32,19 @@ def op8_benchmark_decontamination(spark, sf_dir):
 @query
 def op9_language_id(spark, sf_dir):
     """Documents (``doc_id``) and web pages (``page_id``) in one model."""
-    docs = langid.records_of_documents(table(spark, sf_dir, "documents")).drop("text", "lang", "source", "n_chars")
-    pages = langid.records_of_pages(table(spark, sf_dir, "pages")).drop("html", "url")
-    records = docs.unionByName(pages, allowMissingColumns=True)
+    none = F.lit(None).cast("long")
+    ids = ["doc_id", "page_id"]
+    records = (langid.records_of_documents(table(spark, sf_dir, "documents").withColumn("page_id", none), ids)
+               .union(langid.records_of_pages(table(spark, sf_dir, "pages").withColumn("doc_id", none), ids)))
     return langid.identify(records, langid.fit(records))
 
 
 @query
 def op2_pii(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_sentencepiece(spark, sf_dir):
+    """Ids of every document, and whether decoding them gives the text back."""
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))

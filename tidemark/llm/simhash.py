@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_words, stage
+from .common import ascii_words, col, packed, stage, unpacked
 from .components import components
 
 SEED = 42
@@ -104,7 +104,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     a NULL id take part and get their group's smallest id (NULL if it has none);
     repeated ids give one row each; other columns are ignored; an empty table
     gives an empty one."""
-    one = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    one = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
     fps = stage(with_fingerprints(one, "text", shingle_words).drop("text"), "simhash")
     roots = stage(fingerprint_roots(fps, max_bits), "roots")
     low = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
@@ -122,11 +122,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     NULL id counts as largest; equal ids: the smallest row hash). Copies meet in
     a grouped minimum that is combined before the shuffle."""
     cols = docs.columns
-    fped = with_fingerprints(docs, text_col, shingle_words, out="_fp")
-    fps = stage(with_fingerprints(docs.select(text_col), text_col, shingle_words).select("fp").distinct(), "simhash")
-    roots = stage(fingerprint_roots(fps, max_bits), "roots")
-    row = F.struct(*[F.col(c) for c in cols])
-    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*[F.col(c) for c in cols]))
-    return (fped.join(roots.select(F.col("node").alias("_fp"), F.col("root").alias("_root")), "_fp", "left")
-            .withColumn("_root", F.coalesce("_root", "_fp"))
-            .groupBy("_root").agg(F.min_by(row, order).alias("_row")).select("_row.*").select(*cols))
+    fped = with_fingerprints(docs.select(packed(docs), col(text_col).alias("text")), "text", shingle_words).drop("text")
+    fps = stage(with_fingerprints(docs.select(col(text_col).alias("text")), "text", shingle_words).select("fp").distinct(), "simhash")
+    roots = stage(fingerprint_roots(fps, max_bits), "roots").withColumnRenamed("node", "fp")
+    id_ = F.col("row").getField(id_col)
+    order = F.struct(id_.isNull(), id_, F.xxhash64("row"))
+    kept = (fped.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+            .agg(F.min_by("row", order).alias("row")))
+    return kept.select(*unpacked(cols))
