@@ -3,6 +3,7 @@ table access, the training folds."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -19,10 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it
-    back: cuts the lineage, survives lost executors, prunes columns."""
+    back: cuts the lineage, survives lost executors, prunes columns, and lets Spark
+    drop the shuffle files behind it."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    gc.collect()                # frees the shuffle files that only finished steps used
+    spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
     return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, pieces, pii, simhash
+from . import decontam, langid, lm, pieces, pii, quality, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,18 @@ def op2_pii(spark, sf_dir):
 def op1_sentencepiece(spark, sf_dir):
     """Ids of every document, and whether decoding them gives the text back."""
     return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_quality(spark, sf_dir):
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_lm_scoring(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents"))
