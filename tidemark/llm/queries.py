@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lm, pieces, pii, quality, simhash, toxicity
+from . import decontam, langid, lm, pieces, pii, quality, simhash, substring, toxicity, vectors
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,13 @@ def op6_quality(spark, sf_dir):
 @query
 def op10_lm_scoring(spark, sf_dir):
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_embedding_near_dedup(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_substring_dedup(spark, sf_dir):
+    return substring.passages(table(spark, sf_dir, "documents"))
