@@ -43,7 +43,7 @@ class Vocabulary:
     ``tokens`` maps the text of an ordinary piece to its rank (0 merges first);
     a character that is no piece stands for itself and is written as bytes."""
 
-    CACHE = 300_000
+    CACHE = 500_000
 
     def __init__(self, pieces: list[str], scores: list[float], types: list[int], dummy_prefix: bool):
         self.pieces, self.types, self.dummy_prefix = pieces, types, dummy_prefix
@@ -57,19 +57,22 @@ class Vocabulary:
         word = not any(b[1] == SPACE != b[0] for b in self.inner)
         s = SPACE if word else ""
         n = "\n" if lf else ""
-        # words: what no piece crosses the edges of; the finer edges are found per word
-        self.words = re.compile((f"{n}|" if n else "") + (f"{s}+[^{s}{n}]*|" if s else "") + (f"[^{s}{n}]+" if s or n else "(?s:.+)"))
+        # words: what no piece crosses the edges of
+        rest = f"[^{s}{n}]" if s or n else "(?s:.)"
+        self.words = re.compile("|".join(filter(None, (n, s and f"{s}+{rest}*", f"{rest}+"))))
+        # pieces that merging ever yields, and what they begin with
+        self.tokens = {p for p in self.ids if self.merge(p) == [p]}
+        self.starts = {p[:k]: p[:k] in self.tokens for p in self.tokens for k in range(2, len(p) + 1)}
         self.reset()
 
     def reset(self):
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[tuple[str | None, str], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
-        self.single: dict[str, bool] = {}
         self.raw = [self._raw(i) for i in range(len(self.pieces))]
 
     def __getstate__(self):
         d = dict(self.__dict__)
-        for k in ("pairs", "known", "single", "raw"):
+        for k in ("pairs", "known", "raw"):
             d.pop(k)
         return d
 
@@ -107,20 +110,15 @@ class Vocabulary:
         return parts
 
     def is_token(self, t: str) -> bool:
-        ok = self.single.get(t)
-        if ok is None:
-            ok = self.single[t] = len(t) == 1 or (t in self.ids and self.merge(t) == [t])
-        return ok
+        return len(t) == 1 or t in self.tokens
 
     def follows(self, a: str | None, b: str) -> bool:
         """Weight of the step from piece ``a`` to ``b`` is 0 (not minus infinity)."""
-        if a is None or a[-1] + b[0] not in self.inner:
-            return True
         ok = self.pairs.get((a, b))
         if ok is None:
-            if len(self.pairs) > 4 * self.CACHE:
+            if len(self.pairs) > 2 * self.CACHE:
                 self.pairs.clear()
-            ok = self.pairs[a, b] = self.merge(a + b) == [a, b]
+            ok = self.pairs[a, b] = a is None or a[-1] + b[0] not in self.inner or self.merge(a + b) == [a, b]
         return ok
 
     # paths
@@ -148,15 +146,51 @@ class Vocabulary:
             end -= len(out[end])
         return got[::-1]
 
-    def to_ids(self, tokens) -> list[int]:
-        ids: list[int] = []
-        for t in tokens:
-            i = self.ids.get(t)
-            if i is None:
-                ids += [self.byte_ids[b] for b in t.encode("utf-8", "surrogatepass")]
+    def options(self, s: str, pos: int, end: int) -> list[str]:
+        """Pieces that begin at ``pos``, the longest last."""
+        out, k, starts = [s[pos]], pos + 2, self.starts
+        while k <= end:
+            p = s[pos:k]
+            token = starts.get(p)
+            if token is None:
+                break
+            if token:
+                out.append(p)
+            k += 1
+        return out
+
+    def best(self, s: str, end: int) -> list[str]:
+        """The path of weight 0 from 0 to ``end``, searched depth first, longest piece
+        first. Only one path leads to a position, so a position from which the end
+        was not reached is not tried again."""
+        path: list[str] = []
+        trail: list[list[str]] = []
+        dead: set[int] = set()
+        pairs, options = self.pairs, self.options
+        pos, last, opts = 0, None, options(s, 0, end)
+        while True:
+            while opts:
+                t = opts.pop()
+                q = pos + len(t)
+                ok = pairs.get((last, t))
+                if (self.follows(last, t) if ok is None else ok) and q not in dead:
+                    path.append(t)
+                    if q == end:
+                        return path
+                    trail.append(opts)
+                    pos, last, opts = q, t, options(s, q, end)
+                    break
             else:
-                ids.append(i)
-        return ids
+                dead.add(pos)
+                pos -= len(path.pop())
+                last, opts = path[-1] if path else None, trail.pop()
+
+    def to_ids(self, tokens) -> list[int]:
+        try:
+            return [self.ids[t] for t in tokens]
+        except KeyError:        # a character that is no piece
+            return [i for t in tokens for i in ([self.ids[t]] if t in self.ids else
+                                                [self.byte_ids[b] for b in t.encode("utf-8", "surrogatepass")])]
 
     def word(self, w: str) -> tuple[int, ...]:
         """Pieces of a string that no piece crosses the edges of."""
@@ -164,11 +198,7 @@ class Vocabulary:
         if got is None:
             if len(self.known) > self.CACHE:
                 self.known.clear()
-            cuts = [0, *(i for i in range(1, len(w)) if w[i - 1:i + 1] not in self.inner), len(w)]
-            ids: list[int] = []
-            for a, b in zip(cuts, cuts[1:]):
-                ids += self.to_ids(self.path(self.reach(w, a, None, b, b), a, b))
-            got = tuple(ids)
+            got = (self.ids[w],) if w in self.tokens else tuple(self.to_ids(self.best(w, len(w))))
             if len(w) <= 64:
                 self.known[w] = got
         return got
@@ -178,7 +208,10 @@ class Vocabulary:
         return (SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE) if text else ""
 
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(map(self.word, self.words.findall(self.prepared(text or "")))))
+        known, ids = self.known, []
+        for w in self.words.findall(self.prepared(text or "")):
+            ids += known.get(w) or self.word(w)
+        return ids
 
     def _raw(self, i: int) -> bytes:
         return {1: lambda p: p.replace(SPACE, " ").encode(), 2: lambda p: " ⁇ ".encode(),
@@ -187,9 +220,9 @@ class Vocabulary:
     def decode(self, ids) -> str | None:
         """The text; bytes that are no UTF-8 become U+FFFD; an id out of range or
         NULL: None."""
-        if ids is None or any(i is None or not 0 <= i < len(self.raw) for i in ids):
+        if ids is None or None in ids or ids and not 0 <= min(ids) <= max(ids) < len(self.raw):
             return None
-        b = b"".join([self.raw[i] for i in ids])
+        b = b"".join(map(self.raw.__getitem__, ids))
         first = next((i for i in ids if self.types[i] != 3), None)
         lead = self.dummy_prefix and first is not None and self.types[first] == 1 and b[:1] == b" "
         return b[lead:].decode("utf-8", "replace")
@@ -304,8 +337,8 @@ def encode(docs: DataFrame, text_col: str = "text", vocabulary: Vocabulary | Non
             for lo in range(0, big.num_rows, _SLICE):
                 b = big.slice(lo, _SLICE)
                 texts = [t or "" for t in b.column(1).to_pylist()]
-                rows = [np.array(voc.encode(t), np.int32) for t in texts]
-                ok = [voc.decode(r.tolist()) == t for r, t in zip(rows, texts)]
+                rows = [voc.encode(t) for t in texts]
+                ok = [voc.decode(r) == t for r, t in zip(rows, texts)]
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], _ids_array(rows), pa.array([len(r) for r in rows], pa.int64()),
                                                   pa.array(ok, pa.bool_())], names=schema.names)
 
