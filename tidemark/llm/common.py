@@ -3,7 +3,6 @@ table access, the training folds."""
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 import numpy as np
@@ -18,15 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it
-    back: cuts the lineage, survives lost executors, prunes columns, and lets Spark
-    drop the shuffle files behind it."""
+    back: cuts the lineage, survives lost executors, prunes columns. The write's own
+    shuffle files go when it ends (nothing else reads them)."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    gc.collect()                # frees the shuffle files that only finished steps used
-    spark._jvm.System.gc()
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
     return out

@@ -182,7 +182,9 @@ def build_filter(ngrams: DataFrame, bits_per_entry: int, max_bits: int) -> Filte
         b = f.build(t.column("k").to_numpy().view(np.uint64), t.column("q").to_numpy())
         return pa.table({"s": pa.array([key[0].as_py()], pa.int64()), "b": pa.array([b], pa.binary())})
 
-    rows = ngrams.groupBy(F.pmod("k", F.lit(f.segments)).cast("long").alias("s")).applyInArrow(one, "s long, b binary").collect()
+    built = stage(ngrams.groupBy(F.pmod("k", F.lit(f.segments)).cast("long").alias("s")).applyInArrow(one, "s long, b binary"), "segments")
+    rows = built.collect()
+    unstage(built)
     f.bits = np.zeros(f.segments * SEG_BITS // 8, np.uint8)
     for r in rows:
         f.bits[r.s * SEG_BITS // 8:(r.s + 1) * SEG_BITS // 8] = np.frombuffer(r.b, np.uint8)
