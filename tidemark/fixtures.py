@@ -30,7 +30,6 @@ WITH base AS (
          CAST(COUNT(*) AS DOUBLE) AS volume_24h,
          CAST(COUNT(DISTINCT o_custkey) AS DOUBLE) AS circulating_supply
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
-  WHERE o_orderdate < TIMESTAMP '2001-08-01 00:00:00'
   GROUP BY 1, 2, 3, 4)
 SELECT symbol, snapshot_time, coin_id, name, price, market_cap, volume_24h, circulating_supply,
   CAST(ROW_NUMBER() OVER (PARTITION BY snapshot_time ORDER BY market_cap DESC, symbol) AS INT) AS cmc_rank,

@@ -5,9 +5,8 @@
 * K2 ``cluster_kmeans``: MLlib k-means (distributed Lloyd iterations,
   k-means|| start), best training cost of ``n_init`` seeds.
 * K3 ``cluster_hierarchical``: exact Ward (nearest-neighbour chain, O(n^2))
-  per group in ``applyInPandas`` for groups up to ``exact_limit`` rows;
-  larger groups are first reduced to k-means micro-clusters, and Ward runs on
-  the weighted centroids — no group is ever held whole by one task.
+  per group in ``applyInPandas``, or, if the caller asks for ``micro``, on the
+  weighted centres of k-means micro-clusters; never chosen by size.
 * K4 ``cluster_dbscan``: eps-neighbour pairs from a grid on two features
   (equi-join on neighbouring cells, then the exact distance), core points by
   neighbour count, components by min-label propagation to a fixed point
@@ -144,28 +143,30 @@ def ward_labels(x: np.ndarray, k: int, weights: np.ndarray | None = None) -> np.
 
 def cluster_hierarchical(df: DataFrame, k: int = N_CLUSTERS, group: str | None = None,
                          features: Sequence[str] = CLUSTER_FEATURES, key: str = "symbol",
-                         label: str = "hierarchical_cluster", exact_limit: int = 3000,
+                         label: str = "hierarchical_cluster", method: str = "exact",
                          micro_clusters: int = 256, seed: int = 42) -> DataFrame:
     """K3: Ward into ``k`` clusters on standardized features, per ``group``
-    (one snapshot when ``group`` is None)."""
+    (one snapshot when ``group`` is None).
+
+    The caller names the method; the size of a group never changes it. ``exact`` merges
+    all rows of a group in one task (memory grows with the square of the group);
+    ``micro`` merges ``micro_clusters`` k-means centres and scales to any group, one
+    frame only (``group`` None)."""
+    if method not in ("exact", "micro") or method == "micro" and group:
+        raise ValueError("method is 'exact', or 'micro' without group")
     z = standardize(df, features, group)
     cols = [f"z_{f}" for f in available(df, features)]
     g = group or "_hg"
     z = materialize(z if group else z.withColumn(g, F.lit(0)))
-    sizes = materialize(z.groupBy(g).agg(F.count(F.lit(1)).alias("_n")))
-    big = [r[0] for r in sizes.filter(F.col("_n") > exact_limit).select(g).collect()]
-    key_type = dict(z.dtypes)[key]
-    schema = f"{g} {dict(z.dtypes)[g]}, {key} {key_type}, {label} int"
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key)
-        lab = ward_labels(pdf[cols].to_numpy(dtype=float), k)
-        return pd.DataFrame({g: pdf[g].to_numpy(), key: pdf[key].to_numpy(), label: lab.astype(np.int32)})
-    small = z.join(sizes.filter(F.col("_n") <= exact_limit).select(g), g, "left_semi")
-    labels = small.select(g, key, *cols).groupBy(g).applyInPandas(fit, schema)
-    for gv in big:  # few by construction: each holds more than exact_limit rows
-        part = z.filter(F.col(g) == gv)
-        labels = labels.unionByName(_ward_micro(part, cols, g, key, label, k, micro_clusters, seed))
+    if method == "micro":
+        labels = _ward_micro(z, cols, g, key, label, k, micro_clusters, seed)
+    else:
+        def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(key)
+            lab = ward_labels(pdf[cols].to_numpy(dtype=float), k)
+            return pd.DataFrame({g: pdf[g].to_numpy(), key: pdf[key].to_numpy(), label: lab.astype(np.int32)})
+        types = dict(z.dtypes)
+        labels = z.select(g, key, *cols).groupBy(g).applyInPandas(fit, f"{g} {types[g]}, {key} {types[key]}, {label} int")
     out = z.join(labels, [g, key], "left").drop(*cols)
     return out if group else out.drop(g)
 
@@ -191,7 +192,7 @@ def _ward_micro(part: DataFrame, cols, g, key, label, k, m, seed) -> DataFrame:
 # --------------------------------------------------------------------------- K4
 def cluster_dbscan(df: DataFrame, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES,
                    group: str | None = None, features: Sequence[str] = CLUSTER_FEATURES,
-                   key: str = "symbol", label: str = "dbscan_cluster", max_rounds: int = 1000) -> DataFrame:
+                   key: str = "symbol", label: str = "dbscan_cluster") -> DataFrame:
     """K4: DBSCAN on standardized features, per ``group``."""
     z = standardize(df, features, group)
     cols = [f"z_{f}" for f in available(df, features)]
@@ -218,7 +219,7 @@ def cluster_dbscan(df: DataFrame, eps: float = DBSCAN_EPS, min_samples: int = DB
         edges.join(core.withColumnRenamed("_p", "_a"), [g, "_a"], "left_semi")
         .join(core.withColumnRenamed("_p", "_b"), [g, "_b"], "left_semi"))
     lab = core.withColumn("_l", F.col("_p"))
-    for _ in range(max_rounds):
+    while True:     # labels only fall, so a fixed point is reached
         prop = (core_edges.join(lab.withColumnRenamed("_p", "_b").withColumnRenamed("_l", "_lb"), [g, "_b"])
                 .groupBy(g, "_a").agg(F.min("_lb").alias("_m")))
         new = materialize(lab.join(prop.withColumnRenamed("_a", "_p"), [g, "_p"], "left")

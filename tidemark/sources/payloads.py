@@ -8,13 +8,11 @@ JVM-side, one pass, no Python.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schema import CONTRACT_COLUMNS, FLAT_PAYLOAD_SCHEMA, NESTED_PAYLOAD_SCHEMA
+from tidemark.schema import CONTRACT_COLUMNS, CONTRACT_SCHEMA, FLAT_PAYLOAD_SCHEMA, NESTED_PAYLOAD_SCHEMA
 
 # Flat-provider field names → contract names.
 FLAT_FIELDS = {
@@ -24,8 +22,6 @@ FLAT_FIELDS = {
     "price_change_percentage_24h_in_currency": "percent_change_24h",
     "price_change_percentage_7d_in_currency": "percent_change_7d",
 }
-NUMERIC_CONTRACT = ["price", "market_cap", "volume_24h", "circulating_supply", "percent_change_1h",
-                    "percent_change_24h", "percent_change_7d", "cmc_rank"]
 
 
 def _ts(c: Column) -> Column:
@@ -74,22 +70,26 @@ def provider_fallback(primary: DataFrame, secondary: DataFrame, batch: str = "sn
     return primary.unionByName(secondary.join(have, batch, "left_anti"))
 
 
-def schema_contract(df: DataFrame, columns: Sequence[str] = CONTRACT_COLUMNS) -> DataFrame:
-    """Fail on missing contract columns (at plan time); coerce types; keep
-    the 13 columns in order (A4)."""
-    missing = set(columns) - set(df.columns)
-    if missing:
-        raise ValueError(f"API response missing required columns: {sorted(missing)}")
-    dtypes = dict(df.dtypes)
-    out = {}
-    for c in NUMERIC_CONTRACT:
-        t = T.IntegerType() if c == "cmc_rank" else T.DoubleType()
-        v = F.col(c).try_cast(t) if dtypes[c] == "string" else F.col(c).cast(t)
-        out[c] = F.when(F.isnan(v), None).otherwise(v) if c != "cmc_rank" else v
-    out["id"] = F.regexp_replace(F.col("id").cast("string"), r"^\s+|\s+$", "")
-    for c in ("last_updated", "snapshot_time"):
-        out[c] = _ts(F.col(c)) if dtypes[c] == "string" else F.col(c).cast(T.TimestampType())
-    return df.withColumns(out).select(*columns)
+def schema_contract(df: DataFrame, contract: T.StructType = CONTRACT_SCHEMA) -> DataFrame:
+    """The contract's fields, in its order and types (A4). A field that the frame
+    lacks is an error at plan time; a value that does not convert, or NaN, is NULL."""
+    lacking = [f.name for f in contract if f.name not in df.columns]
+    if lacking:
+        raise ValueError("batch does not meet the contract; no column " + ", ".join(lacking))
+    return df.select(*[_as_field(F.col(f.name), dict(df.dtypes)[f.name], f) for f in contract])
+
+
+def _as_field(v, given: str, field: T.StructField):
+    text = given == "string"
+    if isinstance(field.dataType, T.TimestampType):
+        out = _ts(v) if text else v.cast(field.dataType)
+    elif isinstance(field.dataType, T.StringType):
+        out = F.regexp_replace(v.cast("string"), r"^\s+|\s+$", "") if field.name == "id" else v
+    else:
+        out = v.try_cast(field.dataType) if text else v.cast(field.dataType)
+        if isinstance(field.dataType, T.DoubleType):
+            out = F.when(~F.isnan(out), out)
+    return out.alias(field.name)
 
 
 def stamp_snapshot(df: DataFrame, at=None, col: str = "snapshot_time") -> DataFrame:
