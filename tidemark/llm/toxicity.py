@@ -173,17 +173,21 @@ def _count(sample: DataFrame) -> dict[tuple[int, int], Counter]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        max_docs: int = 4_000, max_chars: int = 20_000_000) -> tuple[Model, np.ndarray] | None:
+        learn=lambda id_col: F.lit(True), max_docs: int = 4_000,
+        max_chars: int = 20_000_000) -> tuple[Model, np.ndarray] | None:
     """Model and logistic weights, or None if a class has no labelled text. At most
-    ``max_docs`` documents and about ``max_chars`` characters of each class are used;
-    documents of conflicting labels or with a NULL label are not."""
+    ``max_docs`` documents and about ``max_chars`` characters of each class are used, of ids
+    for which the column ``learn(name)`` is true; documents of conflicting labels or with a NULL label are not."""
     y = labels.where(col(label_col).isin(0, 1)).groupBy(col(id_col).alias("id")).agg(F.min(label_col).alias("y"), F.max(label_col).alias("y1"))
+    y = stage(y.where((F.col("y") == F.col("y1")) & learn("id")).select("id", F.col("y").cast("int").alias("y")), "labels")
+    # the documents are chosen by their labels alone, so that texts need not be shuffled to
+    # meet them: at most 2 * max_docs ids are broadcast
+    ids = [y.where(F.col("y") == c).orderBy(F.xxhash64("id"), "id").limit(max_docs) for c in (0, 1)]
     rows = (docs.select(col(id_col).alias("id"), col(text_col).alias("text")).where("text is not null")
-            .join(y.where("y = y1").select("id", F.col("y").cast("int").alias("y")), "id"))
-    rows = rows.withColumn("h", F.xxhash64("id", "text"))
+            .join(F.broadcast(ids[0].union(ids[1])), "id").withColumn("h", F.xxhash64("id", "text")))
     sample = stage(_sample(rows, max_docs, max_chars).withColumn("half", F.pmod(F.shiftright("h", 7), F.lit(2)).cast("int")), "toxic")
     counts = _count(sample)
-    prior = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    prior = {r.y: r["count"] for r in y.groupBy("y").count().collect()}
     if any(not counts[k] for k in counts):
         unstage(sample)
         return None
@@ -212,8 +216,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     the score of no evidence; repeated and NULL ids give a row each; other columns
     are ignored; an empty table gives an empty result; if one class has no labels
     every score is 0."""
-    learn = docs.where(fold(id_col, folds) != held_fold)
-    got = fit(learn, labels, id_col, text_col, **fit_options)
+    got = fit(docs, labels, id_col, text_col, learn=lambda c: fold(c, folds) != held_fold, **fit_options)
     src = docs.select(col(id_col).alias("id"), (fold(id_col, folds) == held_fold).alias("held_out"), col(text_col).alias("text"))
     if got is None:
         out = src.withColumn("score", F.lit(0.0))
