@@ -193,11 +193,21 @@ def _mul(a: dict, b: dict) -> dict:
     return out
 
 
-def _hr_fit(df: DataFrame, entity, time, value, ar_lags, ma_lags, d, D, s, steps, long_ar, name):
-    """Hannan-Rissanen on the differenced series w, then forecasts of y."""
+def _hr_fit(df: DataFrame, entity, time, value, ar_lags, ma_lags, d, D, s, steps, order, long_ar, name):
+    """Hannan-Rissanen on the differenced series w, then forecasts of y.
+
+    Every series is fitted with its own orders: ``order(m)`` is the first-stage AR
+    order for m differenced rows (``long_ar`` at most), and lags above a third of m are left
+    out of either stage; unused lags are zero columns. ``steps`` is a number or a table
+    (entity, _h). A series without enough rows to difference and fit gives one row
+    with status ``too_short`` and no step."""
     diff = _diff_poly(d, D, s)
     span = max(diff)
-    long_ar = int(long_ar)
+    m = F.greatest(F.col("n") - span, F.lit(0))
+    most = F.floor(m / 3)
+
+    def used(lag: int, limit, v):
+        return F.when(F.lit(lag) <= limit, v).otherwise(F.lit(0.0))
     look = span + long_ar + max(list(ar_lags) + list(ma_lags) + [0]) + 1
 
     def extra(fr, w):
@@ -206,7 +216,8 @@ def _hr_fit(df: DataFrame, entity, time, value, ar_lags, ma_lags, d, D, s, steps
             term = (F.col("y") if lag == 0 else F.lag("y", lag).over(w)) * F.lit(c)
             wexpr = term if wexpr is None else wexpr + term
         fr = fr.withColumn("w", wexpr)
-        return fr.withColumns({f"wl{i}": F.lag("w", i).over(w) for i in range(1, long_ar + 1)})
+        first = F.least(order(m), most, F.lit(long_ar))
+        return fr.withColumns({f"wl{i}": used(i, first, F.lag("w", i).over(w)) for i in range(1, long_ar + 1)})
     s1 = materialize(_series(df, entity, time, value, look, extra))
     xs1 = [f"wl{i}" for i in range(1, long_ar + 1)]
     cp1 = cross_products(s1, "w", xs1, [entity])
@@ -225,8 +236,8 @@ def _hr_fit(df: DataFrame, entity, time, value, ar_lags, ma_lags, d, D, s, steps
     s2 = s2.withColumn("e", resid).drop(*[f"a{i}" for i in range(1, long_ar + 1)])
 
     def extra2(fr, w):
-        fr = fr.withColumns({f"wp{i}": F.lag("w", i).over(w) for i in ar_lags})
-        return fr.withColumns({f"ep{j}": F.lag("e", j).over(w) for j in ma_lags})
+        fr = fr.withColumns({f"wp{i}": used(i, most, F.lag("w", i).over(w)) for i in ar_lags})
+        return fr.withColumns({f"ep{j}": used(j, most, F.lag("e", j).over(w)) for j in ma_lags})
     from tidemark.operators.series import with_entity_windows as _w
     s3 = materialize(_w(s2.select(entity, time, "y", "t", "n", "w", "e"), extra2, entity, time,
                         lookback=max(list(ar_lags) + list(ma_lags) + [1])))
@@ -236,9 +247,11 @@ def _hr_fit(df: DataFrame, entity, time, value, ar_lags, ma_lags, d, D, s, steps
     tail = s3.filter(F.col("t") >= F.col("n") - tail_len).select(entity, "t", "y", "w", "e")
     tails = tail.groupBy(entity).agg(F.sort_array(F.collect_list(F.struct("t", "y", "w", "e"))).alias("_tail"))
     fit_in = cp2.join(tails, entity)
+    fit_in = fit_in.withColumn("_h", F.lit(steps)) if isinstance(steps, int) else fit_in.join(steps, entity)
 
     def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
+        steps = int(row["_h"])
         xtx, xty, yy, n = unpack(row, len(xs2))
         beta, ssr, _ = solve(xtx, xty, yy, n, list(range(len(xs2))))
         sigma2 = ssr / max(n, 1)
@@ -266,9 +279,14 @@ def _hr_fit(df: DataFrame, entity, time, value, ar_lags, ma_lags, d, D, s, steps
         var = sigma2 * np.cumsum(psi ** 2)
         half = Z95 * np.sqrt(var)
         return pd.DataFrame({entity: row[entity], "model": name, "step": np.arange(steps, dtype=np.int32),
-                             "yhat": out_y, "lower": np.array(out_y) - half, "upper": np.array(out_y) + half})
-    return fit_in.groupBy(entity).applyInPandas(
-        forecast, f"{entity} string, model string, step int, yhat double, lower double, upper double")
+                             "yhat": out_y, "lower": np.array(out_y) - half, "upper": np.array(out_y) + half, "status": "ok"})
+    schema = f"{entity} string, model string, step int, yhat double, lower double, upper double, status string"
+    done = fit_in.groupBy(entity).applyInPandas(forecast, schema)
+    short = (df.select(F.col(entity).cast("string").alias(entity)).filter(F.col(entity).isNotNull()).distinct()
+             .join(fit_in.select(entity), entity, "left_anti"))
+    none = F.lit(None).cast("double")
+    return done.unionByName(short.select(entity, F.lit(name).alias("model"), F.lit(None).cast("int").alias("step"), none.alias("yhat"),
+                                         none.alias("lower"), none.alias("upper"), F.lit("too_short").alias("status")))
 
 
 def _backtest(df, entity, time, value, fitter, train_fraction: float = 0.8):
@@ -279,28 +297,28 @@ def _backtest(df, entity, time, value, fitter, train_fraction: float = 0.8):
     train = idx.filter(F.col("t") < F.floor(F.col("n") * train_fraction))
     test = idx.filter(F.col("t") >= F.floor(F.col("n") * train_fraction))
     horizon = test.groupBy(entity).agg(F.count(F.lit(1)).alias("_h"), F.min("t").alias("_t0"))
-    h_max = horizon.agg(F.max("_h")).head()[0] or 0
-    if h_max == 0:
+    if horizon.isEmpty():
         return None
-    fc = fitter(train.select(entity, time, value), h_max)
+    fc = fitter(train.select(entity, time, value), horizon.select(entity, "_h"))
     scored = (test.join(horizon, entity).withColumn("step", (F.col("t") - F.col("_t0")).cast("int"))
               .join(fc.select(entity, "step", "yhat"), [entity, "step"]))
     return regression_metrics(scored.withColumnRenamed(value, "y"), by=(entity,))
 
 
 def forecast_arima(df: DataFrame, order=(2, 1, 2), steps: int = 12, entity: str = "symbol",
-                   time: str = "snapshot_time", value: str = "price", backtest: bool = True):
-    """(forecast with 95 % interval, backtest metrics or None)."""
+                   time: str = "snapshot_time", value: str = "price", backtest: bool = True, max_long_ar: int = MAX_LONG_AR):
+    """(forecast with 95 % interval, backtest metrics or None). The first-stage AR order
+    follows each symbol's own length, up to the model parameter ``max_long_ar``."""
     p, d, q = order
-    n_min = df.filter(F.col(value).isNotNull()).groupBy(entity).count().agg(F.min("count")).head()[0] or 2
-    # the first-stage AR order of Hannan-Rissanen: ln(n)^2, at most n/4, and at
-    # most MAX_LONG_AR so the cross-product aggregate stays ~MAX_LONG_AR^2/2 sums
-    long_ar = max(min(int(math.floor(math.log(max(n_min, 2)) ** 2)), max(n_min // 4, 1), MAX_LONG_AR),
-                  2 * max(p, q), 1)
+    low = max(2 * max(p, q), 1)
+
+    def first(m):
+        """ln(m)^2, at most a quarter of the rows, at least twice the model's orders."""
+        return F.greatest(F.least(F.floor(F.pow(F.log(F.greatest(m, F.lit(2))), 2)), F.floor(m / 4)), F.lit(low))
 
     def fit(frame, h):
         return _hr_fit(frame, entity, time, value, list(range(1, p + 1)), list(range(1, q + 1)), d, 0, 1, h,
-                       long_ar, "ARIMA")
+                       first, max(max_long_ar, low), "ARIMA")
     fc = fit(df, steps)
     metrics = _backtest(df, entity, time, value, fit) if backtest else None
     return fc, (metrics.withColumn("model", F.lit("ARIMA")) if metrics is not None else None)
@@ -320,7 +338,7 @@ def forecast_sarima(df: DataFrame, order=(1, 1, 1), seasonal_order=(1, 1, 1, 48)
     long_ar = max(ar + ma) + 2
 
     def fit(frame, h):
-        return _hr_fit(frame, entity, time, value, ar, ma, d, D, s, h, long_ar, "SARIMA")
+        return _hr_fit(frame, entity, time, value, ar, ma, d, D, s, h, lambda m: F.lit(long_ar), long_ar, "SARIMA")
     fc = fit(df, steps)
     metrics = _backtest(df, entity, time, value, fit) if backtest else None
     return fc, (metrics.withColumn("model", F.lit("SARIMA")) if metrics is not None else None)

@@ -24,15 +24,18 @@ def _dir(spark, what: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}/{what}"
 
 
+FILES = 4       # landing files of a batch, read together by one trigger
+
+
 def _land(spark, parts) -> tuple[str, object]:
-    """Write each frame as its own landing file(s); return (folder, schema)."""
+    """Write each frame as FILES landing files; return (folder, schema)."""
     path = _dir(spark, "landing")
-    for i, df in enumerate(parts):
-        df.coalesce(1).write.mode("append").parquet(path)
+    for df in parts:
+        df.repartition(FILES).write.mode("append").parquet(path)
     return path, parts[0].schema
 
 
-def _source(spark, path, schema, files_per_trigger: int = 1):
+def _source(spark, path, schema, files_per_trigger: int = FILES):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
@@ -56,7 +59,7 @@ def q_stream_ingest(spark, sf):
     t = F.col("snapshot_time")
     path, schema = _land(spark, [c.filter(t < F.lit("2000-01-01").cast("timestamp")),
                                  c.filter(t >= F.lit("1999-10-01").cast("timestamp"))])
-    out = _run(ST.stream_ingest(_source(spark, path, schema), delay="3650 days", now=NOW), spark,
+    out = _run(ST.stream_ingest(_source(spark, path, schema), delay="1 day", now=NOW), spark,
                partition="capture_date")
     return out.select("coin_id", "snapshot_time", "symbol", "price")
 
@@ -107,33 +110,58 @@ def q_stream_guard(spark, sf):
     """Rows stamped after 'now' are dropped before the watermark; keys de-duplicated."""
     d = dirty_tape(spark, sf).select("ingest_ord", "coin_id", "symbol", "price", "snapshot_time")
     path, schema = _land(spark, [d])
-    out = _run(ST.stream_ingest(_source(spark, path, schema), delay="3650 days", now=NOW), spark)
+    out = _run(ST.stream_ingest(_source(spark, path, schema), delay="1 day", now=NOW), spark)
     return out.select("coin_id", "snapshot_time")
 
 
 FB_COLS = ["hourly_return", "daily_return", "rolling_mean_3", "market_dominance", "price_rank"]
 
 
-@query("foreach_batch_refresh", feature_set_sql("panel", P) + "SELECT symbol, snapshot_time, price, hourly_return, "
-       f"daily_return, {fix6_sql('rolling_mean_3')} AS rolling_mean_3, {fix6_sql('market_dominance')} AS market_dominance, "
-       "price_rank FROM ms")
-def q_foreach_batch(spark, sf):
-    """Micro-batches of whole snapshots stored, then features rebuilt for the touched symbols."""
+def _refreshed(spark, sf, how=lambda parts: parts, again=False, **options):
+    """The panel in three batches through ``refresh_batch``; the rows it leaves."""
     c = _panel_contract(spark, sf)
     t = F.col("snapshot_time")
     cuts = [F.lit(x).cast("timestamp") for x in ("1997-01-01", "1999-06-01")]
-    parts = [c.filter(t < cuts[0]), c.filter((t >= cuts[0]) & (t < cuts[1])), c.filter(t >= cuts[1])]
+    parts = how([c.filter(t < cuts[0]), c.filter((t >= cuts[0]) & (t < cuts[1])), c.filter(t >= cuts[1])])
     path, schema = _land(spark, parts)
     store, feats = _dir(spark, "store"), _dir(spark, "features")
+    body = ST.refresh_batch(store, feats, **options)
+
+    def deliver(batch, batch_id):
+        body(batch, batch_id)
+        if again:
+            body(batch, batch_id)
     q = (_source(spark, path, schema).writeStream.option("checkpointLocation", _dir(spark, "chk"))
-         .foreachBatch(ST.refresh_batch(store, feats, lookback_days=None)).trigger(availableNow=True).start())
+         .foreachBatch(deliver).trigger(availableNow=True).start())
     q.awaitTermination()
-    out = spark.read.parquet(feats)
+    out = ST.latest_features(spark.read.parquet(feats))
     return out.select("symbol", "snapshot_time", "price", "hourly_return", "daily_return",
                       fix6("rolling_mean_3").alias("rolling_mean_3"),
                       fix6("market_dominance").alias("market_dominance"), "price_rank")
 
 
+@query("foreach_batch_refresh", feature_set_sql("panel", P) + "SELECT symbol, snapshot_time, price, hourly_return, "
+       f"daily_return, {fix6_sql('rolling_mean_3')} AS rolling_mean_3, {fix6_sql('market_dominance')} AS market_dominance, "
+       "price_rank FROM ms")
+def q_foreach_batch(spark, sf):
+    """Micro-batches of whole snapshots stored, then features rebuilt for the touched symbols."""
+    return _refreshed(spark, sf)
+
+
+@query("foreach_batch_refresh_hard", feature_set_sql("panel", P) + "SELECT symbol, snapshot_time, price, hourly_return, "
+       f"daily_return, {fix6_sql('rolling_mean_3')} AS rolling_mean_3, {fix6_sql('market_dominance')} AS market_dominance, "
+       "price_rank FROM ms")
+def q_foreach_batch_hard(spark, sf):
+    """S6 with every batch delivered twice, snapshots split over batches and late rows: the
+    odd coins of each part arrive with the part after it (the last part's with it)."""
+    def late(parts):
+        odd = F.pmod(F.col("id").cast("int"), F.lit(2)) == 1
+        held = [p.filter(odd) for p in parts]
+        even = [p.filter(~odd) for p in parts]
+        return [even[0], even[1].unionByName(held[0]), even[2].unionByName(held[1]).unionByName(held[2])]
+    return _refreshed(spark, sf, late, again=True)
+
+
 @query("stream_price_spike", T + f"""
 SELECT symbol, snapshot_time,
   coalesce(price / nullif(LAG(price) OVER {W}, 0) - 1 > 0.1 OR (LAG(price) OVER {W} = 0 AND price > 0), false) AS is_price_spike
@@ -150,9 +178,9 @@ def q_stream_payloads(spark, sf):
     lines = encode_nested(panel(spark, sf)).select(F.col("snapshot_time").cast("string").alias("snapshot_time"),
                                                    "payload")
     path = _dir(spark, "landing")
-    lines.coalesce(2).write.mode("append").json(path)
-    src = spark.readStream.schema("snapshot_time string, payload string").option("maxFilesPerTrigger", 1).json(path)
-    out = _run(ST.stream_payloads(src, delay="3650 days", now=NOW), spark, partition="capture_date")
+    lines.repartition(FILES).write.mode("append").json(path)
+    src = spark.readStream.schema("snapshot_time string, payload string").option("maxFilesPerTrigger", FILES).json(path)
+    out = _run(ST.stream_payloads(src, delay="1 day", now=NOW), spark, partition="capture_date")
     return out.select("coin_id", "snapshot_time", "symbol", "cmc_rank", "price")
 
 
@@ -160,18 +188,6 @@ def q_stream_payloads(spark, sf):
        f"daily_return, {fix6_sql('rolling_mean_3')} AS rolling_mean_3, {fix6_sql('market_dominance')} AS market_dominance, "
        "price_rank FROM ms")
 def q_foreach_batch_tail(spark, sf):
-    """S6 with the back-history cut to each symbol's last 336 rows before the micro-batch."""
-    c = _panel_contract(spark, sf)
-    t = F.col("snapshot_time")
-    cuts = [F.lit(x).cast("timestamp") for x in ("1997-01-01", "1999-06-01")]
-    parts = [c.filter(t < cuts[0]), c.filter((t >= cuts[0]) & (t < cuts[1])), c.filter(t >= cuts[1])]
-    path, schema = _land(spark, parts)
-    store, feats = _dir(spark, "store"), _dir(spark, "features")
-    q = (_source(spark, path, schema).writeStream.option("checkpointLocation", _dir(spark, "chk"))
-         .foreachBatch(ST.refresh_batch(store, feats, lookback_days=None, lookback_rows=336))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = spark.read.parquet(feats)
-    return out.select("symbol", "snapshot_time", "price", "hourly_return", "daily_return",
-                      fix6("rolling_mean_3").alias("rolling_mean_3"),
-                      fix6("market_dominance").alias("market_dominance"), "price_rank")
+    """S6 with a look-back of 48 rows, the longest that these columns need (the daily
+    return's), so that the cut acts on the panel's 79 rows a coin."""
+    return _refreshed(spark, sf, lookback_rows=48)

@@ -38,38 +38,76 @@ def new_rows(batch: DataFrame, stored: DataFrame | None, keys=("coin_id", "snaps
     return batch.join(stored.select(*keys), list(keys), "left_anti")
 
 
+MARK = "_max_ingest_ord"        # side table: one row per write, next to the store
+
+
+def _mark_path(path: str) -> str:
+    return f"{path.rstrip('/')}{MARK}"
+
+
 def upsert_ignore(batch: DataFrame, path: str, order: str | None = None) -> int:
     """Insert a contract batch into the store at ``path``; skip keys already
     stored and later copies within the batch; return the number inserted (A6).
 
-    ``id`` is renamed ``coin_id``; ``ingest_ord`` continues after the stored
-    maximum (it is the "table order" that keep-last cleaning relies on);
-    ``inserted_at`` is the write's timestamp."""
+    Of copies within the batch the first by the column ``order`` wins; without one, by
+    the row's own values, so the result does not depend on how the batch is
+    partitioned. ``id`` is renamed ``coin_id``; ``ingest_ord`` is the write's number (kept
+    in a side table, so the store is not scanned for it) above the row's place in the batch's
+    order; it only grows from write to write and is the "table order" that keep-last cleaning
+    relies on. ``inserted_at`` is the write's timestamp."""
     spark = batch.sparkSession
     b = batch.withColumnsRenamed({"id": "coin_id"}) if "id" in batch.columns else batch
-    b = b.withColumn("_batch_ord", F.col(order) if order else F.monotonically_increasing_id())
+    rest = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(b.columns)]
+    b = b.withColumn("_batch_ord", F.struct(*([F.col(order)] if order else []), *rest))
     b = keep_first(b)
-    stored = None
-    max_ord = 0
+    stored, writes = None, 0
     if _exists(spark, path):
         # only the batch's own dates: a semi join on the partition column, so
         # dynamic partition pruning skips every other date's files
         days = b.select(F.to_date("snapshot_time").alias("capture_date")).distinct()
         stored = spark.read.parquet(path).join(days, "capture_date", "left_semi")
-        max_ord = spark.read.parquet(path).agg(F.max("ingest_ord")).head()[0] or 0
+        if _exists(spark, _mark_path(path)):
+            writes = spark.read.parquet(_mark_path(path)).agg(F.max("writes")).head()[0] or 0
+        else:       # a store written before the side table was kept
+            writes = (spark.read.parquet(path).agg(F.max("ingest_ord")).head()[0] or 0) // _ORD_STEP + 1
+    from tidemark.operators.series import materialize
     fresh = new_rows(b, stored)
-    # unique and increasing in batch order (gaps are harmless: only the order is used)
-    fresh = (fresh.withColumn("ingest_ord", F.lit(max_ord + 1) + F.col("_batch_ord")).drop("_batch_ord")
+    place = F.col(order).cast("long") if order else F.monotonically_increasing_id() % _ORD_STEP
+    fresh = (fresh.withColumn("ingest_ord", F.lit((writes + 1) * _ORD_STEP) + place).drop("_batch_ord")
              .withColumn("inserted_at", F.current_timestamp())
              .withColumn("capture_date", F.to_date("snapshot_time")))
-    from tidemark.operators.series import materialize
     fresh = materialize(fresh)
     n = fresh.count()
     if n:
         fresh.write.mode("append").partitionBy("capture_date").parquet(path)
+        spark.range(1).select(F.lit(writes + 1).cast("long").alias("writes")).write.mode("append").parquet(_mark_path(path))
     return n
 
 
+_ORD_STEP = 1 << 40
+
+
+def run_cycle(raw: DataFrame, store_path: str, backup_path: str, processed_path: str | None = None,
+              order: str | None = None) -> DataFrame:
+    """M3: one whole cycle on a fetched contract batch: store (insert-ignore), back the batch up
+    as CSV, clean the stored history, build features, flag anomalies, and return the one-row
+    run summary. With ``processed_path`` the processed history and the latest snapshot are
+    written there."""
+    from tidemark.operators.anomaly import run_anomaly_pipeline
+    from tidemark.operators.cleaning import clean_pipeline
+    from tidemark.operators.features import build_feature_set
+    from tidemark.operators.reports import run_summary
+    from tidemark.operators.snapshots import latest_snapshot
+    inserted = upsert_ignore(raw, store_path, order)
+    csv_append(raw, backup_path)
+    history = scan_store(raw.sparkSession, store_path).drop("capture_date", "inserted_at")
+    final = run_anomaly_pipeline(build_feature_set(clean_pipeline(history)))
+    if processed_path:
+        csv_overwrite(final, f"{processed_path}/history")
+        csv_overwrite(latest_snapshot(final), f"{processed_path}/latest")
+    return run_summary(history, final, inserted)
+
+
 def scan_store(spark: SparkSession, path: str) -> DataFrame:
     """The whole stored history."""
     return spark.read.parquet(path)

@@ -21,7 +21,7 @@ same logic runs as streams over landing folders:
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -140,46 +140,68 @@ def stream_step_features(stream: DataFrame, delay: str = "1 hour", drop: float =
         _step_state_fn(drop, rise, alpha), STEP_OUT, STEP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def refresh_batch(store_path: str, features_path: str, lookback_days: int | None = 8,
-                  lookback_rows: int | None = None, now=None, checkpoint: bool = True):
-    """A ``foreachBatch`` body. Stores the micro-batch (insert-ignore),
-    re-reads only the touched symbols (with ``lookback_days``, only the dates
-    within that many days before the batch, a partition-pruned read; with
-    ``lookback_rows``, then only each symbol's last that many rows before the
-    batch — 336 covers every look-back of the feature set, so the batch's
-    features equal a full recompute), rebuilds their features and appends
-    the batch's rows."""
+FULL_LOOKBACK_ROWS = 336     # the longest look-back of the feature set (weekly return)
+
+
+def refresh_batch(store_path: str, features_path: str, lookback_rows: int = FULL_LOOKBACK_ROWS,
+                  outputs_path: str | None = None, checkpoint: bool = True):
+    """A ``foreachBatch`` body: stores the micro-batch (insert-ignore) and rebuilds
+    the features that it changes.
+
+    Rebuilt are the touched symbols' rows from their earliest row of the batch on (a late
+    row reaches those after it) and, for the cross-section, all rows of the snapshot
+    times among them. Entity windows look back ``lookback_rows`` rows per symbol, a
+    count that holds at any cadence, so results equal a full rebuild. The rows replace
+    what the same ``batch_id`` wrote before, so a redelivered batch changes
+    nothing; ``latest_features`` reads the newest version of each row. With
+    ``outputs_path`` the latest rebuilt snapshot with its anomaly flags and a run summary
+    are written there."""
+    from tidemark.operators.anomaly import run_anomaly_pipeline
     from tidemark.operators.features import build_feature_set
-    from tidemark.operators.series import ordinal, with_entity_windows
+    from tidemark.operators.reports import run_summary
+    from tidemark.operators.series import materialize, ordinal, with_entity_windows
+    from tidemark.operators.snapshots import latest_snapshot
     from tidemark.sources.store import upsert_ignore
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         contract = batch.withColumnsRenamed({"coin_id": "id"}) if "coin_id" in batch.columns else batch
-        upsert_ignore(contract.drop("capture_date") if "capture_date" in contract.columns else contract, store_path)
+        inserted = upsert_ignore(contract.drop("capture_date"), store_path)
         spark = batch.sparkSession
-        touched = batch.select("symbol").distinct()
-        lo = batch.agg(F.min("snapshot_time")).head()[0]
-        hist = spark.read.parquet(store_path).join(touched, "symbol", "left_semi")
-        if lookback_days is not None:
-            hist = hist.filter(F.col("capture_date") >= F.date_sub(F.lit(lo).cast("date"), lookback_days))
-        hist = hist.drop("capture_date", "inserted_at")
-        if lookback_rows is not None:
-            before = hist.filter(F.col("snapshot_time") < F.lit(lo))
-            after = hist.filter(F.col("snapshot_time") >= F.lit(lo))
-
-            def build(fr, w):
-                return fr.withColumn("_rd", F.col("_total") - ordinal("symbol", "snapshot_time"))
-            tail = with_entity_windows(before, build, lookback=0).filter(F.col("_rd") <= lookback_rows).drop("_rd")
-            hist = tail.unionByName(after)
+        store = spark.read.parquet(store_path).drop("inserted_at")
+        first = batch.groupBy("symbol").agg(F.min("snapshot_time").alias("_from"))
+        redo = materialize(store.join(first, "symbol").filter(F.col("snapshot_time") >= F.col("_from"))
+                           .select("symbol", "snapshot_time"))
+        times = materialize(redo.select("snapshot_time").distinct())
+        # whole snapshots, each symbol from its first of them on, and its look-back before that
+        whole = materialize(store.join(times, "snapshot_time", "left_semi").groupBy("symbol")
+                            .agg(F.min("snapshot_time").alias("_from")))
+        hist = store.join(whole, "symbol")
+
+        def rank_back(fr, w):
+            return fr.withColumn("_back", F.col("_total") - ordinal("symbol", "snapshot_time"))
+        before = with_entity_windows(hist.filter(F.col("snapshot_time") < F.col("_from")), rank_back, lookback=0)
+        hist = (before.filter(F.col("_back") <= lookback_rows).drop("_back")
+                .unionByName(hist.filter(F.col("snapshot_time") >= F.col("_from")))).drop("_from", "capture_date")
         feats = build_feature_set(hist, checkpoint=checkpoint)
-        keys = batch.select("symbol", "snapshot_time").distinct()
-        (feats.join(keys, ["symbol", "snapshot_time"], "left_semi")
-         .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(features_path))
+        keys = store.join(times, "snapshot_time", "left_semi").select("symbol", "snapshot_time")
+        out = feats.join(keys, ["symbol", "snapshot_time"], "left_semi")
+        out.write.mode("overwrite").parquet(f"{features_path.rstrip('/')}/batch_id={batch_id}")
+        if outputs_path:
+            final = run_anomaly_pipeline(out)
+            latest_snapshot(final).write.mode("overwrite").parquet(f"{outputs_path}/latest")
+            run_summary(batch, final, inserted).write.mode("overwrite").parquet(f"{outputs_path}/summary/batch_id={batch_id}")
     return run
 
 
+def latest_features(features: DataFrame, keys: Sequence[str] = ("symbol", "snapshot_time")) -> DataFrame:
+    """The newest version of each row that ``refresh_batch`` wrote."""
+    cols = [c for c in features.columns if c != "batch_id"]
+    newest = features.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch_id").alias("_r"))
+    return newest.select("_r.*").select(*cols)
+
+
 def stream_payloads(stream: DataFrame, provider: str = "nested", convert: str = "USD",
                     delay: str = "1 day", now=None) -> DataFrame:
     """S1 from raw landing files: one JSON payload per line with its capture
