@@ -260,3 +260,16 @@ def test_grouped_quantiles_bracket_path_equals_percentile(spark):
     bad = j.filter(~(F.col("_q_price_0").eqNullSafe(F.col("r")[0]) & F.col("_q_price_1").eqNullSafe(F.col("r")[1])
                      & F.col("_q_price_2").eqNullSafe(F.col("r")[2])))
     assert bad.count() == 0 and j.count() == 5
+
+
+def test_quantiles_with_mostly_ties(spark):
+    """80 % of the values are one number: quantiles equal percentile, read off counts
+    per value (a tie is one row), never off an array of the rows."""
+    from tidemark.operators import stats
+    df = spark.range(60000).select(F.when(F.col("id") % 5 == 0, F.rand(3)).otherwise(F.lit(0.25)).alias("x"), (F.col("id") % 3).alias("g")).cache()
+    probs = [0.1, 0.25, 0.5, 0.9, 0.99]
+    pct = F.percentile("x", F.array(*[F.lit(p) for p in probs]))
+    assert stats.exact_quantiles(df, "x", probs, small=500) == df.agg(pct).head()[0]
+    want = {r.g: list(r.q) for r in df.groupBy("g").agg(pct.alias("q")).collect()}
+    got = stats.grouped_quantiles(df, "g", {"x": probs}, sketch=500, small=100)
+    assert {r.g: [r[f"_q_x_{i}"] for i in range(5)] for r in got.collect()} == want

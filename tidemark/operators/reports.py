@@ -68,17 +68,18 @@ def compute_kpis(latest: DataFrame, benchmark: str = "BTC") -> DataFrame:
     pct = "percent_change_24h"
     has_bench = F.max(F.col("symbol") == benchmark)
     bench_price = F.max(F.when(F.col("symbol") == benchmark, F.col("price")))
+    price, cap, volume, coins, gainer, loser, largest, volatile = KPI_LABELS
     rows = [
-        ("BTC Price", F.when(has_bench, F.concat(F.lit("$"), fmt_grouped(bench_price, 2))).otherwise("N/A"), None),
-        ("Total Market Cap", F.concat(F.lit("$"), fmt_grouped(F.sum("market_cap"), 0)), None),
-        ("24H Volume", F.concat(F.lit("$"), fmt_grouped(F.sum("volume_24h"), 0)), None),
-        ("Number of Coins", F.count(F.lit(1)).cast("string"), None),
-        ("Top Gainer", F.concat(arg_max("symbol", pct), F.lit(" ("), fmt_fixed(arg_max(pct, pct), 2), F.lit("%)")), None),
-        ("Top Loser", F.concat(arg_min("symbol", pct), F.lit(" ("), fmt_fixed(arg_min(pct, pct), 2), F.lit("%)")), None),
-        ("Largest Market Cap", arg_max("symbol", "market_cap"), None),
+        (price, F.when(has_bench, F.concat(F.lit("$"), fmt_grouped(bench_price, 2))).otherwise("N/A"), None),
+        (cap, F.concat(F.lit("$"), fmt_grouped(F.sum("market_cap"), 0)), None),
+        (volume, F.concat(F.lit("$"), fmt_grouped(F.sum("volume_24h"), 0)), None),
+        (coins, F.count(F.lit(1)).cast("string"), None),
+        (gainer, F.concat(arg_max("symbol", pct), F.lit(" ("), fmt_fixed(arg_max(pct, pct), 2), F.lit("%)")), None),
+        (loser, F.concat(arg_min("symbol", pct), F.lit(" ("), fmt_fixed(arg_min(pct, pct), 2), F.lit("%)")), None),
+        (largest, arg_max("symbol", "market_cap"), None),
     ]
     if "volatility" in latest.columns:
-        rows.append(("Most Volatile", arg_max("symbol", "volatility"), F.count("volatility") > 0))
+        rows.append((volatile, arg_max("symbol", "volatility"), F.count("volatility") > 0))
     return _rows(latest, rows)
 
 
@@ -90,9 +91,11 @@ def generate_insights(latest: DataFrame) -> DataFrame:
                              F.when(pct > 0, "up").otherwise("down"), fmt_fixed(pct, 2)), None)]
     cols = latest.columns
     rank_col = "market_dominance" if "market_dominance" in cols else "market_cap"
-    top3 = F.slice(F.array_sort(F.collect_list(F.struct(
+    ranked = latest.select(F.struct(
         F.col(rank_col).isNull().alias("n"), (-F.col(rank_col)).alias("k"), F.col("symbol").alias("s"),
-        (F.col("market_dominance") if "market_dominance" in cols else F.lit(None).cast("double")).alias("d")))), 1, 3)
+        (F.col("market_dominance") if "market_dominance" in cols else F.lit(None).cast("double")).alias("d")).alias("t"))
+    # three rows by a distributed top-k, not an array of the whole snapshot
+    top3 = ranked.orderBy("t").limit(3).agg(F.array_sort(F.collect_list("t"))).scalar()
     if "market_dominance" in cols:
         combined = F.aggregate(top3, F.lit(0.0), lambda acc, x: acc + x["d"]) * 100.0
         names = F.array_join(F.transform(top3, lambda x: x["s"]), ", ")

@@ -135,10 +135,6 @@ def with_entity_windows(df: DataFrame, build: Callable[[DataFrame, Window], Data
     return out.filter(F.col("_home")).drop("_home", "_chunk", "_bkt", "_before", "_total")
 
 
-def lag_rows(c: str, k: int, w: Window) -> Column:
-    return F.lag(F.col(c), k).over(w)
-
-
 def group_rank(df: DataFrame, group: str, order_col: str, descending: bool = True,
                name: str = "rank", target_rows: int = 2_000_000, max_buckets: int = 1024,
                accuracy: int = 10_000, partitions: int | None = None,

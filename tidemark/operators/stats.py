@@ -112,19 +112,52 @@ def missing_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     return _long(df, structs).orderBy(F.desc("missing_count"), "column_name")
 
 
-SMALL_EXACT = 5_000_000
+SMALL_EXACT = 200_000      # values that one ``percentile`` buffer may hold
+
+
+def _values_at(src: DataFrame, ranks: Sequence[int], n: int, most: int) -> list[float]:
+    """Values of ``src._v`` (``n`` rows) at the 0-based ``ranks``, which are neighbours.
+
+    A sketch brackets the ranks and the rows under the bracket are counted, again and again,
+    until at most ``most`` rows are left inside, or the bracket is one value. Then (or when
+    repeated values keep it from shrinking) the counts per distinct value are read off."""
+    lo = hi = None
+    below, eps, first, last = 0, 2e-6, min(ranks), max(ranks)
+    while True:
+        inside = src if lo is None else src.filter((F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi)))
+        if n <= most or eps >= 1:
+            break
+        ps = [max(0.0, (first - below) / n - eps), min(1.0, (last - below + 1) / n + eps)]
+        a, z = inside.agg(F.percentile_approx("_v", F.array(*[F.lit(p) for p in ps]), 1_000_000)).head()[0]
+        under, upto = inside.agg(F.count_if(F.col("_v") < F.lit(a)), F.count_if(F.col("_v") <= F.lit(z))).head()
+        if not (below + under <= first and last < below + upto):
+            eps *= 8            # the ranks lie outside: a wider bracket
+        elif a == z:
+            return [float(a)] * len(ranks)
+        elif upto - under > n / 2:
+            break               # repeated values: few distinct ones are left
+        else:
+            lo, hi, below, n = a, z, below + under, upto - under
+    out: dict[int, float] = {}
+    seen = below
+    for r in inside.groupBy("_v").agg(F.count(F.lit(1)).alias("c")).orderBy("_v").toLocalIterator():
+        for k in ranks:
+            if seen <= k < seen + r["c"]:
+                out[k] = float(r["_v"])
+        seen += r["c"]
+        if len(out) == len(set(ranks)):
+            break
+    return [out[k] for k in ranks]
 
 
 def quantile_table(df: DataFrame, spec: dict[str, Sequence[float]], accuracy: int | None = None,
                    small: int = SMALL_EXACT) -> dict[tuple[str, float], Column]:
     """Whole-column quantiles for several columns at once, as literal Columns.
 
-    Exact by default without gathering a big column: one pass counts every
-    column and brackets each needed rank with ``percentile_approx`` (error at
-    most n/sketch_accuracy ranks). Columns with at most ``small`` values then
-    take ``percentile`` in one shared pass; larger ones count the rows under
-    their brackets and sort only the bracketed values (about 4n/1e6) to pick
-    the two order statistics, interpolated exactly as ``percentile`` does.
+    Exact by default without gathering a big column: columns with at most
+    ``small`` values take ``percentile`` in one shared pass; of larger ones only
+    counts per value inside a sketched bracket are read (``_values_at``), and the two
+    order statistics are interpolated exactly as ``percentile`` does.
     With ``accuracy`` the quantiles are ``percentile_approx`` (lazy)."""
     cols = list(spec)
     if not cols:
@@ -139,16 +172,7 @@ def quantile_table(df: DataFrame, spec: dict[str, Sequence[float]], accuracy: in
             for i, p in enumerate(spec[c]):
                 out[(c, p)] = q.select(F.col("q")[i]).scalar()
         return out
-    sketch = 1_000_000
-    eps = 2.0 / sketch
     first = df.agg(*[F.count(F.when(ok[c], F.lit(1))).alias(f"n_{k}") for k, c in enumerate(cols)]).head()
-    large = [k for k, c in enumerate(cols) if first[f"n_{k}"] > small]
-    if large:  # sketch brackets only for the columns that need them
-        sk = df.agg(*[F.percentile_approx(F.when(ok[cols[k]], val[cols[k]]),
-                                          F.array(*[F.lit(max(0.0, p - eps)) for p in spec[cols[k]]],
-                                                  *[F.lit(min(1.0, p + eps)) for p in spec[cols[k]]]), sketch)
-                      .alias(f"b_{k}") for k in large]).head()
-        first = {**first.asDict(), **sk.asDict()}
     out: dict[tuple[str, float], Column] = {}
     small_cols = [k for k, c in enumerate(cols) if first[f"n_{k}"] <= small]
     if small_cols:
@@ -163,24 +187,12 @@ def quantile_table(df: DataFrame, spec: dict[str, Sequence[float]], accuracy: in
         if k in small_cols:
             continue
         n = first[f"n_{k}"]
-        br = first[f"b_{k}"]
-        m = len(spec[c])
         src = df.select(val[c].alias("_v")).filter(ok[c])
-        below = src.agg(*[F.count_if(F.col("_v") < F.lit(br[i])).alias(f"c{i}") for i in range(m)]).head()
-        for i, p in enumerate(spec[c]):
+        for p in spec[c]:
             pos = p * (n - 1)
             k_lo, k_hi = math.floor(pos), math.ceil(pos)
-            b = below[f"c{i}"]
-            inside = src.filter((F.col("_v") >= F.lit(br[i])) & (F.col("_v") <= F.lit(br[m + i])))
-            srt = F.sort_array(F.collect_list("_v"))
-            got = inside.agg(F.count(F.lit(1)).alias("m"), F.element_at(srt, F.lit(max(k_lo - b + 1, 1))).alias("a"),
-                             F.element_at(srt, F.lit(max(k_hi - b + 1, 1))).alias("z")).head()
-            if not (b <= k_lo and k_hi < b + got["m"]):  # outside the guaranteed bracket: exact fallback
-                v = src.agg(F.percentile("_v", F.lit(float(p)))).head()[0]
-            elif k_lo == k_hi or got["a"] == got["z"]:
-                v = float(got["a"])
-            else:
-                v = (k_hi - pos) * got["a"] + (pos - k_lo) * got["z"]
+            a, z = _values_at(src, [k_lo, k_hi], n, small)
+            v = a if k_lo == k_hi or a == z else (k_hi - pos) * a + (pos - k_lo) * z
             out[(c, p)] = F.lit(v).cast("double")
     return out
 
@@ -208,9 +220,9 @@ def grouped_quantiles(df: DataFrame, group: str, spec: dict[str, Sequence[float]
     Lazy, two aggregates and a join. (1) Per group: the value count and a
     ``percentile_approx`` sketch bracket around each target rank. (2) Groups
     of at most ``small`` values take ``percentile`` (its buffer holds at most
-    ``small`` values); larger groups count the values under each bracket and
-    collect only the values inside it, in a partial aggregate, so a group
-    holding a third of all rows is reduced map-side. The bracket is widened
+    ``small`` values); larger groups count the values under each bracket and,
+    per distinct value, those inside it (so repeated values take one entry), in
+    partial aggregates that reduce a hot group map-side. The bracket is widened
     by the sketch error (n/sketch ranks) plus 2/small, which covers the two
     ranks between the sketch's rank convention and interpolation positions
     for any group above ``small``. Order statistics are interpolated as
@@ -239,7 +251,7 @@ def grouped_quantiles(df: DataFrame, group: str, spec: dict[str, Sequence[float]
                     .alias(f"_gb{k}"))
     brackets = df.groupBy(group).agg(*aggs)
     x = df.select(group, *[F.when(ok[c], val[c]).alias(f"_gv{k}") for k, c in enumerate(cols)]).join(brackets, group)
-    aggs2, outs = [], []
+    aggs2, outs, inside = [], [], []
     for k, c in enumerate(cols):
         ps = list(spec[c])
         m = len(ps)
@@ -249,9 +261,20 @@ def grouped_quantiles(df: DataFrame, group: str, spec: dict[str, Sequence[float]
         for i in range(m):
             lo, hi = F.col(f"_gb{k}")[i], F.col(f"_gb{k}")[m + i]
             aggs2.append(F.count_if(big & (v < lo)).alias(f"_gbel{k}_{i}"))
-            aggs2.append(F.sort_array(F.collect_list(F.when(big & (v >= lo) & (v <= hi), v))).alias(f"_gc{k}_{i}"))
+            inside.append(F.when(big & (v >= lo) & (v <= hi), F.struct(F.lit(f"{k}_{i}").alias("j"), v.alias("v"))))
         aggs2.append(F.first(f"_gn{k}").alias(f"_gn{k}"))
-    per = x.groupBy(group).agg(*aggs2)
+    names = [f"{k}_{i}" for k, c in enumerate(cols) for i in range(len(spec[c]))]
+    counted = (x.select(group, F.explode(F.array(*inside)).alias("_e")).filter(F.col("_e").isNotNull())
+               .groupBy(group, "_e").agg(F.count(F.lit(1)).alias("_c")))
+    counted = counted.groupBy(group).agg(*[
+        F.sort_array(F.collect_list(F.when(F.col("_e.j") == j, F.struct("_e.v", F.col("_c").alias("c"))))).alias(f"_gc{j}") for j in names])
+    per = x.groupBy(group).agg(*aggs2).join(counted, group, "left")
+
+    def at(cand, rank):
+        """Value at the 0-based rank among counted values; NULL beyond them."""
+        zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("v"))
+        return F.aggregate(cand, zero, lambda a, e: F.struct(
+            (a["n"] + e["c"]).alias("n"), F.when(a["v"].isNull() & (a["n"] + e["c"] > rank), e["v"]).otherwise(a["v"]).alias("v")))["v"]
     for k, c in enumerate(cols):
         ps = list(spec[c])
         n = F.col(f"_gn{k}").cast("double")
@@ -260,9 +283,8 @@ def grouped_quantiles(df: DataFrame, group: str, spec: dict[str, Sequence[float]
             k_lo, k_hi = F.floor(pos), F.ceil(pos)
             b = F.col(f"_gbel{k}_{i}")
             cand = F.col(f"_gc{k}_{i}")
-            ia, iz = (k_lo - b + 1).cast("int"), (k_hi - b + 1).cast("int")
-            a = F.when(ia >= 1, F.try_element_at(cand, ia))
-            z = F.when(iz >= 1, F.try_element_at(cand, iz))
+            a = F.when(k_lo >= b, at(cand, k_lo - b))
+            z = F.when(k_hi >= b, at(cand, k_hi - b))
             bracketed = F.when((k_lo == k_hi) | (a == z), a).otherwise((k_hi - pos) * a + (pos - k_lo) * z)
             q = (F.when(n == 0, F.lit(None)).when(n <= small, F.col(f"_gp{k}")[i]).otherwise(bracketed))
             outs.append(q.cast("double").alias(f"{prefix}_{c}_{i}"))

@@ -10,7 +10,6 @@ aggregated rows. Row positions and lags come from the chunked entity windows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -184,15 +183,6 @@ def stitch_tail_and_forecast(df: DataFrame, forecast: DataFrame, n_tail: int = 5
     return tail.join(fc, [entity, "pos"], "full_outer")
 
 
-def min_history(df: DataFrame, min_rows: int = 20, entity: str = "symbol", value: str = "price") -> DataFrame:
-    from tidemark.operators.reports import min_history_gate
-    return min_history_gate(df, min_rows, entity, value)
-
-
-def _normal_cdf(x: float) -> float:
-    return 0.5 * (1.0 + math.erf(x / math.sqrt(2.0)))
-
-
 def append_forecast(df: DataFrame, forecast: DataFrame, n_tail: int = 50, entity: str = "symbol",
                     value: str = "price") -> DataFrame:
     """C8, the continuous form: the last ``n_tail`` values at positions
