@@ -95,10 +95,10 @@ def generate_insights(latest: DataFrame) -> DataFrame:
         F.col(rank_col).isNull().alias("n"), (-F.col(rank_col)).alias("k"), F.col("symbol").alias("s"),
         (F.col("market_dominance") if "market_dominance" in cols else F.lit(None).cast("double")).alias("d")).alias("t"))
     # three rows by a distributed top-k, not an array of the whole snapshot
-    top3 = ranked.orderBy("t").limit(3).agg(F.array_sort(F.collect_list("t"))).scalar()
+    top3 = ranked.orderBy("t").limit(3).agg(F.array_sort(F.collect_list("t")).alias("a"))
     if "market_dominance" in cols:
-        combined = F.aggregate(top3, F.lit(0.0), lambda acc, x: acc + x["d"]) * 100.0
-        names = F.array_join(F.transform(top3, lambda x: x["s"]), ", ")
+        combined = top3.select(F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x["d"]) * 100.0).scalar()
+        names = top3.select(F.array_join(F.transform("a", lambda x: x["s"]), ", ")).scalar()
         rows.append(("top3_dominance",
                      F.format_string("The top 3 coins by market cap (%s) control %s%% of total tracked market cap.",
                                      names, fmt_fixed(combined, 1)),
