@@ -73,3 +73,18 @@ def op4_embedding_near_dedup(spark, sf_dir):
 @query
 def op5_substring_dedup(spark, sf_dir):
     return substring.passages(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_embedding_near_dedup"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+reached(u, r) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reached.u, links.v FROM reached JOIN links ON links.u = reached.r),
+low AS (SELECT u, min(r) AS component_id FROM reached GROUP BY u)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.u = e.vec_id) AS n_links, low.component_id, e.vec_id = low.component_id AS kept
+FROM embeddings e JOIN low ON low.u = e.vec_id"""
