@@ -9,7 +9,8 @@ group's (1 - contamination) quantile; groups under ``min_rows`` rows are never
 flagged.
 
 Exact k-nearest neighbours without comparing all pairs:
-  1. rows are ordered within the group by one column (``sort_col``) and cut
+  1. rows are ordered within the group by one column (``sort_col``; by default the
+     one of largest standard deviation) and cut
      into blocks of ``block_rows`` consecutive rows (``group_rank`` splits
      hot groups); each block's rows become one array, with its value range;
   2. the k nearest rows in that order (a window of ±k rows) give every point
@@ -49,13 +50,16 @@ def lof_scores(df: DataFrame, cols: Sequence[str], group: str = "snapshot_time",
                accuracy: int | None = None) -> DataFrame:
     """Add ``lof_score`` (NULL for groups under ``min_rows``)."""
     cols = list(cols)
-    sort_col = sort_col or cols[0]
     # a block must hold k + 1 rows so the in-block bound sees k other points
     block_rows = max(block_rows, k_max + 1)
     feat = [f"_x{i}" for i in range(len(cols))]
     # the neighbour search reads its input several times: write the narrow
     # projection once instead of re-running the input's plan for each pass
     src = materialize(df.select(group, key, *cols))
+    if sort_col is None:
+        # the column that rules the distances prunes best
+        spread = src.agg(*[F.coalesce(F.stddev_pop(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in cols]).head()
+        sort_col = max(cols, key=lambda c: (spread[c], -cols.index(c)))
     meds = grouped_quantiles(src, group, {c: [0.5] for c in cols}).select(
         group, *[F.col(f"_q_{c}_0").alias(f"_m{i}") for i, c in enumerate(cols)])
     base = sized_join(src, materialize(meds), group, "left")
@@ -127,8 +131,11 @@ def lof_flags(df: DataFrame, cols: Sequence[str], group: str = "snapshot_time",
               accuracy: int | None = None, **kw) -> DataFrame:
     scored = lof_scores(df, cols, group, key, accuracy=accuracy, **kw)
     q = 1.0 - contamination
-    pct = F.percentile("lof_score", F.lit(q)) if accuracy is None else F.percentile_approx("lof_score", F.lit(q), accuracy)
-    thr = scored.groupBy(group).agg(pct.alias("_thr"))
+    if accuracy is None:
+        scored = materialize(scored)
+        thr = grouped_quantiles(scored, group, {"lof_score": [q]}).withColumnRenamed("_q_lof_score_0", "_thr")
+    else:
+        thr = scored.groupBy(group).agg(F.percentile_approx("lof_score", F.lit(q), accuracy).alias("_thr"))
     out = scored.join(thr, group, "left").withColumn(
         flag, F.coalesce(F.col("lof_score") > F.col("_thr"), F.lit(False))).drop("_thr")
     return out if keep_score else out.drop("lof_score")
