@@ -64,13 +64,17 @@ def standardize(df: DataFrame, features: Sequence[str] = CLUSTER_FEATURES, group
 def cluster_kmeans(df: DataFrame, k: int = N_CLUSTERS, n_init: int = 10, seed: int = 42,
                    features: Sequence[str] = CLUSTER_FEATURES, label: str = "kmeans_cluster") -> DataFrame:
     """K2: k-means on the standardized features; the lowest-cost of
-    ``n_init`` seeded runs is kept (each run is a distributed MLlib fit)."""
+    ``n_init`` seeded runs is kept (each run is a distributed MLlib fit). With fewer
+    than ``k`` distinct rows there are as many clusters as those."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
     z = standardize(df, features)
     cols = [f"z_{f}" for f in available(df, features)]
     vec = VectorAssembler(inputCols=cols, outputCol="_vec").transform(z)
     vec = materialize(vec)
+    k = min(k, vec.select(*cols).distinct().limit(k).count())
+    if k < 2:
+        return vec.withColumn(label, F.lit(0)).drop("_vec", *cols)
     best = None
     for i in range(n_init):
         model = KMeans(k=k, seed=seed + i, featuresCol="_vec", predictionCol=label).fit(vec)

@@ -73,12 +73,19 @@ def skew_kurtosis(df: DataFrame, cols: Sequence[str] = SKEW_COLUMNS) -> DataFram
     return _long(df, structs)
 
 
+def _corr(a: str, b: str) -> Column:
+    """``corr`` that is NULL, not an error, where a side has no variance."""
+    spread = [F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x))) for x, y in ((a, b), (b, a))]
+    return F.try_divide(F.covar_pop(a, b), spread[0] * spread[1])
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLUMNS) -> DataFrame:
     """Pearson correlation of every ordered pair, pairwise complete.
 
-    ``corr`` skips rows where either side is NULL, like pandas ``.corr()``.
+    Rows where either side is NULL are skipped and a constant side gives NULL, like
+    pandas ``.corr()``.
     Long form ``(col_a, col_b, corr)``; one aggregate pass for all pairs."""
-    structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.corr(a, b).alias("corr"))
+    structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), _corr(a, b).alias("corr"))
                for a in cols for b in cols]
     return _long(df, structs)
 

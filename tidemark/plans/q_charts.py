@@ -139,7 +139,8 @@ def q_chart_vol(spark, sf):
 
 
 @query("chart_correlation_latest", P + " UNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {fix6_sql(f'corr({a}, {b})')} AS corr FROM panel WHERE snapshot_time = {LATEST}"
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, CASE WHEN NOT isnan(corr({a}, {b})) THEN {fix6_sql(f'corr({a}, {b})')} END AS corr "
+    f"FROM panel WHERE snapshot_time = {LATEST}"
     for a in ["price", "market_cap", "volume_24h", "percent_change_24h", "circulating_supply"]
     for b in ["price", "market_cap", "volume_24h", "percent_change_24h", "circulating_supply"]))
 def q_chart_corr(spark, sf):
