@@ -8,9 +8,11 @@ not one per occurrence.
 Every counted n-gram is put into the filter under levels 1..q, q = 1 + floor(log2
 count). A count is read back by probing levels until one is missing. The filter is
 made of segments; all probes of an n-gram fall into the segment of its hash, so
-segments are built independently. Its size follows the number of entries up to
-``max_bits`` (a fixed bound for the broadcast); beyond, no n-gram is left out but the
-rate of false positives rises.
+segments are built independently. Their number follows the entries, so the rate of
+false positives is the same for any input. A filter of up to ``broadcast_bits`` is
+broadcast; a larger one stays a table: each chunk sends its distinct n-grams to the
+shards (groups of segments) they fall into, and the levels come back to the chunk.
+Both give the same levels.
 
 Exact counts for the base score come from the counts table: each chunk asks for its
 distinct words, and the answers meet the chunk again. Words are keyed by a mixed
@@ -32,6 +34,7 @@ from .common import Words, col, fold, mix64, stage, text_buffer, unstage
 
 CHUNK_BYTES = 8 << 20
 SEG_BITS = 1 << 19
+SHARD = 32              # segments probed together by one task (2 MB)
 _MUL = np.uint64(0xD6E8FEB86659FD93)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 BOS = np.uint64(0x243F6A8885A308D3)     # stands before the first word
@@ -117,6 +120,12 @@ def _bigrams(chunks: DataFrame) -> DataFrame:
     return chunks.select("sizes", "held", "words", "seq").mapInArrow(run, "k long, n long")
 
 
+def _keys(words: np.ndarray, s: Stream) -> tuple[np.ndarray, np.ndarray]:
+    """What a chunk looks up: its words, then its distinct pairs; each token's pair in it."""
+    pairs, at = np.unique(pair_key(s.before, s.word), return_inverse=True)
+    return np.concatenate([word_key(words), pairs]), len(words) + at
+
+
 def _salt(level: int) -> np.uint64:
     return np.uint64(level * int(_GOLD) % (1 << 64))
 
@@ -124,13 +133,15 @@ def _salt(level: int) -> np.uint64:
 class Filter:
     """Log-frequency Bloom filter; ``bits`` has SEG_BITS/8 bytes per segment."""
 
-    def __init__(self, segments: int, hashes: int, bits: np.ndarray | None = None):
-        self.segments, self.hashes, self.bits = segments, hashes, bits
+    def __init__(self, segments: int, hashes: int, bits: np.ndarray | None = None, top: int | None = None):
+        self.segments, self.hashes, self.bits, self.top = segments, hashes, bits, top
 
     @classmethod
-    def sized(cls, entries: int, bits_per_entry: int, max_bits: int) -> "Filter":
-        seg = max(1, min(-(-entries * bits_per_entry // SEG_BITS), max_bits // SEG_BITS))
-        return cls(seg, max(1, min(7, round(math.log(2) * seg * SEG_BITS / max(1, entries)))))
+    def sized(cls, entries: int, bits_per_entry: int, max_bits: int | None = None) -> "Filter":
+        seg = max(1, -(-entries * bits_per_entry // SEG_BITS))
+        if max_bits is not None:
+            seg = max(1, min(seg, max_bits // SEG_BITS))
+        return cls(seg, max(1, min(round(math.log(2) * bits_per_entry), round(math.log(2) * seg * SEG_BITS / max(1, entries)))))
 
     def places(self, keys: np.ndarray, level: int):
         """Bit positions of an entry within its segment, one probe after another."""
@@ -150,12 +161,13 @@ class Filter:
                 on[p] = True
         return np.packbits(on, bitorder="little").tobytes()
 
-    def level(self, keys: np.ndarray) -> np.ndarray:
-        """Number of the first levels found in a row."""
+    def level(self, keys: np.ndarray, first: int = 0) -> np.ndarray:
+        """Number of the first levels found in a row, ``top`` at most; ``bits`` begins
+        with segment ``first``."""
         out = np.zeros(len(keys), np.int64)
-        left, base = np.arange(len(keys)), self.segment(keys) * (SEG_BITS // 8)
+        left, base = np.arange(len(keys)), (self.segment(keys) - first) * (SEG_BITS // 8)
         j = 1
-        while len(left):
+        while len(left) and (self.top is None or j <= self.top):
             # an entry leaves at its first missing probe
             for i in range(self.hashes):
                 h = mix64(keys[left] + _salt(j))
@@ -166,40 +178,83 @@ class Filter:
             j += 1
         return out
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        """Quantised count: the middle of the level's range (0 if absent)."""
-        q = self.level(keys)
-        return np.where(q > 0, (np.exp2(q - 1.0) + np.exp2(q) - 1) / 2, 0.0)
+    def by_shard(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the keys by shard, the shards that occur, where each begins."""
+        shard = self.segment(keys) // SHARD
+        order = np.argsort(shard, kind="stable")
+        return order, *np.unique(shard[order], return_index=True)
+
 
+def quantised(q: np.ndarray) -> np.ndarray:
+    """The count that a level stands for: the middle of its range (0 if absent)."""
+    return np.where(q > 0, (np.exp2(q - 1.0) + np.exp2(q) - 1) / 2, 0.0)
 
-def build_filter(ngrams: DataFrame, bits_per_entry: int, max_bits: int) -> Filter:
-    """``ngrams``: (k, q). Each segment is built in its own group; the driver receives
-    the finished segments, max_bits / 8 bytes at most."""
-    entries = ngrams.agg(F.sum("q")).first()[0] or 0
-    f = Filter.sized(entries, bits_per_entry, max_bits)
+
+def build_filter(ngrams: DataFrame, false_rate: float) -> tuple[Filter, DataFrame]:
+    """The filter of ``ngrams`` (k, q), without its bits, and its segments (s, b), each built
+    in its own group. An absent entry is found with probability ``false_rate`` a level."""
+    entries, top = ngrams.agg(F.coalesce(F.sum("q"), F.lit(0)), F.coalesce(F.max("q"), F.lit(0))).first()
+    f = Filter.sized(entries, math.ceil(-math.log(false_rate) / math.log(2) ** 2))
+    f.top = top
 
     def one(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         b = f.build(t.column("k").to_numpy().view(np.uint64), t.column("q").to_numpy())
         return pa.table({"s": pa.array([key[0].as_py()], pa.int64()), "b": pa.array([b], pa.binary())})
 
-    built = stage(ngrams.groupBy(F.pmod("k", F.lit(f.segments)).cast("long").alias("s")).applyInArrow(one, "s long, b binary"), "segments")
-    rows = built.collect()
-    unstage(built)
-    f.bits = np.zeros(f.segments * SEG_BITS // 8, np.uint8)
-    for r in rows:
-        f.bits[r.s * SEG_BITS // 8:(r.s + 1) * SEG_BITS // 8] = np.frombuffer(r.b, np.uint8)
-    return f
+    return f, stage(ngrams.groupBy(F.pmod("k", F.lit(f.segments)).cast("long").alias("s")).applyInArrow(one, "s long, b binary"), "segments")
+
+
+def _place(bits: np.ndarray, i: int, segment: bytes) -> None:
+    bits[i * SEG_BITS // 8:(i + 1) * SEG_BITS // 8] = np.frombuffer(segment, np.uint8)
+
+
+def probe(chunks: DataFrame, f: Filter, segments: DataFrame) -> DataFrame:
+    """(asker, shard, q): the levels of each chunk's n-grams, shard by shard, in the order
+    of ``by_shard``. A shard's segments come first, then the chunks that ask it, one
+    by one, so a task holds one shard and one Arrow batch."""
+    def asks(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                words = np.array(b.column("words")[i].values, np.int64).view(np.uint64)
+                s = _stream(words, np.array(b.column("sizes")[i].values, np.int64), b.column("seq")[i].as_py())
+                keys, _ = _keys(words, s)
+                order, shards, starts = f.by_shard(keys)
+                parts = [k.tobytes() for k in np.split(keys[order], starts[1:])] if len(shards) else []
+                yield pa.RecordBatch.from_pydict({"shard": pa.array(shards, pa.int64()), "data": pa.array(parts, pa.binary()),
+                                                  "at": pa.array([b.column("chunk")[i].as_py()] * len(parts), pa.int64())})
+
+    def answer(batches):
+        held, g = -1, None
+        for b in batches:
+            askers, shards, levels = [], [], []
+            for shard, at, data in zip(b.column("shard").to_pylist(), b.column("at").to_pylist(), b.column("data")):
+                if shard != held:
+                    held, g = shard, Filter(f.segments, f.hashes, np.zeros(SHARD * SEG_BITS // 8, np.uint8), f.top)
+                if at < 0:
+                    _place(g.bits, at + f.segments - shard * SHARD, data.as_py())
+                else:
+                    q = g.level(np.frombuffer(data.as_py(), np.uint64), shard * SHARD)
+                    askers, shards, levels = [*askers, at], [*shards, shard], [*levels, q.astype(np.uint8).tobytes()]
+            yield pa.RecordBatch.from_pydict({"asker": pa.array(askers, pa.int64()), "shard": pa.array(shards, pa.int64()), "q": pa.array(levels, pa.binary())})
+
+    # segments have negative places and chunks positive ones
+    asked = chunks.select("chunk", "sizes", "words", "seq").mapInArrow(asks, "shard long, data binary, at long")
+    filled = segments.select(F.expr(f"s div {SHARD}").alias("shard"), F.col("b").alias("data"), (F.col("s") - f.segments).alias("at"))
+    both = filled.union(asked).repartition("shard").sortWithinPartitions("shard", "at")
+    return stage(both.mapInArrow(answer, "asker long, shard long, q binary"), "levels")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1,
-          min_pair: int = 2, pair_weight: float = 0.4, bits_per_entry: int = 10, max_bits: int = 1 << 29) -> DataFrame:
+          min_pair: int = 2, pair_weight: float = 0.4, false_rate: float = 0.01, broadcast_bits: int = 1 << 29) -> DataFrame:
     """One row per document row: id, held_out, n_tokens, n_known, train_tokens,
     base_score, score.
 
     ``base_score`` uses exact word counts of the documents whose fold is not ``held_fold``.
     ``score`` is the log10 probability of the text (with its end) under an interpolated
     bigram model whose counts are read from the filter: words, and pairs seen at
-    least ``min_pair`` times, weigh ``1 - pair_weight`` and ``pair_weight``.
+    least ``min_pair`` times, weigh ``1 - pair_weight`` and ``pair_weight``. ``false_rate``
+    is the filter's rate of false positives per level; ``broadcast_bits`` decides only how
+    it is probed.
 
     NULL text counts as empty (one token, the end); a NULL id falls into the fold of
     the text ``null``; repeated ids give a row each; other columns are ignored; an
@@ -220,14 +275,26 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     pairs = _bigrams(chunks).groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= min_pair).select("k", level("n").alias("q"))
     words = counts.select("h", level("c").alias("q")).mapInArrow(keyed, "k long, q long")
     ngrams = stage(words.union(pairs), "ngrams")
-    lm = docs.sparkSession.sparkContext.broadcast(build_filter(ngrams, bits_per_entry, max_bits))
+    f, segments = build_filter(ngrams, false_rate)
     unstage(ngrams)
-    answers = asks.select(F.col("chunk").alias("asker"), "h").join(counts, "h")
+    answers = asks.select(F.col("chunk").alias("asker"), "h").join(counts, "h").select("asker", "h", "c")
+    small = f.segments * SEG_BITS <= broadcast_bits
+    if small:
+        f.bits = np.zeros(f.segments * SEG_BITS // 8, np.uint8)
+        for r in segments.toLocalIterator():
+            _place(f.bits, r.s, r.b)
+        answers = answers.select("*", F.lit(None).cast("long").alias("shard"), F.lit(None).cast("binary").alias("q"))
+    else:
+        answers = answers.unionByName(probe(chunks, f, segments), allowMissingColumns=True)
+    unstage(segments)
+    lm = docs.sparkSession.sparkContext.broadcast(f)
     out = f"{id_col} long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     names = [x.split()[0] for x in out.split(", ")]
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         parts = []
+        levels = right.filter(right.column("q").is_valid()).select(["shard", "q"]).sort_by("shard").column("q").to_pylist()
+        right = right.filter(right.column("h").is_valid())
         h = right.column("h").to_numpy()
         order = np.argsort(h)
         h, c = h[order], right.column("c").to_numpy()[order]
@@ -239,12 +306,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
             exact[:-1][np.isin(w, h)] = c[np.searchsorted(h, w[np.isin(w, h)])]
             exact[-1] = n_train
             base = np.log10((exact + 0.5) / (n + 0.5 * (v + 1)))
-            single = np.append(lm.value.count(word_key(w.view(np.uint64))), float(n_train))
+            keys, at = _keys(w.view(np.uint64), s)
+            if small:
+                q = lm.value.level(keys)
+            else:
+                q = np.empty(len(keys), np.int64)
+                q[lm.value.by_shard(keys)[0]] = np.frombuffer(b"".join(levels), np.uint8)
+            known = quantised(q)
+            single = np.append(known[:len(w)], float(n_train))
             p = (single + 0.5) / (n + 0.5 * (v + 1))
             context = np.empty(len(s.idx))
             context[1:] = single[s.idx[:-1]]
             context[s.before == BOS] = n_train
-            pair = lm.value.count(pair_key(s.before, s.word))
+            pair = known[at]
             share = np.where(context > 0, np.minimum(1.0, pair / np.maximum(context, 1)), 0)
             prob = np.where(context > 0, pair_weight * share + (1 - pair_weight) * p[s.idx], p[s.idx])
             d = len(ids)
