@@ -1,5 +1,7 @@
 """The language model's filter at sizes beyond one segment and beyond a broadcast."""
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -52,3 +54,16 @@ def test_probe_answers_from_several_shards(spark):
     f, segments = lm.build_filter(ngrams, 1e-300)
     got = lm.probe(chunks, f, segments).collect()
     assert f.segments > 2 * lm.SHARD and len({r.shard for r in got}) > 2 and len({r.asker for r in got}) == chunks.count()
+
+
+def test_pairs_seen_once_count(spark):
+    ids = [i for i in range(40) if lm_fold(i) != 1][:2]
+    held = next(i for i in range(40) if lm_fold(i) == 1)
+    # b follows a once in training and never follows c, which is as frequent
+    rows = [(ids[0], "a b"), (ids[1], "c d"), (held, "a b"), (held, "c b")]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).where("held_out").collect()
+    assert got[0].base_score == got[1].base_score and got[0].score > got[1].score + 0.3
+
+
+def lm_fold(i):
+    return zlib.crc32(str(i).encode()) % 5

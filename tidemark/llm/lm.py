@@ -245,16 +245,16 @@ def probe(chunks: DataFrame, f: Filter, segments: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1,
-          min_pair: int = 2, pair_weight: float = 0.4, false_rate: float = 0.01, broadcast_bits: int = 1 << 29) -> DataFrame:
+          pair_weight: float = 0.4, false_rate: float = 0.01, broadcast_bits: int = 1 << 29) -> DataFrame:
     """One row per document row: id, held_out, n_tokens, n_known, train_tokens,
     base_score, score.
 
     ``base_score`` uses exact word counts of the documents whose fold is not ``held_fold``.
     ``score`` is the log10 probability of the text (with its end) under an interpolated
-    bigram model whose counts are read from the filter: words, and pairs seen at
-    least ``min_pair`` times, weigh ``1 - pair_weight`` and ``pair_weight``. ``false_rate``
-    is the filter's rate of false positives per level; ``broadcast_bits`` decides only how
-    it is probed.
+    bigram model whose counts are read from the filter: words and pairs, also those
+    seen once, weigh ``1 - pair_weight`` and ``pair_weight``. ``false_rate`` is the
+    filter's rate of false positives per level; ``broadcast_bits`` decides only how it
+    is probed.
 
     NULL text counts as empty (one token, the end); a NULL id falls into the fold of
     the text ``null``; repeated ids give a row each; other columns are ignored; an
@@ -272,7 +272,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
             k = word_key(b.column(0).to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), b.column(1)], names=["k", "q"])
 
-    pairs = _bigrams(chunks).groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= min_pair).select("k", level("n").alias("q"))
+    pairs = _bigrams(chunks).groupBy("k").agg(F.sum("n").alias("n")).select("k", level("n").alias("q"))
     words = counts.select("h", level("c").alias("q")).mapInArrow(keyed, "k long, q long")
     ngrams = stage(words.union(pairs), "ngrams")
     f, segments = build_filter(ngrams, false_rate)
