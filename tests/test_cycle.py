@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tidemark.fixtures import panel
 from tidemark.operators import models
 from tidemark.schema import CONTRACT_COLUMNS, CONTRACT_SCHEMA

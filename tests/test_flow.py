@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tidemark.fixtures import panel
 from tidemark.operators import anomaly, cleaning, features, reports, snapshots
 from tidemark.schema import CONTRACT_COLUMNS

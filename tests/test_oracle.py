@@ -6,7 +6,7 @@ import pytest
 from oracle_compare import compare
 from tidemark.plans.registry import ORACLES, QUERIES, load_all
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 load_all()
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from paths import SF_MID, SF_SMALL
 from tidemark.fixtures import bars, panel, tape
 from tidemark.operators import anomaly as A
 from tidemark.operators import cluster as CL

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tidemark.fixtures import tape
 from tidemark.session import checkpoint_dir
 from tidemark.streaming import streams
