@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lm, pieces, pii, quality, simhash, substring, toxicity, vectors
+from . import decontam, langid, lm, mixing, pieces, pii, quality, simhash, substring, toxicity, vectors
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,38 @@ def op5_substring_dedup(spark, sf_dir):
     return substring.passages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_mixing(spark, sf_dir):
+    return mixing.plan(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3)
+
+
+ORACLES["op12_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('12:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS tie FROM documents),
+s AS (SELECT source, CAST(sum(size) AS HUGEINT) AS s, row_number() OVER (ORDER BY source NULLS LAST) AS at FROM d GROUP BY source),
+w AS (SELECT source, s, CAST([1, 5, 2][at % 3 + 1] AS HUGEINT) AS w FROM s),
+steps AS (
+  SELECT *, s / CAST(w AS DOUBLE) AS turn,
+    sum(s) OVER () - 3 * coalesce(sum(s) OVER below, 0) AS rest, sum(w) OVER () - coalesce(sum(w) OVER below, 0) AS free
+  FROM w WINDOW below AS (ORDER BY s / CAST(w AS DOUBLE), source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT CAST(arg_min(rest, turn) AS HUGEINT) AS rest, CAST(arg_min(free, turn) AS HUGEINT) AS free FROM steps WHERE 3 * s * free >= rest * w),
+goal AS (
+  SELECT source, s, 3 * s * free <= rest * w AS capped,
+    CASE WHEN capped THEN CAST(3 * s AS DOUBLE) ELSE CAST(rest * w AS DOUBLE) / CAST(free AS DOUBLE) END AS target,
+    CASE WHEN s = 0 THEN 0 WHEN capped THEN 3 ELSE rest * w END AS up, CASE WHEN s = 0 OR capped THEN 1 ELSE s * free END AS down,
+    CAST('0x' || substr(md5('12:' || coalesce('=' || source, '')), 1, 6) AS HUGEINT) AS u
+  FROM w, level),
+walk AS (
+  SELECT d.doc_id, d.size, g.s, g.target, g.up * 16777216 AS step, g.down * 16777216 AS one, g.u * g.down AS start,
+    CAST(row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.tie) AS HUGEINT) AS k
+  FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, CAST(s AS BIGINT) AS source_size, target,
+  CAST(((k * step + start) // one - ((k - 1) * step + start) // one) * size AS BIGINT) AS taken,
+  CAST((k * step + start) // one - ((k - 1) * step + start) // one AS BIGINT) AS copies
+FROM walk"""
+
+
 ORACLES["op4_embedding_near_dedup"] = """
 WITH RECURSIVE good AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
