@@ -84,8 +84,8 @@ ORACLES["op12_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
          md5('12:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS tie FROM documents),
-s AS (SELECT source, CAST(sum(size) AS HUGEINT) AS s, row_number() OVER (ORDER BY source NULLS LAST) AS at FROM d GROUP BY source),
-w AS (SELECT source, s, CAST([1, 5, 2][at % 3 + 1] AS HUGEINT) AS w FROM s),
+s AS (SELECT source, CAST(sum(size) AS HUGEINT) AS s, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
+w AS (SELECT source, s, CAST(CASE place % 3 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS HUGEINT) AS w FROM s),
 steps AS (
   SELECT *, s / CAST(w AS DOUBLE) AS turn,
     sum(s) OVER () - 3 * coalesce(sum(s) OVER below, 0) AS rest, sum(w) OVER () - coalesce(sum(w) OVER below, 0) AS free
