@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lm, mixing, pieces, pii, quality, simhash, substring, toxicity, vectors
+from . import alignment, decontam, langid, lm, mixing, pieces, pii, quality, simhash, substring, toxicity, vectors
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,11 @@ def op5_substring_dedup(spark, sf_dir):
     return substring.passages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_tokenizer_alignment(spark, sf_dir):
+    return alignment.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_mixing(spark, sf_dir):
     return mixing.plan(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3)
