@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, decontam, langid, lm, mixing, pieces, pii, quality, simhash, substring, toxicity, vectors
+from . import alignment, decontam, langid, lm, mixing, phrases, pieces, pii, quality, simhash, substring, toxicity, vectors
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +112,36 @@ SELECT doc_id, size, CAST(s AS BIGINT) AS source_size, target,
 FROM walk"""
 
 
+@query
+def op13_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), max_words=4, min_count=30, top=2000)
+
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+list AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+size AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM list GROUP BY lang),
+every AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM list, (SELECT unnest(range(1, 5)) AS k)),
+f AS (SELECT lang, phrase, k, count(*) AS f FROM every GROUP BY ALL HAVING count(*) >= 30),
+found AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cut AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS j FROM found),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.j, x.f AS l, y.f AS r, 2000000 * CAST(c.a AS HUGEINT) // (x.f + y.f) AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.j + 1:c.k], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM found o WHERE o.lang = b.lang AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' ') AND o.phrase <> b.phrase
+      AND 100 * CAST(o.a AS HUGEINT) >= 80 * CAST(b.a AS HUGEINT)))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN size USING (lang) QUALIFY rank <= 2000"""
+
+
 ORACLES["op4_embedding_near_dedup"] = """
 WITH RECURSIVE good AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
