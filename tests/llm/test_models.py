@@ -91,11 +91,8 @@ def test_filter_counts():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 2**63, 20000).astype(np.uint64)
     q = rng.integers(1, 9, 20000)
-    f = lm.Filter.sized(int(q.sum()), 10, 1 << 29)
-    seg = f.segment(keys)
-    f.bits = np.frombuffer(b"".join(f.build(keys[seg == s], q[seg == s]) for s in range(f.segments)), np.uint8)
+    f = lm.Bits.build(keys, q, 0.01)
     got = f.level(keys)
     assert (got >= q).all() and (got == q).mean() > 0.98
     assert (f.level(rng.integers(0, 2**63, 20000).astype(np.uint64)) > 0).mean() < 0.02
-    small = lm.Filter.sized(10**9, 10, 1 << 20)
-    assert small.segments == 2 and small.hashes == 1
+    assert f.size <= 10 * q.sum() and f.hashes == 7

@@ -1,22 +1,24 @@
 """Language-model scores from a log-frequency Bloom filter (Talbot & Osborne).
 
-Documents become chunks: the distinct words of up to ``CHUNK_BYTES`` of text, their
-training counts, and the texts as indices into them. Word and bigram counts are
-grouped sums over what the chunks hold, so a frequent word costs one row per chunk,
-not one per occurrence.
+Documents become chunks: the distinct words of up to ``CHUNK_BYTES`` of text and the
+texts as indices into them. Each chunk sends its distinct words and word pairs, with
+their training counts, to the buckets of their hashes, once: a bucket sums the counts,
+builds its part of the filter and answers each chunk's words with their exact
+counts.
 
 Every counted n-gram is put into the filter under levels 1..q, q = 1 + floor(log2
-count). A count is read back by probing levels until one is missing. The filter is
-made of segments; all probes of an n-gram fall into the segment of its hash, so
-segments are built independently. Their number follows the entries, so the rate of
-false positives is the same for any input. A filter of up to ``broadcast_bits`` is
-broadcast; a larger one stays a table: each chunk sends its distinct n-grams to the
-shards (groups of segments) they fall into, and the levels come back to the chunk.
-Both give the same levels.
-
-Exact counts for the base score come from the counts table: each chunk asks for its
-distinct words, and the answers meet the chunk again. Words are keyed by a mixed
-64-bit hash (two of 5 million words collide with probability under 1e-6).
+count). A count is read back by probing levels until one is missing. A bucket's part is
+sized by its own entries, so the rate of false positives is the same for any input and
+any bucket. A count c takes at most c entries, which bounds the filter by the number of
+tokens before it is built: within ``broadcast_bits`` it is broadcast and probed by the
+chunks; otherwise the bucket that built a part probes it for the chunks that sent it
+n-grams, and levels go back. Both give the same levels.
+
+A word's probability is its quantised count over the sum of all words' quantised
+counts (smoothed); a pair's is the lower end of its level over the exact count of its
+first word, so the shares after a word do not add up to more than 1. Words are keyed by
+mixed 64-bit hashes (two of 5 million words collide with probability under 1e-6), pairs
+by 48 bits of one.
 """
 
 from __future__ import annotations
@@ -29,21 +31,35 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Words, col, fold, mix64, stage, text_buffer, unstage
 
 CHUNK_BYTES = 8 << 20
-SEG_BITS = 1 << 19
-SHARD = 32              # segments probed together by one task (2 MB)
+BUCKET_KEYS = 1 << 21       # n-grams that chunks send to one bucket
+KEY_BYTES = 6               # of a pair's key
 _MUL = np.uint64(0xD6E8FEB86659FD93)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 BOS = np.uint64(0x243F6A8885A308D3)     # stands before the first word
 END = np.uint64(0x13198A2E03707344)     # the end token
-CHUNK = "chunk long, ids array<long>, held array<boolean>, sizes array<int>, words array<long>, train array<long>, seq binary"
+
+
+def _pack(x: np.ndarray) -> bytes:
+    return len(x).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(x).tobytes(), codec="zstd", asbytes=True) if len(x) else b""
+
+
+def _unpack(data: bytes, dtype: str) -> np.ndarray:
+    dtype = np.dtype(dtype)
+    if not data:
+        return np.empty(0, dtype)
+    size = int.from_bytes(data[:8], "little") * dtype.itemsize
+    return np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True), dtype)
 
 
 def chunk_documents(docs: DataFrame, id_col: str, text_col: str, folds: int, held_fold: int) -> DataFrame:
-    src = docs.select(col(id_col).cast("long").alias("id"), (fold(id_col, folds) == held_fold).alias("held"), col(text_col).alias("text"))
+    src = docs.select(col(id_col).alias("id"), (fold(id_col, folds) == held_fold).alias("held"), col(text_col).alias("text"))
+    schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(src.schema["id"].dataType)),
+                           *T._parse_datatype_string("held array<boolean>, sizes array<int>, words binary, seq binary").fields])
 
     def run(batches):
         pid, n = TaskContext.get().partitionId(), 0
@@ -59,43 +75,48 @@ def chunk_documents(docs: DataFrame, id_col: str, text_col: str, folds: int, hel
                 place = np.empty(len(order), np.uint32)
                 place[order] = np.arange(len(order), dtype=np.uint32)
                 seq = place[idx] if len(idx) else np.empty(0, np.uint32)
-                held = np.array(part.column(1).to_pylist(), bool)
-                train = np.bincount(seq[~held[w.doc]], minlength=len(uniq))
                 n += 1
-                yield pa.RecordBatch.from_pydict({
-                    "chunk": pa.array([pid << 32 | n], pa.int64()), "ids": pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
-                    "held": pa.array([held.tolist()], pa.list_(pa.bool_())), "sizes": pa.array([np.diff(w.first).astype(np.int32)], pa.list_(pa.int32())),
-                    "words": pa.array([uniq[order].view(np.int64)], pa.list_(pa.int64())), "train": pa.array([train], pa.list_(pa.int64())),
-                    "seq": pa.array([pa.compress(seq.astype("<u4").tobytes(), codec="zstd", asbytes=True)], pa.binary())})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([pid << 32 | n], pa.int64()), pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0)),
+                     pa.array([part.column(1).to_pylist()], pa.list_(pa.bool_())), pa.array([np.diff(w.first).astype(np.int32)], pa.list_(pa.int32())),
+                     pa.array([uniq[order].astype("<u8").tobytes()], pa.binary()), pa.array([_pack(seq.astype("<u4"))], pa.binary())],
+                    names=schema.names)
 
-    return stage(src.mapInArrow(run, CHUNK), "chunks")
+    return stage(src.mapInArrow(run, schema), "chunks")
 
 
 @dataclass
 class Stream:
     """The tokens of a chunk's documents: word (or END), the one before (or BOS), document."""
+    words: np.ndarray
     idx: np.ndarray     # index into words; len(words) for END
     word: np.ndarray
     before: np.ndarray
     doc: np.ndarray
 
-
-def _stream(words: np.ndarray, sizes: np.ndarray, seq: bytes) -> Stream:
-    n, d = int(sizes.sum()), len(sizes)
-    flat = np.frombuffer(pa.decompress(seq, decompressed_size=4 * n, codec="zstd", asbytes=True), "<u4").astype(np.int64) if n else np.empty(0, np.int64)
-    doc = np.repeat(np.arange(d), sizes + 1)
-    idx = np.full(n + d, len(words), np.int64)
-    ends = np.cumsum(sizes + 1) - 1
-    at = np.ones(n + d, bool)
-    at[ends] = False
-    idx[at] = flat
-    word = np.append(words, END)[idx]
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    before[ends[:-1] + 1] = BOS
-    if d:
-        before[0] = BOS
-    return Stream(idx, word, before, doc)
+    @classmethod
+    def of(cls, table: pa.Table | pa.RecordBatch, i: int) -> Stream:
+        words = np.frombuffer(table.column("words")[i].as_py(), "<u8")
+        sizes = np.array(table.column("sizes")[i].as_py(), np.int64)
+        n, d = int(sizes.sum()), len(sizes)
+        doc = np.repeat(np.arange(d), sizes + 1)
+        idx = np.full(n + d, len(words), np.int64)
+        ends = np.cumsum(sizes + 1) - 1
+        at = np.ones(n + d, bool)
+        at[ends] = False
+        idx[at] = _unpack(table.column("seq")[i].as_py(), "<u4")
+        word = np.append(words, END)[idx]
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        before[ends[:-1] + 1] = BOS
+        if d:
+            before[0] = BOS
+        return cls(words, idx, word, before, doc)
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the words, of the distinct pairs, and each token's pair in them."""
+        pairs, at = np.unique(pair_key(self.before, self.word), return_inverse=True)
+        return word_key(self.words), pairs, at
 
 
 def word_key(word: np.ndarray) -> np.ndarray:
@@ -103,149 +124,169 @@ def word_key(word: np.ndarray) -> np.ndarray:
 
 
 def pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix64(before * _MUL + word)
+    return mix64(before * _MUL + word) >> np.uint64(64 - 8 * KEY_BYTES)
 
 
-def _bigrams(chunks: DataFrame) -> DataFrame:
-    """(k, n): training counts of two neighbouring tokens, of one chunk."""
-    def run(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                sizes = np.array(b.column("sizes")[i].values, np.int64)
-                held = np.array(b.column("held")[i].values.to_pylist(), bool)
-                s = _stream(np.array(b.column("words")[i].values).view(np.uint64), sizes, b.column("seq")[i].as_py())
-                use = ~held[s.doc]
-                k, n = np.unique(pair_key(s.before[use], s.word[use]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n.astype(np.int64))], names=["k", "n"])
-    return chunks.select("sizes", "held", "words", "seq").mapInArrow(run, "k long, n long")
+def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the keys by bucket, and where each bucket begins in it."""
+    b = (mix64(keys) % np.uint64(buckets)).astype(np.int64)
+    return np.argsort(b, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(b, minlength=buckets))))
+
 
+def level_of(counts: np.ndarray) -> np.ndarray:
+    """1 + floor(log2 count), exactly; 0 of 0."""
+    return np.frexp(counts.astype(np.float64))[1].astype(np.int64)
 
-def _keys(words: np.ndarray, s: Stream) -> tuple[np.ndarray, np.ndarray]:
-    """What a chunk looks up: its words, then its distinct pairs; each token's pair in it."""
-    pairs, at = np.unique(pair_key(s.before, s.word), return_inverse=True)
-    return np.concatenate([word_key(words), pairs]), len(words) + at
+
+def quantised(q: np.ndarray) -> np.ndarray:
+    """The count that a level stands for: the middle of its range (0 if absent)."""
+    return np.where(q > 0, (np.exp2(q - 1.0) + np.exp2(q) - 1) / 2, 0.0)
 
 
-def _salt(level: int) -> np.uint64:
-    return np.uint64(level * int(_GOLD) % (1 << 64))
+def least(q: np.ndarray) -> np.ndarray:
+    """The smallest count of a level."""
+    return np.where(q > 0, np.exp2(q - 1.0), 0.0)
 
 
-class Filter:
-    """Log-frequency Bloom filter; ``bits`` has SEG_BITS/8 bytes per segment."""
+class Bits:
+    """A log-frequency Bloom filter: one bucket's part."""
 
-    def __init__(self, segments: int, hashes: int, bits: np.ndarray | None = None, top: int | None = None):
-        self.segments, self.hashes, self.bits, self.top = segments, hashes, bits, top
+    def __init__(self, size: int, hashes: int, top: int, data: np.ndarray):
+        self.size, self.hashes, self.top, self.data = size, hashes, top, data
 
     @classmethod
-    def sized(cls, entries: int, bits_per_entry: int, max_bits: int | None = None) -> "Filter":
-        seg = max(1, -(-entries * bits_per_entry // SEG_BITS))
-        if max_bits is not None:
-            seg = max(1, min(seg, max_bits // SEG_BITS))
-        return cls(seg, max(1, min(round(math.log(2) * bits_per_entry), round(math.log(2) * seg * SEG_BITS / max(1, entries)))))
-
-    def places(self, keys: np.ndarray, level: int):
-        """Bit positions of an entry within its segment, one probe after another."""
-        h = mix64(keys + _salt(level))
-        a, step = h, (h >> np.uint64(32)) | np.uint64(1)
-        for i in range(self.hashes):
-            yield (a + np.uint64(i) * step) & np.uint64(SEG_BITS - 1)
-
-    def segment(self, keys: np.ndarray) -> np.ndarray:
-        return keys.view(np.int64) % self.segments
-
-    def build(self, keys: np.ndarray, levels: np.ndarray) -> bytes:
-        """One segment's bytes."""
-        on = np.zeros(SEG_BITS, bool)
-        for j in range(1, int(levels.max(initial=0)) + 1):
-            for p in self.places(keys[levels >= j], j):
-                on[p] = True
-        return np.packbits(on, bitorder="little").tobytes()
-
-    def level(self, keys: np.ndarray, first: int = 0) -> np.ndarray:
-        """Number of the first levels found in a row, ``top`` at most; ``bits`` begins
-        with segment ``first``."""
-        out = np.zeros(len(keys), np.int64)
-        left, base = np.arange(len(keys)), (self.segment(keys) - first) * (SEG_BITS // 8)
-        j = 1
-        while len(left) and (self.top is None or j <= self.top):
-            # an entry leaves at its first missing probe
+    def build(cls, keys: np.ndarray, levels: np.ndarray, false_rate: float) -> Bits:
+        """An absent entry is found with probability ``false_rate`` a level."""
+        per_entry = math.ceil(-math.log(false_rate) / math.log(2) ** 2)
+        size = max(64, int(levels.sum()) * per_entry)
+        self = cls(size, max(1, round(math.log(2) * per_entry)), int(levels.max(initial=0)), None)
+        on = np.zeros(-(-size // 8) * 8, bool)
+        for j in range(1, self.top + 1):
+            h = self._hash(keys[levels >= j], j)
             for i in range(self.hashes):
-                h = mix64(keys[left] + _salt(j))
-                p = (h + np.uint64(i) * ((h >> np.uint64(32)) | np.uint64(1))) & np.uint64(SEG_BITS - 1)
-                byte = self.bits[base[left] + (p >> np.uint64(3)).astype(np.int64)]
-                left = left[(byte >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-            out[left] = j
-            j += 1
-        return out
+                on[self._place(h, i)] = True
+        self.data = np.packbits(on, bitorder="little")
+        return self
 
-    def by_shard(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """An order of the keys by shard, the shards that occur, where each begins."""
-        shard = self.segment(keys) // SHARD
-        order = np.argsort(shard, kind="stable")
-        return order, *np.unique(shard[order], return_index=True)
+    @staticmethod
+    def _hash(keys: np.ndarray, level: int) -> np.ndarray:
+        return mix64(keys + np.uint64(level * int(_GOLD) % (1 << 64)))
 
+    def _place(self, h: np.ndarray, i: int) -> np.ndarray:
+        # the i-th of a line of hashes, its upper half scaled to the size
+        x = mix64(h + np.uint64(i * int(_MUL) % (1 << 64))) >> np.uint64(32)
+        return ((x * np.uint64(self.size)) >> np.uint64(32)).astype(np.int64)
 
-def quantised(q: np.ndarray) -> np.ndarray:
-    """The count that a level stands for: the middle of its range (0 if absent)."""
-    return np.where(q > 0, (np.exp2(q - 1.0) + np.exp2(q) - 1) / 2, 0.0)
+    def level(self, keys: np.ndarray) -> np.ndarray:
+        """Number of the first levels found in a row, ``top`` at most."""
+        out = np.zeros(len(keys), np.int64)
+        left = np.arange(len(keys))
+        for j in range(1, self.top + 1):
+            if not len(left):
+                break
+            h = self._hash(keys[left], j)
+            for i in range(self.hashes):        # an entry leaves at its first missing probe
+                p = self._place(h, i)
+                on = (self.data[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+                left, h = left[on], h[on]
+            out[left] = j
+        return out
 
 
-def build_filter(ngrams: DataFrame, false_rate: float) -> tuple[Filter, DataFrame]:
-    """The filter of ``ngrams`` (k, q), without its bits, and its segments (s, b), each built
-    in its own group. An absent entry is found with probability ``false_rate`` a level."""
-    entries, top = ngrams.agg(F.coalesce(F.sum("q"), F.lit(0)), F.coalesce(F.max("q"), F.lit(0))).first()
-    f = Filter.sized(entries, math.ceil(-math.log(false_rate) / math.log(2) ** 2))
-    f.top = top
+class Filter:
+    """All parts, by bucket."""
 
-    def one(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        b = f.build(t.column("k").to_numpy().view(np.uint64), t.column("q").to_numpy())
-        return pa.table({"s": pa.array([key[0].as_py()], pa.int64()), "b": pa.array([b], pa.binary())})
+    def __init__(self, parts: list[Bits]):
+        self.parts = parts
 
-    return f, stage(ngrams.groupBy(F.pmod("k", F.lit(f.segments)).cast("long").alias("s")).applyInArrow(one, "s long, b binary"), "segments")
+    def level(self, keys: np.ndarray) -> np.ndarray:
+        order, starts = by_bucket(keys, len(self.parts))
+        out = np.zeros(len(keys), np.int64)
+        for b in np.flatnonzero(np.diff(starts)):
+            mine = order[starts[b]:starts[b + 1]]
+            out[mine] = self.parts[b].level(keys[mine])
+        return out
 
 
-def _place(bits: np.ndarray, i: int, segment: bytes) -> None:
-    bits[i * SEG_BITS // 8:(i + 1) * SEG_BITS // 8] = np.frombuffer(segment, np.uint8)
+SENT = "bucket long, chunk long, w binary, w_n binary, p binary, p_n binary"
+ANSWER = "asker long, bucket long, counts binary, w_q binary, p_q binary, bits binary, size long, hashes int, top int, v long, mass double, n long"
 
 
-def probe(chunks: DataFrame, f: Filter, segments: DataFrame) -> DataFrame:
-    """(asker, shard, q): the levels of each chunk's n-grams, shard by shard, in the order
-    of ``by_shard``. A shard's segments come first, then the chunks that ask it, one
-    by one, so a task holds one shard and one Arrow batch."""
-    def asks(batches):
+def _sent(chunks: DataFrame, buckets: int) -> DataFrame:
+    """Each chunk's distinct words and pairs with their training counts, by bucket."""
+    def run(batches):
         for b in batches:
             for i in range(b.num_rows):
-                words = np.array(b.column("words")[i].values, np.int64).view(np.uint64)
-                s = _stream(words, np.array(b.column("sizes")[i].values, np.int64), b.column("seq")[i].as_py())
-                keys, _ = _keys(words, s)
-                order, shards, starts = f.by_shard(keys)
-                parts = [k.tobytes() for k in np.split(keys[order], starts[1:])] if len(shards) else []
-                yield pa.RecordBatch.from_pydict({"shard": pa.array(shards, pa.int64()), "data": pa.array(parts, pa.binary()),
-                                                  "at": pa.array([b.column("chunk")[i].as_py()] * len(parts), pa.int64())})
-
-    def answer(batches):
-        held, g = -1, None
-        for b in batches:
-            askers, shards, levels = [], [], []
-            for shard, at, data in zip(b.column("shard").to_pylist(), b.column("at").to_pylist(), b.column("data")):
-                if shard != held:
-                    held, g = shard, Filter(f.segments, f.hashes, np.zeros(SHARD * SEG_BITS // 8, np.uint8), f.top)
-                if at < 0:
-                    _place(g.bits, at + f.segments - shard * SHARD, data.as_py())
-                else:
-                    q = g.level(np.frombuffer(data.as_py(), np.uint64), shard * SHARD)
-                    askers, shards, levels = [*askers, at], [*shards, shard], [*levels, q.astype(np.uint8).tobytes()]
-            yield pa.RecordBatch.from_pydict({"asker": pa.array(askers, pa.int64()), "shard": pa.array(shards, pa.int64()), "q": pa.array(levels, pa.binary())})
-
-    # segments have negative places and chunks positive ones
-    asked = chunks.select("chunk", "sizes", "words", "seq").mapInArrow(asks, "shard long, data binary, at long")
-    filled = segments.select(F.expr(f"s div {SHARD}").alias("shard"), F.col("b").alias("data"), (F.col("s") - f.segments).alias("at"))
-    both = filled.union(asked).repartition("shard").sortWithinPartitions("shard", "at")
-    return stage(both.mapInArrow(answer, "asker long, shard long, q binary"), "levels")
+                s = Stream.of(b, i)
+                use = ~np.array(b.column("held")[i].as_py(), bool)[s.doc]
+                words, pairs, at = s.keys()
+                w_n = np.bincount(s.idx[use], minlength=len(words) + 1)[:len(words)]
+                p_n = np.bincount(at[use], minlength=len(pairs))
+                (wo, ws), (po, ps) = by_bucket(words, buckets), by_bucket(pairs, buckets)
+                words, w_n, pairs, p_n = words[wo].astype("<u8"), w_n[wo], pairs[po].astype("<u8"), p_n[po]
+                short = pairs.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+                some = np.flatnonzero(np.diff(ws) + np.diff(ps))
+                for lo in range(0, len(some), 256):
+                    part = some[lo:lo + 256].tolist()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part, pa.int64()), pa.array([b.column("chunk")[i].as_py()] * len(part), pa.int64()),
+                         pa.array([words[ws[k]:ws[k + 1]].tobytes() for k in part], pa.binary()),
+                         pa.array([_pack(w_n[ws[k]:ws[k + 1]].astype("<u4")) for k in part], pa.binary()),
+                         pa.array([short[ps[k]:ps[k + 1]].tobytes() for k in part], pa.binary()),
+                         pa.array([_pack(p_n[ps[k]:ps[k + 1]].astype("<u4")) for k in part], pa.binary())],
+                        names=["bucket", "chunk", "w", "w_n", "p", "p_n"])
+    return chunks.select("chunk", "held", "sizes", "words", "seq").mapInArrow(run, SENT)
+
+
+def _summed(keys: np.ndarray, n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, their counts, and each key's place among them."""
+    uniq, at = np.unique(keys, return_inverse=True)
+    return uniq, np.bincount(at, weights=np.concatenate(n) if n else None, minlength=len(uniq)).astype(np.int64), at
+
+
+def answers(chunks: DataFrame, buckets: int, false_rate: float, probe: bool) -> DataFrame:
+    """Per bucket a row with its part of the filter (``asker`` NULL), and for each chunk
+    that sent it n-grams the exact counts of the words and, if ``probe``, the levels of words
+    and pairs. A bucket's n-grams are at most about ``BUCKET_KEYS``."""
+    def one(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        rows = range(t.num_rows)
+        get = lambda c: [t.column(c)[i].as_py() for i in rows]
+        words = [np.frombuffer(x, "<u8") for x in get("w")]
+        pairs = []
+        for x in get("p"):
+            wide = np.zeros((len(x) // KEY_BYTES, 8), np.uint8)
+            wide[:, :KEY_BYTES] = np.frombuffer(x, np.uint8).reshape(-1, KEY_BYTES)
+            pairs.append(wide.view("<u8").ravel())
+        w, w_n, w_at = _summed(np.concatenate(words), [_unpack(x, "<u4") for x in get("w_n")])
+        p, p_n, p_at = _summed(np.concatenate(pairs), [_unpack(x, "<u4") for x in get("p_n")])
+        w_q, p_q = level_of(w_n), level_of(p_n)
+        bits = Bits.build(np.concatenate((w, p)), np.concatenate((w_q, p_q)), false_rate)
+        back = lambda values, at, sizes, kind: [_pack(x.astype(kind)) for x in np.split(values[at], np.cumsum(sizes)[:-1])]
+        w_size, p_size = [len(x) for x in words], [len(x) for x in pairs]
+        none = [None] * t.num_rows
+        return pa.table([
+            pa.array([*get("chunk"), None], pa.int64()), pa.array([key[0].as_py()] * (t.num_rows + 1), pa.int64()),
+            pa.array([*back(w_n, w_at, w_size, "<u8"), None], pa.binary()),
+            pa.array([*(back(bits.level(w), w_at, w_size, "u1") if probe else none), None], pa.binary()),
+            pa.array([*(back(bits.level(p), p_at, p_size, "u1") if probe else none), None], pa.binary()),
+            pa.array([*none, bits.data.tobytes()], pa.binary()), pa.array([*none, bits.size], pa.int64()), pa.array([*none, bits.hashes], pa.int32()),
+            pa.array([*none, bits.top], pa.int32()), pa.array([*none, int((w_n > 0).sum())], pa.int64()),
+            pa.array([*none, float(quantised(w_q).sum())], pa.float64()), pa.array([*none, int(w_n.sum())], pa.int64())],
+            names=[x.split()[0] for x in ANSWER.split(", ")])
+
+    return stage(_sent(chunks, buckets).groupBy("bucket").applyInArrow(one, ANSWER), "answers")
+
+
+def collect_filter(answered: DataFrame, buckets: int) -> Filter:
+    """The parts on the driver; only for a filter whose size is bounded."""
+    parts = [Bits(64, 1, 0, np.zeros(8, np.uint8))] * buckets
+    for r in answered.where("asker is null").select("bucket", "size", "hashes", "top", "bits").toLocalIterator():
+        parts[r.bucket] = Bits(r.size, r.hashes, r.top, np.frombuffer(r.bits, np.uint8))
+    return Filter(parts)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1,
-          pair_weight: float = 0.4, false_rate: float = 0.01, broadcast_bits: int = 1 << 29) -> DataFrame:
+          pair_weight: float = 0.4, false_rate: float = 0.01, broadcast_bits: int = 1 << 29, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """One row per document row: id, held_out, n_tokens, n_known, train_tokens,
     base_score, score.
 
@@ -253,80 +294,62 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     ``score`` is the log10 probability of the text (with its end) under an interpolated
     bigram model whose counts are read from the filter: words and pairs, also those
     seen once, weigh ``1 - pair_weight`` and ``pair_weight``. ``false_rate`` is the
-    filter's rate of false positives per level; ``broadcast_bits`` decides only how it
-    is probed.
+    filter's rate of false positives per level; ``broadcast_bits`` and ``bucket_keys``
+    decide only how it is probed and into how many parts it is cut.
 
     NULL text counts as empty (one token, the end); a NULL id falls into the fold of
-    the text ``null``; repeated ids give a row each; other columns are ignored; an
-    empty table gives an empty result; without training documents every count is zero."""
+    the text ``null``; ids of any type; repeated ids give a row each; other columns are
+    ignored; an empty table gives an empty result; without training documents every count
+    is zero."""
     chunks = chunk_documents(docs, id_col, text_col, folds, held_fold)
-    asks = chunks.select("chunk", F.inline(F.arrays_zip("words", "train"))).withColumnRenamed("words", "h")
-    counts = stage(asks.groupBy("h").agg(F.sum("train").alias("c")).where("c > 0"), "counts")
-    n_train = chunks.select(F.sum(F.size(F.filter("held", lambda x: ~x)))).first()[0] or 0
-    v, n = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    v, n = v + (n_train > 0), n + n_train
-    level = lambda c: (F.floor(F.log2(F.col(c) + 0.5)) + 1).cast("long")  # noqa: E731  (floor of the exact logarithm)
-
-    def keyed(batches):
-        for b in batches:
-            k = word_key(b.column(0).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), b.column(1)], names=["k", "q"])
-
-    pairs = _bigrams(chunks).groupBy("k").agg(F.sum("n").alias("n")).select("k", level("n").alias("q"))
-    words = counts.select("h", level("c").alias("q")).mapInArrow(keyed, "k long, q long")
-    ngrams = stage(words.union(pairs), "ngrams")
-    f, segments = build_filter(ngrams, false_rate)
-    unstage(ngrams)
-    answers = asks.select(F.col("chunk").alias("asker"), "h").join(counts, "h").select("asker", "h", "c")
-    small = f.segments * SEG_BITS <= broadcast_bits
-    if small:
-        f.bits = np.zeros(f.segments * SEG_BITS // 8, np.uint8)
-        for r in segments.toLocalIterator():
-            _place(f.bits, r.s, r.b)
-        answers = answers.select("*", F.lit(None).cast("long").alias("shard"), F.lit(None).cast("binary").alias("q"))
-    else:
-        answers = answers.unionByName(probe(chunks, f, segments), allowMissingColumns=True)
-    unstage(segments)
-    lm = docs.sparkSession.sparkContext.broadcast(f)
-    out = f"{id_col} long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    names = [x.split()[0] for x in out.split(", ")]
+    one = lambda held: F.when(held, 0).otherwise(1)
+    totals = chunks.select(
+        F.sum(F.aggregate(F.zip_with("held", "sizes", lambda h, s: one(h) * (s + 1)), F.lit(0).cast("long"), lambda a, x: a + x)).alias("train"),
+        F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, s: a + s + 1)).alias("all"),
+        F.sum(F.aggregate("held", F.lit(0).cast("long"), lambda a, h: a + one(h))).alias("n_train")).first()
+    train, tokens, n_train = (int(x or 0) for x in totals)
+    buckets = max(1, -(-2 * tokens // bucket_keys))
+    # a count of c has at most c levels, so words and pairs have at most 2 * train entries
+    small = 2 * train * math.ceil(-math.log(false_rate) / math.log(2) ** 2) <= broadcast_bits
+    answered = answers(chunks, buckets, false_rate, not small)
+    v, mass, n = answered.where("asker is null").agg(F.sum("v"), F.sum("mass"), F.sum("n")).first()
+    v, mass, n = int(v or 0) + (n_train > 0), float(mass or 0) + n_train, int(n or 0) + n_train
+    lm = docs.sparkSession.sparkContext.broadcast(collect_filter(answered, buckets) if small else None)
+    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *T._parse_datatype_string(
+        "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         parts = []
-        levels = right.filter(right.column("q").is_valid()).select(["shard", "q"]).sort_by("shard").column("q").to_pylist()
-        right = right.filter(right.column("h").is_valid())
-        h = right.column("h").to_numpy()
-        order = np.argsort(h)
-        h, c = h[order], right.column("c").to_numpy()[order]
+        right = right.sort_by("bucket")
+        joined = lambda c, kind: np.concatenate([_unpack(x, kind) for x in right.column(c).to_pylist()] or [np.empty(0, kind)])
         for i in range(left.num_rows):
-            ids, sizes = left.column("ids")[i].as_py(), np.array(left.column("sizes")[i].as_py(), np.int64)
-            w = np.array(left.column("words")[i].values, np.int64)
-            s = _stream(w.view(np.uint64), sizes, left.column("seq")[i].as_py())
-            exact = np.zeros(len(w) + 1, np.int64)
-            exact[:-1][np.isin(w, h)] = c[np.searchsorted(h, w[np.isin(w, h)])]
+            s = Stream.of(left, i)
+            words, pairs, at = s.keys()
+            d = len(left.column("ids")[i])
+            wo, po = by_bucket(words, buckets)[0], by_bucket(pairs, buckets)[0]
+            exact = np.zeros(len(words) + 1, np.int64)
+            exact[wo] = joined("counts", "<u8")
             exact[-1] = n_train
             base = np.log10((exact + 0.5) / (n + 0.5 * (v + 1)))
-            keys, at = _keys(w.view(np.uint64), s)
             if small:
-                q = lm.value.level(keys)
+                w_q, p_q = lm.value.level(words), lm.value.level(pairs)
             else:
-                q = np.empty(len(keys), np.int64)
-                q[lm.value.by_shard(keys)[0]] = np.frombuffer(b"".join(levels), np.uint8)
-            known = quantised(q)
-            single = np.append(known[:len(w)], float(n_train))
-            p = (single + 0.5) / (n + 0.5 * (v + 1))
-            context = np.empty(len(s.idx))
-            context[1:] = single[s.idx[:-1]]
+                w_q, p_q = np.empty(len(words), np.int64), np.empty(len(pairs), np.int64)
+                w_q[wo], p_q[po] = joined("w_q", "u1"), joined("p_q", "u1")
+            single = (np.append(quantised(w_q), float(n_train)) + 0.5) / (mass + 0.5 * (v + 1))
+            context = np.empty(len(s.idx), np.int64)
+            context[1:] = exact[s.idx[:-1]]
             context[s.before == BOS] = n_train
-            pair = known[at]
-            share = np.where(context > 0, np.minimum(1.0, pair / np.maximum(context, 1)), 0)
-            prob = np.where(context > 0, pair_weight * share + (1 - pair_weight) * p[s.idx], p[s.idx])
-            d = len(ids)
+            share = np.minimum(1.0, least(p_q)[at] / np.maximum(context, 1))
+            prob = np.where(context > 0, pair_weight * share + (1 - pair_weight) * single[s.idx], single[s.idx])
             parts.append(pa.table([
-                pa.array(ids, pa.int64()), pa.array(left.column("held")[i].as_py(), pa.bool_()), pa.array(sizes + 1),
+                left.column("ids").combine_chunks()[i].values, pa.array(left.column("held")[i].as_py(), pa.bool_()),
+                pa.array(np.bincount(s.doc, minlength=d).astype(np.int64)),
                 pa.array(np.bincount(s.doc, weights=exact[s.idx] > 0, minlength=d).astype(np.int64)), pa.array(np.full(d, n, np.int64)),
                 pa.array(np.bincount(s.doc, weights=base[s.idx], minlength=d)),
-                pa.array(np.bincount(s.doc, weights=np.log10(prob), minlength=d))], names=names))
-        return pa.concat_tables(parts) if parts else pa.table({x: [] for x in names})
+                pa.array(np.bincount(s.doc, weights=np.log10(prob), minlength=d))], names=out.names))
+        return pa.concat_tables(parts)
 
-    return chunks.drop("train").groupBy("chunk").cogroup(answers.groupBy("asker")).applyInArrow(finish, out)
+    # documents without words ask nothing: their chunk meets no answers
+    asked = answered.where("asker is not null").select("asker", "bucket", "counts", "w_q", "p_q")
+    return chunks.groupBy("chunk").cogroup(asked.groupBy("asker")).applyInArrow(finish, out)
