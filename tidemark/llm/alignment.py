@@ -41,6 +41,7 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 WINDOW = 1 << 18            # units aligned at once; a longer document takes several windows
 SLICE_CHARS = 1 << 20       # characters cut into units at once
 CACHE_UNITS = 1 << 19       # units remembered by a task
+BLOCK = 1 << 12             # new units that are encoded together
 CACHE_CHARS = 1 << 26
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MARK = "▁"
@@ -120,22 +121,35 @@ class Encoder:
     def units(self, text: str) -> np.ndarray:
         """Numbers of the units of a stretch of text (which begins and ends at cuts)."""
         parts = _CUT.split(text)
-        new = list(dict.fromkeys(p for p in parts if p not in self.at))
-        if new:
-            sides = ([e.ids for e in self.a.encode_batch([" " + p for p in new], add_special_tokens=False)],
-                     self.b.encode(new, num_threads=1))
-            for k in (0, 1):
-                self.ids[k].append(np.array([i for ids in sides[k] for i in ids], np.int32))
-                self.sizes[k].append(np.array([len(ids) for ids in sides[k]], np.int64))
-            a, b = self.bytes
-            for p, x, y in zip(new, *sides):
-                raw = (" " + p).encode("utf-8", "surrogatepass")
-                if b"".join([a[i] for i in x]) != raw or b"".join([b[i] for i in y]) != raw:
-                    self.bad.add(len(self.at))
-                self.at[p] = len(self.at)
-                self.chars += len(p)
         at = self.at
-        return np.array([at[p] for p in parts], np.int64)
+        new = [p for p in dict.fromkeys(parts) if p not in at]
+        for lo in range(0, len(new), BLOCK):
+            self._learn(new[lo:lo + BLOCK])
+        return np.fromiter(map(at.__getitem__, parts), np.int64, len(parts))
+
+    def _learn(self, new: list[str]) -> None:
+        """Tokens of new units, read off one text that holds them all; one by one if the
+        tokens of some do not spell them."""
+        text = " ".join(new)
+        sides = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
+        raw = (" " + text).encode("utf-8", "surrogatepass")
+        if any(b"".join(map(table.__getitem__, ids)) != raw for table, ids in zip(self.bytes, sides)):
+            if len(new) > 1:
+                for p in new:
+                    self._learn([p])
+                return
+            self.bad.add(len(self.at))
+            sides = [], []
+        ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in new]) if not text.isascii() else np.cumsum([len(p) + 1 for p in new])
+        for k, ids in enumerate(sides):
+            ids = np.array(ids, np.int32)
+            # a unit's tokens are those up to its last byte
+            upto = np.searchsorted(np.cumsum(self.lens[k][ids]), ends, "right")
+            self.ids[k].append(ids)
+            self.sizes[k].append(np.diff(np.concatenate(([0], upto))))
+        first = len(self.at)
+        self.at.update(zip(new, range(first, first + len(new))))
+        self.chars += len(text)
 
     def full(self) -> bool:
         return len(self.at) > CACHE_UNITS or self.chars > CACHE_CHARS
