@@ -88,7 +88,7 @@ def ml_anomalies(df: DataFrame, columns: Sequence[str] = ML_COLUMNS, group: str
     if isolation_forest:
         from tidemark.operators.forest import isolation_forest_flags
         out = isolation_forest_flags(out, list(columns), group=group, contamination=CONTAMINATION,
-                                     seed=seed, min_rows=ML_MIN_ROWS, accuracy=accuracy)
+                                     seed=seed, min_rows=ML_MIN_ROWS, accuracy=accuracy, key=[key])
     else:
         out = out.withColumn("is_isolation_forest_anomaly", F.lit(False))
     if lof:

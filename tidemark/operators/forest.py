@@ -3,21 +3,21 @@
 The defaults follow the usual isolation forest: 100 trees, each grown on
 min(256, n) rows drawn without replacement, depth limit ceil(log2(psi)),
 score 2^(-E[h(x)] / c(psi)), and rows flagged when their score is strictly
-above the (1 - contamination) quantile of the group's scores. Random draws
-differ from any particular library, so flags are checked by properties
-(about ``contamination`` of rows flagged, planted extremes found,
-repeatable), not row by row.
-
-Spark plan, with no group ever held whole by one task:
-  1. per-group row counts (partial aggregate) give each group's sample
-     fraction and its number of salt buckets;
-  2. one scan draws every tree's sample by hashing (row, tree), keeps the
-     first psi rows per (group, tree) — at most psi * trees rows per group;
-  3. the sample is copied to each of its group's salt buckets and co-grouped
-     with the rows of that bucket; the pandas function grows the forest from
-     the sample (seeded per group, so every bucket grows the same forest) and
-     scores only its bucket's rows;
-  4. the per-group score quantile is a grouped aggregate joined back.
+above the (1 - contamination) quantile of the group's scores.
+
+Every random choice is a whole-number function of the seed, the group, the row's
+key and the node (an md5 of the row's key, then quadratic steps modulo a prime), so
+the same rows give the same forest in any partitioning, and plain SQL can repeat it.
+Path lengths are whole numbers of 2^-20, so sums do not depend on their order.
+
+Spark plan, JVM-side throughout and with no group ever held whole by one task:
+  1. the rows with the smallest draws of each group form its pool (at most
+     ``pool_rows``; a top-k, cut before the shuffle);
+  2. one array expression per group draws each tree's sample from the pool and
+     grows the tree level by level, as a dense heap of (feature, threshold or path);
+  3. rows are packed into arrays of about ``rows_per_task``, meet their group's trees
+     by one join, and walk them in another array expression;
+  4. the flag compares the summed path with its exact quantile by counting.
 """
 
 from __future__ import annotations
@@ -25,171 +25,188 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.operators.series import materialize, sized_join
+from tidemark.operators.series import materialize
 
 EULER_GAMMA = 0.5772156649015329
+PRIME = 2147483647
+UNIT = 1 << 20          # path lengths are whole numbers of 1 / UNIT
+MAX_SAMPLES = 256
+POOL_ROWS = 4096
 
 
-def c_factor(n):
+def c_factor(n: int) -> float:
     """Average path length of an unsuccessful search in a BST of n points."""
-    n = np.asarray(n, dtype=float)
-    out = np.zeros_like(n)
-    big = n > 2
-    out[big] = 2.0 * (np.log(n[big] - 1.0) + EULER_GAMMA) - 2.0 * (n[big] - 1.0) / n[big]
-    out[n == 2] = 1.0
-    return out
-
-
-def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int):
-    """Arrays (feature, threshold, left, right, leaf_value) of one isolation tree.
-
-    ``leaf_value`` is depth + c(size) at leaves (the path length credited to
-    a point ending there); internal nodes have feature >= 0."""
-    feat, thr, left, right, val = [], [], [], [], []
-
-    def new():
-        feat.append(-1), thr.append(0.0), left.append(-1), right.append(-1), val.append(0.0)
-        return len(feat) - 1
-
-    stack = [(new(), np.arange(len(x)), 0)]
-    while stack:
-        node, idx, depth = stack.pop()
-        pts = x[idx]
-        if depth >= max_depth or len(idx) <= 1:
-            val[node] = depth + float(c_factor([len(idx)])[0])
-            continue
-        lo, hi = pts.min(axis=0), pts.max(axis=0)
-        usable = np.flatnonzero(hi > lo)
-        if len(usable) == 0:
-            val[node] = depth + float(c_factor([len(idx)])[0])
-            continue
-        f = int(rng.choice(usable))
-        t = float(rng.uniform(lo[f], hi[f]))
-        go_left = pts[:, f] < t
-        ln, rn = new(), new()
-        feat[node], thr[node], left[node], right[node] = f, t, ln, rn
-        stack.append((ln, idx[go_left], depth + 1))
-        stack.append((rn, idx[~go_left], depth + 1))
-    return (np.array(feat), np.array(thr), np.array(left), np.array(right), np.array(val))
-
-
-def path_lengths(tree, x: np.ndarray) -> np.ndarray:
-    feat, thr, left, right, val = tree
-    node = np.zeros(len(x), dtype=np.int64)
-    active = feat[node] >= 0
-    while active.any():
-        i = np.flatnonzero(active)
-        n = node[i]
-        go_left = x[i, feat[n]] < thr[n]
-        node[i] = np.where(go_left, left[n], right[n])
-        active = feat[node] >= 0
-    return val[node]
-
-
-def _group_seed(seed: int, key) -> int:
-    import zlib
-    return (seed * 1_000_003 + zlib.crc32(repr(key).encode())) % (2**32)
-
-
-def _make_scorer(cols: Sequence[str], n_trees: int, seed: int, out_schema: T.StructType):
-    names = [f.name for f in out_schema.fields]
-
-    def score(key, rows: pd.DataFrame, sample: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty:
-            return pd.DataFrame({n: pd.Series(dtype=object) for n in names})
-        n_group = int(sample["_n"].iloc[0]) if len(sample) else len(rows)
-        psi = max(1, min(256, n_group))
-        max_depth = int(math.ceil(math.log2(max(psi, 2))))
-        rng = np.random.default_rng(_group_seed(seed, key[0]))
-        x = rows[list(cols)].to_numpy(dtype=float)
-        total = np.zeros(len(rows))
-        for t in range(n_trees):
-            pts = sample.loc[sample["_tree"] == t, list(cols)].to_numpy(dtype=float)
-            if len(pts) == 0:
-                continue
-            total += path_lengths(grow_tree(pts, rng, max_depth), x)
-        denom = float(c_factor([psi])[0]) or 1.0
-        out = rows.copy()
-        out["_if_score"] = np.power(2.0, -(total / n_trees) / denom)
-        return out[names]
-
-    return score
-
-
-def isolation_forest_scores(df: DataFrame, cols: Sequence[str], group: str | None = None,
-                            n_trees: int = 100, max_samples: int = 256, seed: int = 42,
-                            rows_per_task: int = 250_000, fill: str = "median",
-                            accuracy: int | None = None) -> DataFrame:
-    """Add ``_if_score`` (higher = more isolated) to every row.
-
-    Missing feature values are filled with the median (of the group when
-    ``group`` is given), as the reference does before fitting."""
-    gcol = group or "_if_group"
-    base = df if group else df.withColumn(gcol, F.lit(0))
-    feat = [f"_if_{c}" for c in cols]
-    if fill == "median":
-        if group is None:
-            from tidemark.operators.stats import global_quantiles
-            base = base.withColumns({f: F.coalesce(F.col(c).cast("double"),
-                                                   global_quantiles(base, c, [0.5], accuracy)[0])
-                                     for f, c in zip(feat, cols)})
-        else:
-            from tidemark.operators.stats import grouped_quantiles
-            meds = grouped_quantiles(base, gcol, {c: [0.5] for c in cols}).select(
-                gcol, *[F.col(f"_q_{c}_0").alias(f"_m_{c}") for c in cols])
-            base = base.join(meds, gcol, "left").withColumns(
-                {f: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for f, c in zip(feat, cols)}
-            ).drop(*[f"_m_{c}" for c in cols])
-    else:
-        base = base.withColumns({f: F.col(c).cast("double") for f, c in zip(feat, cols)})
-
-    rowkey = F.xxhash64(F.lit(seed), *[F.col(c) for c in base.columns])
-    base = base.withColumn("_if_key", rowkey)
-
-    counts = materialize(base.groupBy(gcol).agg(F.count(F.lit(1)).alias("_n"))
-                         .withColumn("_salts", F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_task)))
-                         .withColumn("_frac", F.least(F.lit(1.0), F.lit(1.5 * max_samples) / F.col("_n"))))
-    keyed = sized_join(base, counts, gcol)
-
-    def unit(t):
-        h = F.xxhash64(F.col("_if_key"), t)
-        return F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30)
-
-    # one hash per row first: a row can enter some tree only with probability
-    # g = min(1, 1.2 * trees * frac); among those rows a tree takes each with
-    # frac / g, so every tree still draws a uniform frac-sample while only
-    # about g of the rows pay for the per-tree hashes
-    g = F.least(F.lit(1.0), F.lit(1.2 * n_trees) * F.col("_frac"))
-    pre = keyed.filter(unit(F.lit(-1)) < g)
-    cond = F.col("_frac") / g
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: (unit(t) < cond) | (cond >= 1.0))
-    drawn = pre.select(gcol, "_n", "_salts", *feat, "_if_key", F.explode(trees).alias("_tree"))
+    if n <= 1:
+        return 0.0
+    return 1.0 if n == 2 else 2.0 * (math.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
+
+
+def leaf_units(max_samples: int = MAX_SAMPLES) -> list[int]:
+    """``c_factor`` of 0..max_samples points in whole units."""
+    return [math.floor(c_factor(n) * UNIT + 0.5) for n in range(max_samples + 1)]
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _steps(a: Column, b: Column | int) -> Column:
+    """A number below PRIME from two: two squarings and a product modulo the prime."""
+    b = F.lit(b).cast("bigint") if isinstance(b, int) else b.cast("bigint")
+    first = (a + b * 1000003) % PRIME
+    second = _let(first, lambda x: (x * x + 12345) % PRIME * 48271 % PRIME)
+    return _let(second, lambda x: (x * x + x + 1) % PRIME)
+
+
+def key_text(df: DataFrame, names: Sequence[str]) -> Column:
+    """The named columns as one text; timestamps as microseconds."""
+    kind = dict(df.dtypes)
+    part = {c: F.unix_micros(F.col(c).cast("timestamp")) if kind[c].startswith("timestamp") else F.col(c) for c in names}
+    return F.concat_ws("|", *[F.coalesce(part[c].cast("string"), F.lit("")) for c in names])
+
+
+def _draw(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % PRIME
+
+
+def row_key(df: DataFrame) -> list[str]:
+    """Columns that tell rows apart: the store's insertion number, else entity and time,
+    else all columns."""
+    for names in (["ingest_ord"], ["symbol", "snapshot_time"]):
+        if set(names) <= set(df.columns):
+            return names
+    return list(df.columns)
+
+
+def _grow(points: Column, n_cols: int, depth: Column, draw: Column, units: Column) -> Column:
+    """One tree over ``points`` (arrays of feature values): the nodes in heap order as
+    structs ``f`` (feature, -1 at a leaf or where there is no node) and ``v``
+    (threshold, or the path length of a leaf)."""
+    def feature(pts, i):
+        return F.transform(pts, lambda x: x[i])
+
+    def extremes(pts):
+        return F.struct(F.array(*[F.array_min(feature(pts, i)) for i in range(n_cols)]).alias("lo"),
+                        F.array(*[F.array_max(feature(pts, i)) for i in range(n_cols)]).alias("hi"))
+
+    def leaf(d, size):
+        return F.struct(F.lit(-1).alias("f"), (d * UNIT + units[size]).cast("double").alias("v"))
+
+    def split(e, d, node, size):
+        usable = F.filter(F.sequence(F.lit(0), F.lit(n_cols - 1)), lambda i: F.coalesce(e["hi"][i] > e["lo"][i], F.lit(False)))
+
+        def chosen(c):
+            f = c["usable"][(c["r"] % F.size(c["usable"])).cast("int")]
+            u = (_steps(c["r"], 1).cast("double") + 0.5) / float(PRIME)
+            return F.struct(f.alias("f"), (e["lo"][f] + (e["hi"][f] - e["lo"][f]) * u).alias("v"))
+
+        return _let(F.struct(usable.alias("usable"), _steps(draw, node).alias("r")),
+                    lambda c: F.when(F.size(c["usable"]) == 0, leaf(d, size)).otherwise(chosen(c)))
+
+    def decide(pts, d, node):
+        none = F.struct(F.lit(-1).alias("f"), F.lit(0.0).alias("v"))
+        return F.when(pts.isNull(), none).when((F.size(pts) <= 1) | (d >= depth), leaf(d, F.size(pts))).otherwise(
+            _let(extremes(pts), lambda e: split(e, d, node, F.size(pts))))
+
+    def level(acc, d):
+        nodes = F.transform(acc["open"], lambda pts, i: decide(pts, d, F.call_function("shiftleft", F.lit(1), d) + i))
+        none = F.lit(None).cast("array<array<double>>")
+
+        def next_open(s):
+            below = lambda x, node: F.coalesce(x[node["f"]] < node["v"], F.lit(False))
+            return F.flatten(F.zip_with(s["open"], s["nodes"], lambda pts, node: F.when(
+                node["f"] >= 0, F.array(F.filter(pts, lambda x: below(x, node)), F.filter(pts, lambda x: ~below(x, node))))
+                .otherwise(F.array(none, none))))
+
+        return _let(F.struct(acc["open"].alias("open"), acc["done"].alias("done"), nodes.alias("nodes")),
+                    lambda s: F.struct(next_open(s).alias("open"), F.concat(s["done"], s["nodes"]).alias("done")))
+
+    start = F.struct(F.array(points).alias("open"), F.array().cast("array<struct<f:int,v:double>>").alias("done"))
+    return F.aggregate(F.sequence(F.lit(0), depth), start, level, lambda acc: acc["done"])
+
+
+def _walk(x: Column, tree: Column, depth: Column) -> Column:
+    """Path length of ``x`` in units."""
+    def step(node, _):
+        at = tree[node - 1]
+        left = F.coalesce(x[at["f"]] < at["v"], F.lit(False))
+        return F.when(at["f"] < 0, node).otherwise(node * 2 + F.when(left, 0).otherwise(1))
+    last = F.when(depth < 1, F.lit(1)).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), F.lit(1), step))
+    return tree[last - 1]["v"]
+
+
+def _filled(base: DataFrame, cols: Sequence[str], group: str | None, accuracy: int | None) -> DataFrame:
+    """``_x``: the features as doubles, missing ones as the median (of the group)."""
+    if group is None:
+        from tidemark.operators.stats import quantile_table
+        med = quantile_table(base, {c: [0.5] for c in cols}, accuracy)
+        return base.withColumn("_x", F.array(*[F.coalesce(F.col(c).cast("double"), med[(c, 0.5)]) for c in cols]))
+    from tidemark.operators.stats import grouped_quantiles
+    meds = grouped_quantiles(base, group, {c: [0.5] for c in cols}).select(
+        F.col(group).alias("_mg"), *[F.col(f"_q_{c}_0").alias(f"_m_{i}") for i, c in enumerate(cols)])
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.col(f"_m_{i}")) for i, c in enumerate(cols)])
+    return base.join(meds, F.col(group).eqNullSafe(F.col("_mg")), "left").select(*base.columns, x.alias("_x"))
+
+
+def forests(df: DataFrame, cols: Sequence[str], group: str | None = None, key: Sequence[str] | None = None, n_trees: int = 100,
+            max_samples: int = MAX_SAMPLES, seed: int = 42, pool_rows: int = POOL_ROWS, min_rows: int = 0) -> DataFrame:
+    """One row per group of ``df`` (with ``_x``): ``_g, _n, _depth, _trees``."""
+    gtext = key_text(df, [group]) if group else F.lit("")
+    g = F.col(group) if group else F.lit(0)
+    rows = df.select(g.alias("_g"), gtext.alias("_gt"), key_text(df, key or row_key(df)).alias("_k"), "_x")
+    rows = rows.withColumn("_d", _draw(F.concat(F.lit(f"{seed}|"), "_k")))
+    counts = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.first("_gt").alias("_gt")).where(F.col("_n") >= max(1, min_rows))
+    first = Window.partitionBy("_g").orderBy("_d", "_k")
+    pool = (rows.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= max(pool_rows, max_samples))
+            .groupBy("_g").agg(F.array_sort(F.collect_list(F.struct("_d", "_k", "_x"))).alias("_pool")))
+    both = pool.withColumnRenamed("_g", "_pg").join(counts, F.col("_pg").eqNullSafe(F.col("_g"))).drop("_pg")
     psi = F.least(F.lit(max_samples), F.col("_n"))
-    from pyspark.sql import Window
-    w = Window.partitionBy(gcol, "_tree").orderBy(F.xxhash64(F.col("_if_key"), F.col("_tree")), "_if_key")
-    sample = drawn.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).drop("_r")
-    sample = sample.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
-    sample = sample.select(gcol, "_salt", "_tree", "_n", *[F.col(f).alias(c) for f, c in zip(feat, cols)])
-
-    rows = keyed.withColumn("_salt", F.pmod(F.col("_if_key"), F.col("_salts")))
-    rows = rows.drop("_n", "_salts", "_frac")
-    rows_in = rows.select(*rows.columns, *[F.col(f).alias(f"_x_{c}") for f, c in zip(feat, cols)])
-    xcols = [f"_x_{c}" for c in cols]
-    out_schema = T.StructType(rows_in.schema.fields + [T.StructField("_if_score", T.DoubleType())])
-    # the sample side renames its keys: both sides descend from one scan, and
-    # same-named keys from one lineage are ambiguous to the analyzer
-    sample_x = sample.select(F.col(gcol).alias("_sg"), F.col("_salt").alias("_ss"), "_tree", "_n",
-                             *[F.col(c).alias(f"_x_{c}") for c in cols])
-    scored = rows_in.groupBy(gcol, "_salt").cogroup(sample_x.groupBy("_sg", "_ss")).applyInPandas(
-        _make_scorer(xcols, n_trees, seed, out_schema), schema=out_schema)
-    scored = scored.drop("_salt", "_if_key", *feat, *xcols)
-    return scored if group else scored.drop(gcol)
+    both = both.withColumn("_depth", F.size(F.filter(F.array(*[F.lit(1 << k) for k in range(max_samples.bit_length())]), lambda p: p < psi)))
+    both = both.withColumn("_gd", _draw(F.concat(F.lit(f"{seed}|"), "_gt")))
+    units = F.array(*[F.lit(u).cast("bigint") for u in leaf_units(max_samples)])
+
+    def sample(t):
+        ranked = F.array_sort(F.transform("_pool", lambda p: F.struct(_steps(p["_d"], t).alias("t"), p["_d"], p["_k"], p["_x"])))
+        return F.when(F.col("_n") <= max_samples, F.transform("_pool", lambda p: p["_x"])).otherwise(
+            F.transform(F.slice(ranked, 1, max_samples), lambda p: p["_x"]))
+
+    tree = lambda t: _grow(sample(t), len(cols), F.col("_depth"), _steps(F.col("_gd"), t), units)
+    return both.select("_g", "_n", "_depth", F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), tree).alias("_trees"))
+
+
+def isolation_forest_scores(df: DataFrame, cols: Sequence[str], group: str | None = None, n_trees: int = 100,
+                            max_samples: int = MAX_SAMPLES, seed: int = 42, rows_per_task: int = 1000,
+                            accuracy: int | None = None, key: Sequence[str] | None = None,
+                            pool_rows: int = POOL_ROWS, min_rows: int = 0) -> DataFrame:
+    """Add ``_if_score`` (higher = more isolated) and ``_if_path`` (the summed path, in
+    units) to every row; NULL in groups under ``min_rows``.
+
+    Missing feature values are filled with the median (of the group when ``group`` is
+    given), as the reference does before fitting; a value still NULL goes right at every
+    node. ``key`` names the columns that tell rows apart (:func:`row_key`); rows that share
+    a key share its draw. ``rows_per_task`` rows are scored with one copy of their
+    group's trees and changes no result."""
+    names = df.columns
+    base = _filled(df, cols, group, accuracy)
+    grown = materialize(forests(base, cols, group, key, n_trees, max_samples, seed, pool_rows, min_rows))
+    g = F.col(group) if group else F.lit(0)
+    rows = base.select(g.alias("_rg"), _draw(F.concat(F.lit(f"{seed}|"), key_text(base, key or row_key(base)))).alias("_d"),
+                       F.struct(*names).alias("row"), F.col("_x").alias("x"))
+    sizes = grown.select(F.col("_g").alias("_sg"), (F.col("_n") / rows_per_task).cast("bigint").alias("_parts"))
+    parts = rows.join(sizes, F.col("_rg").eqNullSafe(F.col("_sg")), "left")
+    packed = (parts.groupBy("_rg", (F.col("_d") % (F.coalesce("_parts", F.lit(0)) + 1)).alias("_part"))
+              .agg(F.collect_list(F.struct("row", "x")).alias("_rows")))
+    met = packed.join(grown, F.col("_rg").eqNullSafe(F.col("_g")), "left")
+    path = lambda x: F.aggregate("_trees", F.lit(0.0), lambda s, t: s + _walk(x, t, F.col("_depth")))
+    scored = met.select("_n", F.explode(F.transform("_rows", lambda r: F.struct(
+        r["row"].alias("row"), F.when(F.col("_trees").isNotNull(), path(r["x"])).alias("path")))).alias("r"))
+    mean = F.array(*[F.lit(c_factor(n) or 1.0) for n in range(max_samples + 1)])[F.least(F.lit(max_samples), F.col("_n")).cast("int")]
+    score = F.pow(F.lit(2.0), -(F.col("r.path") / (UNIT * n_trees)) / mean)
+    return scored.select(*[F.col(f"r.row.`{c}`").alias(c) for c in names], score.alias("_if_score"), F.col("r.path").alias("_if_path"))
 
 
 def isolation_forest_flags(df: DataFrame, cols: Sequence[str], group: str | None = None,
@@ -198,15 +215,17 @@ def isolation_forest_flags(df: DataFrame, cols: Sequence[str], group: str | None
                            **kw) -> DataFrame:
     """Flag rows whose score is above the group's (1 - contamination)
     quantile (J3 with ``group=None``, J10 with ``group="snapshot_time"``).
-    Groups smaller than ``min_rows`` are never flagged."""
-    scored = isolation_forest_scores(df, cols, group, seed=seed, accuracy=accuracy, **kw)
-    q = 1.0 - contamination
-    pct = (F.percentile("_if_score", F.lit(q)) if accuracy is None
-           else F.percentile_approx("_if_score", F.lit(q), accuracy))
+    Groups smaller than ``min_rows`` are never flagged.
+
+    A high score is a short path, so the test is path < its ``contamination``
+    quantile: the same rows, in whole numbers."""
+    scored = materialize(isolation_forest_scores(df, cols, group, seed=seed, accuracy=accuracy, min_rows=min_rows, **kw))
     if group is None:
-        thr = scored.agg(pct.alias("t")).select("t").scalar()
-        return scored.withColumn(flag, F.coalesce(F.col("_if_score") > thr, F.lit(False))).drop("_if_score")
-    thr = scored.groupBy(group).agg(pct.alias("_if_thr"), F.count(F.lit(1)).alias("_if_n"))
-    out = scored.join(thr, group, "left")
-    ok = (F.col("_if_n") >= min_rows) & (F.col("_if_score") > F.col("_if_thr"))
-    return out.withColumn(flag, F.coalesce(ok, F.lit(False))).drop("_if_score", "_if_thr", "_if_n")
+        from tidemark.operators.stats import global_quantiles
+        thr = global_quantiles(scored, "_if_path", [contamination], accuracy)[0]
+        return scored.withColumn(flag, F.coalesce(F.col("_if_path") < thr, F.lit(False))).drop("_if_score", "_if_path")
+    from tidemark.operators.stats import grouped_quantiles
+    thr = grouped_quantiles(scored, group, {"_if_path": [contamination]}).select(
+        F.col(group).alias("_tg"), F.col("_q__if_path_0").alias("_if_thr"))
+    out = scored.join(thr, F.col(group).eqNullSafe(F.col("_tg")), "left")
+    return out.withColumn(flag, F.coalesce(F.col("_if_path") < F.col("_if_thr"), F.lit(False))).select(*df.columns, flag)

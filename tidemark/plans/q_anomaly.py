@@ -6,6 +6,7 @@ from tidemark.fixtures import oracle_cte, panel, tape
 from tidemark.functions.exprs import fix6, fix6_sql
 from tidemark.operators import anomaly as A
 from tidemark.operators.lof import lof_flags
+from tidemark.plans.forest_sql import forest_sql
 from tidemark.plans.registry import query
 
 T = oracle_cte("tape")
@@ -95,7 +96,7 @@ def q_lof(spark, sf):
 
 
 def _pipeline_sql(src: str) -> str:
-    return f"""
+    return forest_sql(src, A.ML_COLUMNS, "symbol", "snapshot_time", A.ML_MIN_ROWS, A.CONTAMINATION, p="fs") + f"""
 , st AS (SELECT symbol, avg(volume_24h) AS mv, stddev_samp(volume_24h) AS sv,
                 avg(market_cap) AS mc, stddev_samp(market_cap) AS sc FROM {src} GROUP BY symbol),
 ap AS (SELECT s.symbol, s.snapshot_time, s.price, s.percent_change_24h, {_step_sql(src)},
@@ -103,8 +104,9 @@ ap AS (SELECT s.symbol, s.snapshot_time, s.price, s.percent_change_24h, {_step_s
          CASE WHEN sc IS NULL OR sc = 0 THEN 0.0 ELSE (market_cap - mc) / sc END AS market_cap_zscore
        FROM {src} s JOIN st USING (symbol)),
 ap2 AS (SELECT ap.*, coalesce(abs(volume_zscore) > 3.0, false) AS is_volume_spike,
-          coalesce(abs(market_cap_zscore) > 3.0, false) AS is_market_cap_anomaly, false AS is_isolation_forest_anomaly,
-          lofs.is_lof_anomaly FROM ap JOIN lofs USING (symbol, snapshot_time)),
+          coalesce(abs(market_cap_zscore) > 3.0, false) AS is_market_cap_anomaly, coalesce(fs.flagged, false) AS is_isolation_forest_anomaly,
+          lofs.is_lof_anomaly FROM ap JOIN lofs USING (symbol, snapshot_time)
+          LEFT JOIN fs ON fs.k = ap.symbol AND fs.g = ap.snapshot_time),
 ap3 AS (SELECT *, CAST(CAST(is_flash_crash AS INTEGER) + CAST(is_price_spike AS INTEGER) + CAST(is_volume_spike AS INTEGER)
           + CAST(is_market_cap_anomaly AS INTEGER) + CAST(is_isolation_forest_anomaly AS INTEGER)
           + CAST(is_lof_anomaly AS INTEGER) AS BIGINT) AS anomaly_score FROM ap2),
@@ -117,14 +119,14 @@ PIPE_COLS = ["is_flash_crash", "is_price_spike", "is_volume_spike", "is_market_c
 
 
 def _pipeline(spark, sf):
-    return A.run_anomaly_pipeline(panel(spark, sf), isolation_forest=False)
+    return A.run_anomaly_pipeline(panel(spark, sf))
 
 
 @query("run_anomaly_pipeline", P + lof_sql("panel") + _pipeline_sql("panel") +
        f"SELECT symbol, snapshot_time, {fix6_sql('volume_zscore')} AS volume_zscore, "
        f"{fix6_sql('market_cap_zscore')} AS market_cap_zscore, {', '.join(PIPE_COLS)} FROM ap4")
 def q_pipeline(spark, sf):
-    """M2 (five flags; the forest flag is checked by properties) and J11 score."""
+    """Six flags and the score."""
     out = _pipeline(spark, sf)
     return out.select("symbol", "snapshot_time", fix6("volume_zscore").alias("volume_zscore"),
                       fix6("market_cap_zscore").alias("market_cap_zscore"), *PIPE_COLS)
@@ -145,10 +147,12 @@ def q_flagged(spark, sf):
     return A.filter_flagged(_pipeline(spark, sf))
 
 
-@query("iforest_anomaly_by_snapshot")
+@query("iforest_anomaly_by_snapshot", P + forest_sql("panel", A.ML_COLUMNS, "symbol", "snapshot_time", A.ML_MIN_ROWS, A.CONTAMINATION, p="fs")
+       + "SELECT symbol, snapshot_time, coalesce(flagged, false) AS is_isolation_forest_anomaly FROM panel "
+         "LEFT JOIN fs ON fs.k = symbol AND fs.g = snapshot_time")
 def q_iforest_snapshot(spark, sf):
-    """Isolation forest per snapshot with >= 10 rows (checked by properties)."""
+    """Isolation forest per snapshot with >= 10 rows."""
     from tidemark.operators.forest import isolation_forest_flags
-    out = isolation_forest_flags(panel(spark, sf), A.ML_COLUMNS, group="snapshot_time",
-                                 min_rows=A.ML_MIN_ROWS)
+    out = isolation_forest_flags(panel(spark, sf), A.ML_COLUMNS, group="snapshot_time", key=["symbol"],
+                                 contamination=A.CONTAMINATION, min_rows=A.ML_MIN_ROWS)
     return out.select("symbol", "snapshot_time", "is_isolation_forest_anomaly")

@@ -9,6 +9,7 @@ from tidemark.fixtures import dirty_tape, oracle_cte, panel
 from tidemark.functions.exprs import fix6, fix6_sql
 from tidemark.operators import cleaning as C
 from tidemark.operators import stats as ST
+from tidemark.plans.forest_sql import forest_sql
 from tidemark.plans.registry import query
 
 NOW = "2030-01-01 00:00:00"
@@ -44,14 +45,22 @@ flags AS (
   {", ".join(f"coalesce(abs((f_{c} - mu_{c}) / sd_{c}) > 3.0, false) AS {c}_zscore_outlier" for c in COLS)},
   {", ".join(f"coalesce({c} < q1_{c} - 1.5 * (q3_{c} - q1_{c}) OR {c} > q3_{c} + 1.5 * (q3_{c} - q1_{c}), false) AS {c}_iqr_outlier" for c in COLS)}
   FROM filled, mom, zs),
-report AS (SELECT *, ({" OR ".join(f"{c}_zscore_outlier OR {c}_iqr_outlier" for c in COLS)}) AS any_outlier_flag FROM flags)
+report_stats AS (SELECT *, ({" OR ".join(f"{c}_zscore_outlier OR {c}_iqr_outlier" for c in COLS)}) AS any_stat FROM flags)
+""" + forest_sql("checked", COLS, "CAST(ingest_ord AS VARCHAR)") + """,
+report AS (SELECT r.* EXCLUDE (any_stat), fo.flagged AS isolation_forest_outlier, any_stat OR fo.flagged AS any_outlier_flag
+           FROM report_stats r JOIN fo ON fo.k = CAST(r.ingest_ord AS VARCHAR))
 """
 
 
 def _stages(spark, sf):
+    """Up to the rules; the outlier flags are not asked for."""
     return C.clean_stages(dirty_tape(spark, sf), now=NOW, isolation_forest=False)
 
 
+def _flagged(spark, sf):
+    return C.clean_stages(dirty_tape(spark, sf), now=NOW)
+
+
 @query("coerce_numeric", oracle_cte("dirty_tape") + """
 SELECT ingest_ord, TRY_CAST(price AS DOUBLE) AS price FROM dirty_tape""")
 def q_coerce_numeric(spark, sf):
@@ -165,20 +174,20 @@ def q_iqr(spark, sf):
 
 @query("outlier_report", STAGES + "SELECT * FROM report")
 def q_outlier_report(spark, sf):
-    """All statistical flags and their OR (isolation forest checked separately)."""
-    return _stages(spark, sf).flagged
+    """All flags and their OR."""
+    return _flagged(spark, sf).flagged
 
 
 @query("clean_pipeline", STAGES + "SELECT checked.*, any_outlier_flag AS is_outlier FROM checked JOIN report USING (ingest_ord)")
 def q_clean_pipeline(spark, sf):
     """G9 + C7: the whole cleaning sequence, the flag attached as is_outlier."""
-    return _stages(spark, sf).clean
+    return _flagged(spark, sf).clean
 
 
 @query("attach_flags", STAGES + "SELECT ingest_ord, any_outlier_flag AS is_outlier FROM report")
 def q_attach_flags(spark, sf):
     """The outlier flag as a column on its own row (no join)."""
-    return _stages(spark, sf).clean.select("ingest_ord", "is_outlier")
+    return _flagged(spark, sf).clean.select("ingest_ord", "is_outlier")
 
 
 _AUDIT = [
@@ -203,7 +212,7 @@ _AUDIT = [
     + ") WHERE NOT (metric LIKE '%_imputed_with_median' AND value = 0)")
 def q_audit(spark, sf):
     """Every stage's counts in one table."""
-    return C.cleaning_audit(dirty_tape(spark, sf), now=NOW, isolation_forest=False)
+    return C.cleaning_audit(dirty_tape(spark, sf), now=NOW)
 
 
 @query("missing_report", oracle_cte("dirty_tape") + " UNION ALL ".join(
@@ -226,9 +235,9 @@ def q_quantiles(spark, sf):
     return out.select("column_name", *[fix6(c).alias(c) for c in ("q1", "median", "q3")])
 
 
-@query("isolation_forest_outliers")
+@query("isolation_forest_outliers", STAGES + "SELECT ingest_ord, symbol, isolation_forest_outlier FROM report")
 def q_iforest(spark, sf):
-    """Global isolation forest on the four outlier columns (checked by properties)."""
+    """Global isolation forest on the four outlier columns."""
     from tidemark.operators.forest import isolation_forest_flags
     chk = _stages(spark, sf).checked
     return isolation_forest_flags(chk, COLS, flag="isolation_forest_outlier").select(

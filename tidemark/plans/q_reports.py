@@ -29,7 +29,7 @@ def final_sql(src: str = "panel", prefix: str = P) -> str:
 
 
 def final_panel(spark, sf):
-    return A.run_anomaly_pipeline(FE.build_feature_set(panel(spark, sf)), isolation_forest=False)
+    return A.run_anomaly_pipeline(FE.build_feature_set(panel(spark, sf)))
 
 
 def latest_final(spark, sf):
@@ -200,8 +200,8 @@ DASH_COLS = ["hourly_return", "volatility", "market_dominance", "relative_streng
 
 def _dash_spark(spark, sf):
     from tidemark.operators.cleaning import clean_pipeline
-    clean = clean_pipeline(dirty_tape(spark, sf), now=NOW, isolation_forest=False)
-    return A.run_anomaly_pipeline(FE.build_feature_set(clean), isolation_forest=False)
+    clean = clean_pipeline(dirty_tape(spark, sf), now=NOW)
+    return A.run_anomaly_pipeline(FE.build_feature_set(clean))
 
 
 @query("dashboard_load", final_sql("checked", STAGES) + """
