@@ -273,3 +273,16 @@ def test_quantiles_with_mostly_ties(spark):
     want = {r.g: list(r.q) for r in df.groupBy("g").agg(pct.alias("q")).collect()}
     got = stats.grouped_quantiles(df, "g", {"x": probs}, sketch=500, small=100)
     assert {r.g: [r[f"_q_x_{i}"] for i in range(5)] for r in got.collect()} == want
+
+
+def test_selection_with_ties_over_many_distinct_values(spark):
+    """60 % of the rows are one value, the rest all distinct, several columns at once."""
+    from tidemark.operators import stats
+    df = spark.range(400_000).select(
+        F.when(F.col("id") % 5 < 3, F.lit(0.5)).otherwise(F.rand(5)).alias("x"), F.when(F.col("id") % 5 < 3, F.lit(0.0)).otherwise(F.randn(6) * 1e9).alias("y"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.lit(2.0)).alias("z")).cache()
+    probs = [0.0, 0.2, 0.5, 0.81, 0.999, 1.0]
+    got = stats.quantile_table(df, {c: probs for c in "xyz"}, small=1000)
+    want = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in "xyz"]).head()
+    out = spark.range(1).select(*[got[c, p].alias(f"{c}{i}") for c in "xyz" for i, p in enumerate(probs)]).head()
+    assert list(out) == [v for c in "xyz" for v in want[c]]

@@ -122,39 +122,68 @@ def missing_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 SMALL_EXACT = 200_000      # values that one ``percentile`` buffer may hold
 
 
-def _values_at(src: DataFrame, ranks: Sequence[int], n: int, most: int) -> list[float]:
-    """Values of ``src._v`` (``n`` rows) at the 0-based ``ranks``, which are neighbours.
-
-    A sketch brackets the ranks and the rows under the bracket are counted, again and again,
-    until at most ``most`` rows are left inside, or the bracket is one value. Then (or when
-    repeated values keep it from shrinking) the counts per distinct value are read off."""
-    lo = hi = None
-    below, eps, first, last = 0, 2e-6, min(ranks), max(ranks)
-    while True:
-        inside = src if lo is None else src.filter((F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi)))
-        if n <= most or eps >= 1:
-            break
-        ps = [max(0.0, (first - below) / n - eps), min(1.0, (last - below + 1) / n + eps)]
-        a, z = inside.agg(F.percentile_approx("_v", F.array(*[F.lit(p) for p in ps]), 1_000_000)).head()[0]
-        under, upto = inside.agg(F.count_if(F.col("_v") < F.lit(a)), F.count_if(F.col("_v") <= F.lit(z))).head()
-        if not (below + under <= first and last < below + upto):
-            eps *= 8            # the ranks lie outside: a wider bracket
-        elif a == z:
-            return [float(a)] * len(ranks)
-        elif upto - under > n / 2:
-            break               # repeated values: few distinct ones are left
-        else:
-            lo, hi, below, n = a, z, below + under, upto - under
-    out: dict[int, float] = {}
-    seen = below
-    for r in inside.groupBy("_v").agg(F.count(F.lit(1)).alias("c")).orderBy("_v").toLocalIterator():
-        for k in ranks:
-            if seen <= k < seen + r["c"]:
-                out[k] = float(r["_v"])
-        seen += r["c"]
-        if len(out) == len(set(ranks)):
-            break
-    return [out[k] for k in ranks]
+FINISH_ROWS = 2_000        # rows inside a bracket that one task may sort
+SKETCH = 10_000
+
+
+def _select(df: DataFrame, val: dict[str, Column], ranks: dict[str, Sequence[int]], n: dict[str, int],
+            finish: int = FINISH_ROWS) -> dict[tuple[str, int], float]:
+    """Exact values at 0-based ranks of several columns at once (``n``: their value counts).
+
+    Each target keeps an open bracket (lo, hi) around its rank. A round is two passes over
+    ``df`` for all targets together: a sketch inside every bracket proposes three splitters
+    around the rank, and the rows below and up to each splitter are counted. A rank among a
+    splitter's copies is answered; otherwise the bracket moves between splitters, which leaves
+    their copies out, so repeated values shrink it too. A bracket of up to ``finish`` rows is
+    sorted by one aggregate. Only counts and single values reach the driver."""
+    state = {(c, k): [None, None, 0, n[c]] for c in ranks for k in set(ranks[c])}     # lo, hi, rows below, rows inside
+    found: dict[tuple[str, int], float] = {}
+    while state:
+        keys = sorted(state)
+        inside = {}
+        for c, k in keys:
+            lo, hi = state[c, k][:2]
+            v = val[c]
+            ok = v.isNotNull() & ~F.isnan(v)
+            if lo is not None:
+                ok = ok & (v > F.lit(lo))
+            if hi is not None:
+                ok = ok & (v < F.lit(hi))
+            inside[c, k] = F.when(ok, v)
+        small = [t for t in keys if state[t][3] <= finish]
+        large = [t for t in keys if state[t][3] > finish]
+        aggs = [F.element_at(F.array_sort(F.collect_list(inside[t])), t[1] - state[t][2] + 1).alias(f"v{i}") for i, t in enumerate(small)]
+        eps = 4.0 / SKETCH
+        for i, t in enumerate(large):
+            at = (t[1] - state[t][2] + 0.5) / state[t][3]
+            ps = [max(0.0, at - eps), at, min(1.0, at + eps)]
+            aggs.append(F.percentile_approx(inside[t], F.array(*[F.lit(p) for p in ps]), SKETCH).alias(f"s{i}"))
+        row = df.agg(*aggs).head()
+        for i, t in enumerate(small):
+            found[t] = float(row[f"v{i}"])
+            del state[t]
+        if not large:
+            continue
+        cuts = {t: sorted(set(row[f"s{i}"])) for i, t in enumerate(large)}
+        counts = df.agg(*[x for i, t in enumerate(large) for j, v in enumerate(cuts[t]) for x in (
+            F.count_if(inside[t] < F.lit(v)).alias(f"a{i}_{j}"), F.count_if(inside[t] <= F.lit(v)).alias(f"b{i}_{j}"))]).head()
+        for i, t in enumerate(large):
+            lo, hi, below, size = state[t]
+            left, last = below, below + size      # rows before and up to the new bracket
+            for j, v in enumerate(cuts[t]):
+                under, upto = below + counts[f"a{i}_{j}"], below + counts[f"b{i}_{j}"]
+                if under <= t[1] < upto:
+                    found[t] = float(v)
+                    del state[t]
+                    break
+                if upto <= t[1]:
+                    lo, left = v, upto
+                else:
+                    hi, last = v, under
+                    break
+            if t in state:
+                state[t] = [lo, hi, left, last - left]
+    return found
 
 
 def quantile_table(df: DataFrame, spec: dict[str, Sequence[float]], accuracy: int | None = None,
@@ -162,9 +191,8 @@ def quantile_table(df: DataFrame, spec: dict[str, Sequence[float]], accuracy: in
     """Whole-column quantiles for several columns at once, as literal Columns.
 
     Exact by default without gathering a big column: columns with at most
-    ``small`` values take ``percentile`` in one shared pass; of larger ones only
-    counts per value inside a sketched bracket are read (``_values_at``), and the two
-    order statistics are interpolated exactly as ``percentile`` does.
+    ``small`` values take ``percentile`` in one shared pass; the larger ones' order statistics
+    are selected together (``_select``) and interpolated exactly as ``percentile`` does.
     With ``accuracy`` the quantiles are ``percentile_approx`` (lazy)."""
     cols = list(spec)
     if not cols:
@@ -190,16 +218,16 @@ def quantile_table(df: DataFrame, spec: dict[str, Sequence[float]], accuracy: in
             for i, p in enumerate(spec[cols[k]]):
                 v = exact[f"q_{k}"][i] if exact[f"q_{k}"] is not None else None
                 out[(cols[k], p)] = F.lit(v).cast("double")
-    for k, c in enumerate(cols):
-        if k in small_cols:
-            continue
-        n = first[f"n_{k}"]
-        src = df.select(val[c].alias("_v")).filter(ok[c])
-        for p in spec[c]:
-            pos = p * (n - 1)
-            k_lo, k_hi = math.floor(pos), math.ceil(pos)
-            a, z = _values_at(src, [k_lo, k_hi], n, small)
-            v = a if k_lo == k_hi or a == z else (k_hi - pos) * a + (pos - k_lo) * z
+    big = [k for k in range(len(cols)) if k not in small_cols]
+    if big:
+        n = {cols[k]: first[f"n_{k}"] for k in big}
+        pos = {(c, p): p * (n[c] - 1) for c in n for p in spec[c]}
+        ranks = {c: [r for p in spec[c] for r in (math.floor(pos[c, p]), math.ceil(pos[c, p]))] for c in n}
+        at = _select(df, val, ranks, n, min(small, FINISH_ROWS))
+        for c, p in pos:
+            k_lo, k_hi = math.floor(pos[c, p]), math.ceil(pos[c, p])
+            a, z = at[c, k_lo], at[c, k_hi]
+            v = a if k_lo == k_hi or a == z else (k_hi - pos[c, p]) * a + (pos[c, p] - k_lo) * z
             out[(c, p)] = F.lit(v).cast("double")
     return out
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,8 +72,14 @@ def upsert_ignore(batch: DataFrame, path: str, order: str | None = None) -> int:
             writes = (spark.read.parquet(path).agg(F.max("ingest_ord")).head()[0] or 0) // _ORD_STEP + 1
     from tidemark.operators.series import materialize
     fresh = new_rows(b, stored)
-    place = F.col(order).cast("long") if order else F.monotonically_increasing_id() % _ORD_STEP
-    fresh = (fresh.withColumn("ingest_ord", F.lit((writes + 1) * _ORD_STEP) + place).drop("_batch_ord")
+    # the row's place in the write: ranges of the batch's order, numbered inside each
+    # range above the rows of the ranges before it
+    fresh = materialize(fresh.repartitionByRange("_batch_ord").withColumn("_part", F.spark_partition_id()))
+    sizes = fresh.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))      # a row per partition
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_batch_ord")) - 1 + F.col("_before")
+    fresh = fresh.join(sizes.select("_part", before.alias("_before")), "_part")
+    fresh = (fresh.withColumn("ingest_ord", F.lit((writes + 1) * _ORD_STEP) + place).drop("_batch_ord", "_part", "_before")
              .withColumn("inserted_at", F.current_timestamp())
              .withColumn("capture_date", F.to_date("snapshot_time")))
     fresh = materialize(fresh)

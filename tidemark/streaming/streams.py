@@ -154,8 +154,8 @@ def refresh_batch(store_path: str, features_path: str, lookback_rows: int = FULL
     count that holds at any cadence, so results equal a full rebuild. The rows replace
     what the same ``batch_id`` wrote before, so a redelivered batch changes
     nothing; ``latest_features`` reads the newest version of each row. With
-    ``outputs_path`` the latest rebuilt snapshot with its anomaly flags and a run summary
-    are written there."""
+    ``outputs_path`` the newest snapshot of the whole history with its anomaly flags, and a run
+    summary over the store, are written there."""
     from tidemark.operators.anomaly import run_anomaly_pipeline
     from tidemark.operators.features import build_feature_set
     from tidemark.operators.reports import run_summary
@@ -189,9 +189,11 @@ def refresh_batch(store_path: str, features_path: str, lookback_rows: int = FULL
         out = feats.join(keys, ["symbol", "snapshot_time"], "left_semi")
         out.write.mode("overwrite").parquet(f"{features_path.rstrip('/')}/batch_id={batch_id}")
         if outputs_path:
-            final = run_anomaly_pipeline(out)
+            # the flags' per-symbol statistics and one-step returns are those of the whole history
+            history = latest_features(spark.read.parquet(features_path))
+            final = run_anomaly_pipeline(history)
             latest_snapshot(final).write.mode("overwrite").parquet(f"{outputs_path}/latest")
-            run_summary(batch, final, inserted).write.mode("overwrite").parquet(f"{outputs_path}/summary/batch_id={batch_id}")
+            run_summary(store, final, inserted).write.mode("overwrite").parquet(f"{outputs_path}/summary/batch_id={batch_id}")
     return run
 
 
