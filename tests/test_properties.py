@@ -211,7 +211,7 @@ def test_arima_recovers_ar1_and_interval_widens(spark):
     for i in range(1, len(x)):
         x[i] = 0.6 * x[i - 1] + rng.normal()
     df = _series_df(spark, {"AR": x})
-    fc = _hr_fit(df, "symbol", "snapshot_time", "price", [1], [], 0, 0, 1, 12, 8, "AR1").toPandas()
+    fc = _hr_fit(df, "symbol", "snapshot_time", "price", [1], [], 0, 0, 1, 12, lambda m: F.lit(8), 8, "AR1").orderBy("step").toPandas()
     # one-step forecast = 0.6 * last value (approximately)
     assert abs(fc.loc[0, "yhat"] - 0.6 * x[-1]) < 0.1 * max(1.0, abs(x[-1]))
     width = (fc["upper"] - fc["lower"]).to_numpy()

@@ -7,23 +7,25 @@
 * K3 ``cluster_hierarchical``: exact Ward (nearest-neighbour chain, O(n^2))
   per group in ``applyInPandas``, or, if the caller asks for ``micro``, on the
   weighted centres of k-means micro-clusters; never chosen by size.
-* K4 ``cluster_dbscan``: eps-neighbour pairs from a grid on two features
-  (equi-join on neighbouring cells, then the exact distance), core points by
-  neighbour count, components by min-label propagation to a fixed point
-  (checkpointed each round), border points take the smallest neighbouring
-  core label, the rest are noise (-1). Labels are numbered by each
+* K4 ``cluster_dbscan``: cells of diagonal eps over all features; dense cells are
+  core without a distance, other points meet the cells whose box they reach,
+  components by large and small stars (``components``), border points take the
+  smallest neighbouring core label, the rest are noise (-1). Labels are numbered by each
   component's smallest key, so they are deterministic.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.components import components
 from tidemark.operators.series import materialize, sized_join
 from tidemark.operators.stats import grouped_quantiles
 
@@ -194,55 +196,127 @@ def _ward_micro(part: DataFrame, cols, g, key, label, k, m, seed) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- K4
+def _distance(a: Column, b: Column) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, t: s + t))
+
+
+def _gap(lo_a: Column, hi_a: Column, lo_b: Column, hi_b: Column) -> Column:
+    """Distance of two boxes."""
+    apart = F.zip_with(F.arrays_zip(lo_a.alias("lo"), hi_a.alias("hi")), F.arrays_zip(lo_b.alias("lo"), hi_b.alias("hi")),
+                       lambda p, q: F.greatest(F.lit(0.0), p["lo"] - q["hi"], q["lo"] - p["hi"]))
+    return F.sqrt(F.aggregate(apart, F.lit(0.0), lambda s, t: s + t * t))
+
+
+def _neighbours(cells: DataFrame, n_cols: int, eps: float, side: float) -> DataFrame:
+    """``g, a, b``: ordered pairs of different cells whose boxes are within ``eps``. Cells meet
+    by a coarse grid over the (up to three) features with the most occupied slices."""
+    used = cells.agg(*[F.approx_count_distinct(F.floor(F.col("lo")[i] / eps)) for i in range(n_cols)]).head()
+    dims = sorted(range(n_cols), key=lambda i: -(used[i] or 0))[:3]
+    near = cells.select("g", F.col("cell").alias("b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"),
+                        *[F.floor(F.col("lo")[i] / eps).alias(f"s{i}") for i in dims])
+    probe = cells.select("g", F.col("cell").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"))
+    for i in dims:
+        first, last = F.floor((F.col("lo_a")[i] - eps - side) / eps), F.floor((F.col("hi_a")[i] + eps) / eps)
+        probe = probe.withColumn(f"s{i}", F.explode(F.sequence(first, last)))
+    met = probe.join(near, ["g", *[f"s{i}" for i in dims]])
+    gap = _gap(F.col("lo_a"), F.col("hi_a"), F.col("lo_b"), F.col("hi_b"))
+    return met.where((F.col("a") != F.col("b")) & (gap <= eps * (1 + 1e-9))).select("g", "a", "b")
+
+
 def cluster_dbscan(df: DataFrame, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES,
                    group: str | None = None, features: Sequence[str] = CLUSTER_FEATURES,
                    key: str = "symbol", label: str = "dbscan_cluster") -> DataFrame:
-    """K4: DBSCAN on standardized features, per ``group``."""
+    """K4: DBSCAN on standardized features, per ``group``.
+
+    Equal rows are one weighted point. Points fall into cells of diagonal ``eps`` over all
+    features: a cell of ``min_samples`` rows is core and one cluster without a distance. Points
+    of other cells meet the cells whose box is within ``eps``: extreme points of dense cells
+    settle most, the rest are compared one by one. Cells or points that the cheap links
+    leave in different components are compared exactly. A row with a feature that is NULL
+    everywhere in its group is noise."""
     z = standardize(df, features, group)
     cols = [f"z_{f}" for f in available(df, features)]
-    g = group or "_dg"
-    z = z if group else z.withColumn(g, F.lit(0))
-    pts = materialize(z.select(g, key, *cols))
-    gx, gy = cols[0], cols[1] if len(cols) > 1 else cols[0]
-    cell = pts.withColumns({"_cx": F.floor(F.col(gx) / eps), "_cy": F.floor(F.col(gy) / eps)})
-    # every point visits the 3 x 3 cells around its own; true neighbours are in them
-    probe = cell.select(g, F.col(key).alias("_a"), *[F.col(c).alias(f"_a_{c}") for c in cols],
-                        F.explode(F.array(*[F.struct((F.col("_cx") + dx).alias("x"), (F.col("_cy") + dy).alias("y"))
-                                            for dx in (-1, 0, 1) for dy in (-1, 0, 1)])).alias("_c"))
-    probe = probe.select("*", F.col("_c.x").alias("_cx"), F.col("_c.y").alias("_cy")).drop("_c")
-    target = cell.select(g, F.col(key).alias("_b"), *[F.col(c).alias(f"_b_{c}") for c in cols], "_cx", "_cy")
-    pairs = probe.join(target, [g, "_cx", "_cy"])
-    d2 = None
-    for c in cols:
-        t = (F.col(f"_a_{c}") - F.col(f"_b_{c}")) * (F.col(f"_a_{c}") - F.col(f"_b_{c}"))
-        d2 = t if d2 is None else d2 + t
-    edges = materialize(pairs.filter(F.sqrt(d2) <= eps).select(g, "_a", "_b"))  # includes (a, a)
-    deg = edges.groupBy(g, "_a").agg(F.count(F.lit(1)).alias("_deg"))
-    core = materialize(deg.filter(F.col("_deg") >= min_samples).select(g, F.col("_a").alias("_p")))
-    core_edges = materialize(
-        edges.join(core.withColumnRenamed("_p", "_a"), [g, "_a"], "left_semi")
-        .join(core.withColumnRenamed("_p", "_b"), [g, "_b"], "left_semi"))
-    lab = core.withColumn("_l", F.col("_p"))
-    while True:     # labels only fall, so a fixed point is reached
-        prop = (core_edges.join(lab.withColumnRenamed("_p", "_b").withColumnRenamed("_l", "_lb"), [g, "_b"])
-                .groupBy(g, "_a").agg(F.min("_lb").alias("_m")))
-        new = materialize(lab.join(prop.withColumnRenamed("_a", "_p"), [g, "_p"], "left")
-                          .select(g, "_p", F.least("_l", F.coalesce("_m", "_l")).alias("_l")))
-        changed = new.join(lab.withColumnRenamed("_l", "_old"), [g, "_p"]).filter(F.col("_l") != F.col("_old"))
-        lab = new
-        if changed.isEmpty():
-            break
-    border = (edges.join(lab.withColumnRenamed("_p", "_b"), [g, "_b"])
-              .groupBy(g, "_a").agg(F.min("_l").alias("_bl")))
-    comp = (pts.select(g, key).join(lab.withColumnRenamed("_p", key), [g, key], "left")
-            .join(border.withColumnRenamed("_a", key), [g, key], "left")
-            .withColumn("_root", F.coalesce("_l", "_bl")))
-    roots = comp.filter(F.col("_root").isNotNull()).select(g, "_root").distinct()
+    d = len(cols)
+    rows = z.select((F.col(group) if group else F.lit(0)).alias("g"), F.col(key).alias("key"), F.array(*cols).alias("x"))
+    whole = rows.where(reduce(lambda a, b: a & b, [F.col("x")[i].isNotNull() for i in range(d)]))
+    side = eps / math.sqrt(d) * (1 - 1e-9)
+    pts = materialize(whole.groupBy("g", "x").agg(F.count(F.lit(1)).alias("w"), F.min("key").alias("k"))
+                      .withColumn("cell", F.transform("x", lambda v: F.floor(v / side))))
+    cells = materialize(pts.groupBy("g", "cell").agg(
+        F.sum("w").alias("w"), F.min("k").alias("node"),
+        F.array(*[F.min(F.col("x")[i]) for i in range(d)]).alias("lo"), F.array(*[F.max(F.col("x")[i]) for i in range(d)]).alias("hi"),
+        F.array_distinct(F.array(*[f("x", F.col("x")[i]) for i in range(d) for f in (F.min_by, F.max_by)])).alias("ends"))
+        .withColumn("dense", F.col("w") >= min_samples))
+    near = materialize(_neighbours(cells, d, eps, side))
+    # the points of cells that are not dense, and the neighbouring cells within reach of each
+    own = pts.join(cells.select("g", "cell", "dense", F.col("w").alias("cell_w")), ["g", "cell"])
+    thin = materialize(own.where("not dense").select("g", "cell", "k", "x", "w", "cell_w"))
+    box = cells.select("g", F.col("cell").alias("b"), "node", "lo", "hi", "ends", "dense")
+    reach = thin.join(near.withColumnRenamed("a", "cell"), ["g", "cell"]).join(box, ["g", "b"])
+    reach = reach.where(_gap(F.col("x"), F.col("x"), F.col("lo"), F.col("hi")) <= eps * (1 + 1e-9))
+    hits = F.size(F.filter("ends", lambda e: _distance(F.col("x"), e) <= eps))
+    reach = materialize(reach.select("g", "k", "x", "b", "node", "dense", F.when(F.col("dense"), hits).otherwise(0).alias("hits")))
+    other = lambda cond: pts.join(cells.where(cond).select("g", "cell"), ["g", "cell"], "left_semi").select(
+        "g", F.col("cell").alias("b"), F.col("x").alias("y"), F.col("w").alias("wy"), F.col("k").alias("ky"))
+    close = F.col("dist") <= eps
+    pair = lambda left, cond: left.join(other(cond), ["g", "b"]).withColumn("dist", _distance(F.col("x"), F.col("y"))).where(close)
+    inside = thin.select("g", F.col("cell").alias("b"), "k", "x")
+    thin_pairs = materialize(pair(reach.where("not dense").select("g", "b", "k", "x").union(inside.select("g", "b", "k", "x")), "not dense")
+                             .select("g", "k", "ky", "wy"))
+    count = (thin_pairs.groupBy("g", "k").agg(F.sum("wy").alias("n"))       # a point finds itself
+             .union(reach.where("dense").groupBy("g", "k").agg(F.sum("hits").alias("n")))
+             .groupBy("g", "k").agg(F.sum("n").alias("n")))
+    open_ = count.where(F.col("n") < min_samples).select("g", "k")
+    exact = materialize(pair(reach.where("dense").join(open_, ["g", "k"], "left_semi").select("g", "b", "node", "k", "x"), "dense")
+                        .groupBy("g", "k", "node").agg(F.sum("wy").alias("n")))
+    full = thin_pairs.select("g", "k", F.col("wy").alias("n")).union(exact.select("g", "k", "n")).groupBy("g", "k").agg(F.sum("n").alias("n"))
+    core = materialize(count.where(F.col("n") >= min_samples).select("g", "k")
+                       .union(full.where(F.col("n") >= min_samples).select("g", "k")).distinct())
+    # links: thin core points with each other and with dense cells, dense cells with each other
+    to_cell = materialize(reach.where(F.col("dense") & (F.col("hits") > 0)).select("g", "k", "node").union(exact.select("g", "k", "node")).distinct())
+    is_core = lambda name: core.select("g", F.col("k").alias(name))
+    thin_links = thin_pairs.where("k < ky").join(core, ["g", "k"], "left_semi").join(is_core("ky"), ["g", "ky"], "left_semi")
+    dense = box.where("dense").select("g", F.col("b").alias("cell"), "node", "lo", "hi", "ends")
+    left = dense.select("g", F.col("cell").alias("a"), F.col("node").alias("u"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"), F.col("ends").alias("ends_a"))
+    twins = materialize(near.where("a < b").join(left, ["g", "a"]).join(dense.withColumnRenamed("cell", "b").withColumnRenamed("node", "v"), ["g", "b"])
+                        .withColumn("met", F.exists("ends_a", lambda p: F.exists("ends", lambda q: _distance(p, q) <= eps))))
+    nodes = materialize(dense.select("g", "node").union(core.select("g", F.col("k").alias("node"))))
+    links = materialize(thin_links.select("g", F.col("k").alias("u"), F.col("ky").alias("v"))
+                        .union(to_cell.join(core, ["g", "k"], "left_semi").select("g", F.col("k").alias("u"), F.col("node").alias("v")))
+                        .union(twins.where("met").select("g", "u", "v")))
+    root = components(nodes, links)
+
+    def apart(pairs: DataFrame, u: str, v: str) -> DataFrame:
+        """Pairs whose nodes are in different components so far."""
+        side_of = lambda n, r: root.select("g", F.col("node").alias(n), F.col("root").alias(r))
+        return pairs.join(side_of(u, "_ru"), ["g", u]).join(side_of(v, "_rv"), ["g", v]).where("_ru <> _rv").drop("_ru", "_rv")
+
+    point = lambda cell, name: pts.select("g", F.col("cell").alias(cell), F.col("x").alias(name))
+    more = apart(reach.where("dense and hits = 0").select("g", "b", "node", "k", "x").join(core, ["g", "k"], "left_semi"), "k", "node")
+    more = pair(more, "dense").select("g", F.col("k").alias("u"), F.col("node").alias("v"))
+    left_over = materialize(apart(twins.where("not met"), "u", "v"))
+    within = lambda x, lo, hi: _gap(F.col(x), F.col(x), F.col(lo), F.col(hi)) <= eps * (1 + 1e-9)
+    ours = left_over.join(point("a", "x"), ["g", "a"]).where(within("x", "lo", "hi")).select("g", "a", "b", "u", "v", "x")
+    theirs = left_over.join(point("b", "y"), ["g", "b"]).where(within("y", "lo_a", "hi_a")).select("g", "a", "b", "y")
+    last = ours.join(theirs, ["g", "a", "b"]).where(_distance(F.col("x"), F.col("y")) <= eps).select("g", "u", "v")
+    new = materialize(more.union(last).distinct())
+    if not new.isEmpty():
+        root = components(nodes, links.union(new))
+    root = materialize(root.select("g", "node", "root"))
+    # border points: the smallest cluster among the core points within reach
+    edge = (to_cell.select("g", "k", "node").union(thin_pairs.select("g", "k", F.col("ky").alias("node")))
+            .join(core, ["g", "k"], "left_anti").join(root, ["g", "node"]).groupBy("g", "k").agg(F.min("root").alias("root")))
+    thin_root = core.join(root.withColumnRenamed("node", "k"), ["g", "k"]).select("g", "k", "root").union(edge.select("g", "k", "root"))
+    dense_root = dense.join(root, ["g", "node"]).select("g", "cell", F.col("root").alias("cell_root"))
+    found = (pts.join(dense_root, ["g", "cell"], "left").join(thin_root, ["g", "k"], "left")
+             .select("g", "x", F.coalesce("cell_root", "root").alias("root")).where("root is not null"))
     # one row per cluster root: a small table, numbered 0.. within each group
-    roots = roots.withColumn(label, (F.dense_rank().over(Window.partitionBy(g).orderBy("_root")) - 1).cast("int"))
-    comp = comp.join(roots, [g, "_root"], "left").withColumn(label, F.coalesce(F.col(label), F.lit(-1)))
-    out = z.drop(*cols).join(comp.select(g, key, label), [g, key], "left")
-    return out if group else out.drop(g)
+    ids = found.select("g", "root").distinct().withColumn(label, (F.dense_rank().over(Window.partitionBy("g").orderBy("root")) - 1).cast("int"))
+    named = found.join(ids, ["g", "root"]).select(F.col("g").alias("_g"), F.col("x").alias("_x"), label)
+    g = F.col(group) if group else F.lit(0)
+    out = z.drop(label) if label in z.columns else z
+    out = out.join(named, g.eqNullSafe(F.col("_g")) & (F.array(*cols) == F.col("_x")), "left")
+    return out.withColumn(label, F.coalesce(F.col(label), F.lit(-1))).drop("_g", "_x", *cols)
 
 
 def cluster_all(latest: DataFrame, k: int = N_CLUSTERS, key: str = "symbol") -> DataFrame:

@@ -60,10 +60,29 @@ def q_acf(spark, sf):
     return TS.acf(bars(spark, sf)).withColumn("acf", fix6("acf"))
 
 
-@query("pacf")
+def _pacf_sql(nlags: int = TS.ACF_LAGS) -> str:
+    """Durbin-Levinson: each step's coefficient and the new list of coefficients from the last."""
+    lags = ", ".join(f"sum(p{k}) AS s{k}" for k in range(nlags + 1))
+    prods = ", ".join(["d * d AS p0"] + [f"d * lag(d, {k}) OVER {W} AS p{k}" for k in range(1, nlags + 1)])
+    r = ", ".join(f"(s{k} / (n - {k})) / (s0 / n)" for k in range(nlags + 1))
+    return (B.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, dm AS (SELECT symbol, snapshot_time, price - avg(price) OVER (PARTITION BY symbol) AS d FROM bars WHERE price IS NOT NULL),
+pr AS (SELECT symbol, {prods} FROM dm),
+sums AS (SELECT symbol, count(*) AS n, {lags} FROM pr GROUP BY symbol),
+start AS (SELECT symbol, least({nlags}, greatest(n // 2 - 1, 0)) AS last, [{r}] AS r FROM sums),
+dl(symbol, k, last, r, phi, v, a) AS (
+  SELECT symbol, 0, last, r, CAST([] AS DOUBLE[]), 1.0::DOUBLE, 1.0::DOUBLE FROM start
+  UNION ALL
+  SELECT symbol, k + 1, last, r, list_append(list_transform(range(1, k + 1), lambda i: phi[i] - b * phi[k + 1 - i]), b), v * (1 - b * b), b
+  FROM (SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda i: phi[i] * r[k + 2 - i])), 0)) / v AS b
+        FROM dl WHERE k < last AND v > 0))
+SELECT symbol, CAST(k AS INTEGER) AS lag, {fix6_sql('a')} AS pacf FROM dl""")
+
+
+@query("pacf", _pacf_sql())
 def q_pacf(spark, sf):
-    """L4: partial autocorrelation (Yule-Walker, adjusted), lags 0..40 (checked against NumPy in tests)."""
-    return TS.pacf(bars(spark, sf))
+    """L4: partial autocorrelation (Yule-Walker, adjusted), lags 0..40."""
+    return TS.pacf(bars(spark, sf)).withColumn("pacf", fix6("pacf"))
 
 
 DECOMP_SQL = SERIES + f"""
