@@ -8,6 +8,7 @@ DECIMAL(12,2) so sums do not depend on row order in either engine.
 
 Fixtures:
   panel       nations x months (cross-sections, latest, ranks, the SQL library)
+  wide_panel  60 parts x 20 days, every snapshot full (top-n limits, ties, models, KPIs)
   bars        event types x hours (long lags, rolling, EMA, OHLC, forecasts)
   tape        users x raw event time (irregular spacing, z-scores, streams)
   dirty_tape  tape with planted defects (every cleaning operator)
@@ -15,6 +16,8 @@ Fixtures:
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -40,6 +43,25 @@ SELECT symbol, snapshot_time, coin_id, name, price, market_cap, volume_24h, circ
 FROM base
 """
 
+WIDE_PANEL_SQL = """
+WITH base AS (
+  SELECT CASE l_partkey % 60 WHEN 0 THEN 'BTC' WHEN 1 THEN 'ETH' ELSE concat('P', CAST(l_partkey % 60 AS VARCHAR(64))) END AS symbol,
+         concat('Part ', CAST(l_partkey % 60 AS VARCHAR(64))) AS name, CAST(l_partkey % 60 AS VARCHAR(64)) AS coin_id,
+         CAST(DATE '2024-01-01' + CAST(l_orderkey % 20 AS INT) AS TIMESTAMP) AS snapshot_time,
+         CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) / COUNT(*) AS price,
+         CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS market_cap,
+         CAST(COUNT(*) AS DOUBLE) AS volume_24h,
+         CAST(COUNT(DISTINCT l_orderkey) AS DOUBLE) AS circulating_supply
+  FROM {lineitem} GROUP BY 1, 2, 3, 4)
+SELECT symbol, snapshot_time, coin_id, name, price, market_cap, volume_24h, circulating_supply,
+  CAST(ROW_NUMBER() OVER (PARTITION BY snapshot_time ORDER BY market_cap DESC, symbol) AS INT) AS cmc_rank,
+  100.0E0 * (price / LAG(price, 1) OVER (PARTITION BY symbol ORDER BY snapshot_time) - 1) AS percent_change_1h,
+  100.0E0 * (price / LAG(price, 2) OVER (PARTITION BY symbol ORDER BY snapshot_time) - 1) AS percent_change_24h,
+  100.0E0 * (price / LAG(price, 7) OVER (PARTITION BY symbol ORDER BY snapshot_time) - 1) AS percent_change_7d,
+  snapshot_time AS last_updated
+FROM base
+"""
+
 BARS_SQL = """
 SELECT CASE event_type WHEN 'purchase' THEN 'BTC' WHEN 'click' THEN 'ETH' ELSE upper(event_type) END AS symbol,
   CAST(date_trunc('hour', ts) AS TIMESTAMP) AS snapshot_time,
@@ -76,17 +98,31 @@ SELECT event_id + 10000000, CAST(user_id AS VARCHAR(64)), concat('U', CAST(user_
 FROM {events} WHERE event_id % 59 = 0
 """
 
-FIXTURE_SQL = {"panel": PANEL_SQL, "bars": BARS_SQL, "tape": TAPE_SQL, "dirty_tape": DIRTY_TAPE_SQL}
-_NEEDS = {"panel": ("orders", "customer", "nation"), "bars": ("events",),
+FIXTURE_SQL = {"panel": PANEL_SQL, "wide_panel": WIDE_PANEL_SQL, "bars": BARS_SQL, "tape": TAPE_SQL, "dirty_tape": DIRTY_TAPE_SQL}
+_NEEDS = {"panel": ("orders", "customer", "nation"), "wide_panel": ("lineitem",), "bars": ("events",),
           "tape": ("events",), "dirty_tape": ("events",)}
 
 
+_stands_for: dict[str, str] = {}
+
+
+@contextmanager
+def standing_for(name: str, other: str):
+    """Inside the block the adapter ``name`` reads ``other``."""
+    _stands_for[name] = other
+    try:
+        yield
+    finally:
+        del _stands_for[name]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named adapter as a Spark DataFrame over the parquet tables in ``sf_dir``."""
+    name = _stands_for.get(name, name)
     dfs = {t: table(spark, sf_dir, t) for t in _NEEDS[name]}
     return spark.sql(FIXTURE_SQL[name].format(json_get="get_json_object", **{t: "{" + t + "}" for t in dfs}), **dfs)
 
@@ -107,10 +143,11 @@ def dirty_tape(spark, sf_dir):
     return fixture(spark, sf_dir, "dirty_tape")
 
 
+def oracle_text(name: str) -> str:
+    return FIXTURE_SQL[name].format(json_get="json_extract_string", **{t: t for t in _NEEDS[name]}).strip()
+
+
 def oracle_cte(*names: str) -> str:
     """``WITH a AS (...), b AS (...)`` over DuckDB's registered views."""
-    parts = []
-    for n in names:
-        sql = FIXTURE_SQL[n].format(json_get="json_extract_string", **{t: t for t in _NEEDS[n]})
-        parts.append(f"{n} AS ({sql.strip()})")
+    parts = [f"{n} AS ({oracle_text(n)})" for n in names]
     return "WITH " + ",\n".join(parts) + "\n"

@@ -16,6 +16,7 @@ from tidemark.functions.exprs import to_ntz
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+CHECKS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}     # as written, without the session's settings
 
 
 def query(name: str, oracle: str | None = None):
@@ -32,6 +33,7 @@ def query(name: str, oracle: str | None = None):
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        CHECKS[name] = fn
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -51,6 +53,7 @@ def load_all() -> None:
     from tidemark.plans import (q_library, q_cleaning, q_features, q_anomaly,  # noqa: F401
                                 q_reports, q_sources, q_timeseries, q_cluster, q_streams,
                                 q_charts)
+    from tidemark.plans import q_wide  # noqa: F401  (stands on the others)
 
 
 def alias(new: str, existing: str) -> None:
