@@ -139,6 +139,12 @@ def _walk(x: Column, tree: Column, depth: Column) -> Column:
     return tree[last - 1]["v"]
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Over all shuffle partitions: few bytes, but much work a row, so partitions must not
+    be merged by their size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def _filled(base: DataFrame, cols: Sequence[str], group: str | None, accuracy: int | None) -> DataFrame:
     """``_x``: the features as doubles, missing ones as the median (of the group)."""
     if group is None:
@@ -167,7 +173,8 @@ def forests(df: DataFrame, cols: Sequence[str], group: str | None = None, key: S
     psi = F.least(F.lit(max_samples), F.col("_n"))
     both = both.withColumn("_depth", F.size(F.filter(F.array(*[F.lit(1 << k) for k in range(max_samples.bit_length())]), lambda p: p < psi)))
     both = both.withColumn("_gd", _draw(F.concat(F.lit(f"{seed}|"), "_gt")))
-    units = F.array(*[F.lit(u).cast("bigint") for u in leaf_units(max_samples)])
+    units = F.expr("array(" + ", ".join(f"{u}L" for u in leaf_units(max_samples)) + ")")
+    both = _spread(both, "_g")
 
     def sample(t):
         ranked = F.array_sort(F.transform("_pool", lambda p: F.struct(_steps(p["_d"], t).alias("t"), p["_d"], p["_k"], p["_x"])))
@@ -200,11 +207,11 @@ def isolation_forest_scores(df: DataFrame, cols: Sequence[str], group: str | Non
     parts = rows.join(sizes, F.col("_rg").eqNullSafe(F.col("_sg")), "left")
     packed = (parts.groupBy("_rg", (F.col("_d") % (F.coalesce("_parts", F.lit(0)) + 1)).alias("_part"))
               .agg(F.collect_list(F.struct("row", "x")).alias("_rows")))
-    met = packed.join(grown, F.col("_rg").eqNullSafe(F.col("_g")), "left")
+    met = _spread(packed, "_rg", "_part").join(grown, F.col("_rg").eqNullSafe(F.col("_g")), "left")
     path = lambda x: F.aggregate("_trees", F.lit(0.0), lambda s, t: s + _walk(x, t, F.col("_depth")))
     scored = met.select("_n", F.explode(F.transform("_rows", lambda r: F.struct(
         r["row"].alias("row"), F.when(F.col("_trees").isNotNull(), path(r["x"])).alias("path")))).alias("r"))
-    mean = F.array(*[F.lit(c_factor(n) or 1.0) for n in range(max_samples + 1)])[F.least(F.lit(max_samples), F.col("_n")).cast("int")]
+    mean = F.expr("array(" + ", ".join(f"{c_factor(n) or 1.0!r}D" for n in range(max_samples + 1)) + ")")[F.least(F.lit(max_samples), F.col("_n")).cast("int")]
     score = F.pow(F.lit(2.0), -(F.col("r.path") / (UNIT * n_trees)) / mean)
     return scored.select(*[F.col(f"r.row.`{c}`").alias(c) for c in names], score.alias("_if_score"), F.col("r.path").alias("_if_path"))
 

@@ -132,16 +132,15 @@ def price_volatility_per_coin(df: DataFrame, n: int = 20, min_rows: int = 5) ->
 
 
 def price_volatility_join_back(df: DataFrame, n: int = 20, min_rows: int = 5) -> DataFrame:
-    """The same statistic in the join-back form (C1): per-symbol mean joined
-    to the rows, squared deviations summed. Both sides are keyed by symbol,
-    so the join reuses the aggregate's partitioning."""
-    stats = df.groupBy("symbol").agg(F.avg("price").alias("mean_price"), F.count(F.lit(1)).alias("n"))
-    dev = (df.select("symbol", "price").join(stats, "symbol")
-           .groupBy("symbol", "n")
-           .agg(F.try_divide(F.sum((F.col("price") - F.col("mean_price")) ** 2),
-                             F.nullif(F.col("n") - 1, F.lit(0))).alias("variance")))
-    out = dev.filter(F.col("n") > min_rows).select("symbol", F.sqrt("variance").alias("price_volatility"))
-    return top_movers(out, "price_volatility", n)
+    """The same statistic in the join-back form (C1): each row against its symbol's centre.
+    Symbols with too few rows go before the join; both sides are keyed by symbol, so the
+    join reuses the aggregate's partitioning."""
+    centre = (df.groupBy("symbol").agg(F.avg("price").alias("_centre"), F.count(F.lit(1)).alias("_rows"))
+              .filter(F.col("_rows") > min_rows))
+    gap = F.col("price") - F.col("_centre")
+    spread = df.join(centre, "symbol").groupBy("symbol").agg(
+        F.sqrt(F.try_divide(F.sum(gap * gap), F.max("_rows") - 1)).alias("price_volatility"))
+    return top_movers(spread, "price_volatility", n)
 
 
 def avg_daily_return(df: DataFrame, n: int = 20) -> DataFrame:
