@@ -4,9 +4,9 @@ Columns and SQL functions only. Strict patterns with validators give the base
 spans. Looser generators propose further, overlapping candidates (numbers grouped
 in any way and, where numbers stand side by side, each part of such a run that has the
 digits of a kind; addresses with spelled-out signs); every candidate gets format and
-context features, and gradient-boosted trees, trained here on candidates that the
-validators accept or reject, score them. A threshold per kind, calibrated on
-held-out candidates, selects the spans to add; base spans always stay.
+context features, and gradient-boosted trees, trained here on all candidates that the
+validators accept or reject, score them. A threshold per kind, calibrated on all
+candidates by trees that have not seen them, selects the spans to add; base spans always stay.
 
 The trees are turned into one SQL expression, so scoring is a narrow projection
 over each row's own candidates: no shuffle, and a document's spans stay in its row.
@@ -16,6 +16,7 @@ match ended), so matching is linear in the text and needs no deep stack.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -337,31 +338,48 @@ def _tree(node) -> float | tuple:
     return (int(split.featureIndex()), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild()))
 
 
-def fit(cands: DataFrame, max_rows: int = 20_000, rounds: int = 10, depth: int = 3, precision: float = 0.98,
-        seed: int = 7) -> Model:
-    """Boosts ``depth``-deep trees on a bounded sample (``max_rows`` candidates of
-    each class, lowest feature hashes first) of those the validators judge; a fifth of
-    it calibrates, per kind, the lowest log-odds at which the spans above reach
-    ``precision``. No candidate of one class: no model, nothing is added."""
+def _boosted(rows: DataFrame, rounds: int, depth: int, seed: int) -> Model | None:
+    """Trees over ``rows`` (features, y, n: how many candidates a row stands for); the classes
+    weigh the same in sum. None if a class is missing."""
+    count = {r.y: (r.n, r.rows) for r in rows.groupBy("y").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
+    if set(count) != {0, 1}:
+        return None
+    total = sum(n for n, _ in count.values())
+    weight = reduce(lambda rest, y: F.when(F.col("y") == y, F.col("n") * (total / (2.0 * count[y][0]))).otherwise(rest), (0, 1), F.lit(0.0))
+    vec = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows.withColumn("_w", weight))
+    # so many bins that thresholds are proposed from all rows (MLlib looks at bins squared of them)
+    bins = max(32, math.isqrt(sum(k for _, k in count.values())) + 1)
+    gbt = GBTClassifier(labelCol="y", featuresCol="x", weightCol="_w", maxIter=rounds, maxDepth=depth, maxBins=bins, seed=seed,
+                        checkpointInterval=-1).fit(vec)
+    return Model([_tree(t._java_obj.rootNode()) for t in gbt.trees], [float(w) for w in gbt.treeWeights])
+
+
+def fit(cands: DataFrame, rounds: int = 10, depth: int = 3, precision: float = 0.98, seed: int = 7) -> Model:
+    """Boosts ``depth``-deep trees on all candidates that the validators judge. Those with the
+    same features are one row with their number as weight, so the rows are as many as
+    there are forms of candidates. Thresholds: every candidate is scored by trees that have
+    not seen it (two halves by hash), and per kind the lowest log-odds is taken at which
+    the spans above (1 / (1 - precision) at least) reach ``precision``. No candidate of one class: no model, nothing is added."""
     one = cands.select(F.explode(F.flatten("_cand")).alias("c")).where("c.y is not null").select("c.y", "c.k", "c.s", "c.f")
-    one = one.withColumn("h", F.xxhash64("f", "s"))
-    parts = [one.where(F.col("y") == y).orderBy("h").limit(max_rows) for y in (0, 1)]
-    rows = stage(parts[0].union(parts[1]).select("y", "k", "h", "f.*"), "pii-train")
-    train = rows.where(F.pmod("h", F.lit(5)) != 0)
-    if {r.y for r in train.groupBy("y").count().collect()} != {0, 1}:
+    half = F.pmod(F.xxhash64("f", "s"), F.lit(2)).alias("half")
+    rows = stage(one.select("y", "k", half, "f.*").groupBy("y", "k", "half", *FEATURES).agg(F.count("*").alias("n")), "pii-train")
+    model = _boosted(rows, rounds, depth, seed)
+    if model is None:
+        unstage(rows)
         return Model()
-    vec = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(train)
-    gbt = GBTClassifier(labelCol="y", featuresCol="x", maxIter=rounds, maxDepth=depth, seed=seed, checkpointInterval=-1).fit(vec)
-    model = Model([_tree(t._java_obj.rootNode()) for t in gbt.trees], [float(w) for w in gbt.treeWeights])
-    held = rows.where(F.pmod("h", F.lit(5)) == 0).select("k", "y", F.round(model.margin(F.col), 3).alias("m"))
-    by_kind: dict[int, list] = {}
-    for r in held.groupBy("k", "m").agg(F.sum("y").alias("good"), F.count("*").alias("n")).collect():
-        by_kind.setdefault(r.k, []).append((r.m, r.good, r.n))
+    by_kind: dict[int, dict] = {}
+    for h in (0, 1):
+        other = _boosted(rows.where(F.col("half") != h), rounds, depth, seed) or model
+        held = rows.where(F.col("half") == h).select("k", "y", "n", F.round(other.margin(F.col), 3).alias("m"))
+        for r in held.groupBy("k", "m").agg(F.sum(F.col("y") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect():
+            seen = by_kind.setdefault(r.k, {})
+            good, n = seen.get(r.m, (0, 0))
+            seen[r.m] = (good + r.good, n + r.n)
     for k, seen in by_kind.items():
         good = n = 0
-        for m, g, c in sorted(seen, reverse=True):
+        for m, (g, c) in sorted(seen.items(), reverse=True):
             good, n = good + g, n + c
-            if m > 0 and good >= precision * n:
+            if m > 0 and n * (1 - precision) >= 1 and good >= precision * n:      # fewer tell nothing of such a precision
                 model.cut[k] = m
     unstage(rows)
     return model
