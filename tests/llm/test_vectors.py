@@ -72,3 +72,16 @@ def test_sql_says_the_same():
     rows = con.execute("SELECT vec_id, label, embedding FROM embeddings").fetchall()
     got = con.execute("SELECT vec_id, n_links, component_id, kept FROM (" + ORACLES["op4_embedding_near_dedup"] + ")").fetchall()
     assert sorted((repr(a), *rest) for a, *rest in got) == brute(rows)
+
+
+def test_size_changes_no_method(spark, monkeypatch):
+    """A label that would have been cut into cells is compared whole."""
+    def cut(*_):
+        return 8, 1
+    monkeypatch.setattr(vectors, "grid", cut)
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((150, 16))
+    near = base + rng.standard_normal(base.shape) * 0.02 * np.linalg.norm(base, axis=1)[:, None]
+    rows = [(i, 0, [float(e) for e in np.float32(x)]) for i, x in enumerate(np.concatenate([base, near]))]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    assert result(vectors.near_duplicates(df, block_rows=64)) == brute(rows)

@@ -8,9 +8,10 @@ least as many collisions as a pair of cosine t reaches with probability ``recall
 (a binomial tail) are verified by their exact cosine.
 
 Equal vectors of a label are one class, found by grouping; only classes are
-compared, and copies count through their class's size. While the largest label has at
-most ``cell_rows`` classes, all its classes are compared, block against block.
-Beyond, ``tables`` of grid cells over further projections cut it: the number of grid
+compared, and copies count through their class's size. All classes of a label are
+compared, block against block, whatever its size: the work is quadratic in a label's
+distinct vectors, spread over the pairs of blocks. Only a caller that names ``cell_rows``
+gets ``tables`` of grid cells over further projections for labels beyond it: the number of grid
 directions follows the label's size and the number of tables the wanted recall. A cell
 of any size is cut into blocks, and every pair of blocks is a group of its own, so no
 group grows with the data.
@@ -83,10 +84,12 @@ def grid(largest: int, cell_rows: int, recall: float, width: float, r: float) ->
 
 
 def class_links(classes: DataFrame, threshold: float, projections: int, half_width: float, recall: float, block_rows: int,
-                cell_rows: int, width: float = 0.8) -> DataFrame:
+                cell_rows: int | None, width: float = 0.8) -> DataFrame:
     """Distinct (u, v, cu, cv): linked classes by id, u < v, and their sizes."""
-    largest = classes.groupBy("label", F.size("x").alias("dim")).count().agg(F.max("count")).first()[0] or 0
-    g, tables = grid(largest, cell_rows, recall, width, math.sqrt(max(0.0, 2 - 2 * threshold)))
+    g, tables = 0, 1
+    if cell_rows is not None:
+        largest = classes.groupBy("label", F.size("x").alias("dim")).count().agg(F.max("count")).first()[0] or 0
+        g, tables = grid(largest, cell_rows, recall, width, math.sqrt(max(0.0, 2 - 2 * threshold)))
     rows = classes.select("id", "copies", "label", "x", F.size("x").alias("dim"))
     if g == 0:
         cells = rows.withColumn("cell", F.lit("0"))
@@ -128,7 +131,7 @@ def class_links(classes: DataFrame, threshold: float, projections: int, half_wid
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                     threshold: float = 0.98, projections: int = 16, half_width: float = 2.0, recall: float = 0.999,
-                    block_rows: int = 1024, cell_rows: int = 20_000) -> DataFrame:
+                    block_rows: int = 1024, cell_rows: int | None = None) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept.
 
     Only vectors of one label that is not NULL are compared. A vector that is NULL, empty, zero
