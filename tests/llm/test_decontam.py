@@ -83,3 +83,19 @@ def test_blocks_find_all_within_radius():
         fp = ix.fps[rng.integers(300)] ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 20), replace=False)))
         want = [i for i, x in enumerate(ix.fps) if bin(int(x ^ fp)).count("1") <= 15]
         assert sorted(ix.near(fp).tolist()) == want
+
+
+def test_slices_change_no_similarity(spark):
+    """Weights follow the whole benchmark, however many slices it makes."""
+    w = [f"w{i}" for i in range(400)]
+    common = " ".join(w[300:320])               # in many items, so its shingles weigh little
+    items = [(i, " ".join(w[10 * i:10 * i + 30]) + " " + common) for i in range(12)] + [(90, common + " " + " ".join(w[:9]))]
+    docs = [(i, "a b c " + t.replace(f"w{10 * i + 1} ", "x ", 1) + " d e f") for i, t in items] + [(200, None), (201, common)]
+    docs += [(300 + i, " ".join(["q"] + t.split()[3:])) for i, t in items]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = as_dict(decontam.leaks(d, b))
+    assert want == brute(docs, items)
+    assert as_dict(decontam.leaks(d, b, slice_bytes=300)) == want
+    kept = decontam.decontaminate(d, b, slice_bytes=300)
+    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {x for x, _ in docs} - {x for x, _ in want}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, col, mix64, text_buffer
+from .common import Words, col, mix64, stage, text_buffer
 
 BLOCKS, BITS = 4, 16
 _MUL = np.uint64(0xD6E8FEB86659FD93)
@@ -57,7 +57,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], df: dict[int, int], n_items: int, shingle: int,
                  threshold: float, radius: int):
-        self.k, self.threshold, self.radius = shingle, threshold, radius
+        self.k, self.threshold, self.radius, self.elsewhere = shingle, threshold, radius, None
         by_text: dict[tuple, list[int]] = {}
         texts = [t for _, t in items]
         data, off = text_buffer(pa.array(texts, pa.large_string()))
@@ -97,10 +97,12 @@ class Index:
             self.blocks.append((o, np.searchsorted(v[o], np.arange((1 << BITS) + 1, dtype=np.uint64))))
 
     def weigh(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.full(len(h), self.top)
-        i = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.where(self.keys[i] == h, self.weight[i], self.top)
+        out = np.full(len(h), self.top)
+        for keys, weight in ((self.keys, self.weight), *([self.elsewhere] if self.elsewhere else [])):
+            if len(keys):
+                i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                out = np.where(keys[i] == h, weight[i], out)
+        return out
 
     def near(self, fp: np.uint64) -> np.ndarray:
         """All items within the radius of ``fp``, by the blocks."""
@@ -124,9 +126,11 @@ class Index:
         low = np.minimum(wu[a], iw[b]).sum()
         return float(low / (wu.sum() + iw.sum() - low))
 
-    def search(self, col) -> list[tuple[int, int, int, int, float]]:
+    def search(self, col, elsewhere: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int, int, int, float]]:
         """(text, item, first word, words, similarity) for every item that a text
-        holds, with the best window (the first of equals)."""
+        holds, with the best window (the first of equals). ``elsewhere``: shingles of the
+        texts that other slices hold, ascending, and their weights."""
+        self.elsewhere = elsewhere if elsewhere is not None and len(elsewhere[0]) else None
         w = Words(*text_buffer(col))
         h, ok = shingle_hashes(w, self.k)
         if not len(h) or not len(self.keys):
@@ -154,23 +158,89 @@ class Index:
         return [(d, item_id, s, m, sim) for (d, c), (sim, s, m) in sorted(best.items()) for item_id in self.ids[c]]
 
 
-def indexes(benchmark: DataFrame, shingle: int, threshold: float, radius: int, slice_bytes: int):
-    """One broadcast index after another. The number of slices follows the measured
-    size of the benchmark, so that a broadcast stays within ``slice_bytes`` of text
-    (one longer item makes a slice of its own)."""
-    items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // slice_bytes))
-    sc = benchmark.sparkSession.sparkContext
-    for s in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == s)
-        rows = [(r.item_id, r.text) for r in part.collect()]
-        w = Words(*text_buffer(pa.array([t for _, t in rows], pa.large_string())))
-        h, ok = shingle_hashes(w, shingle)
-        # in how many of the slice's items a shingle occurs
-        pairs = np.unique(np.stack([h[ok], w.doc[:len(h)][ok].astype(np.uint64)], axis=1), axis=0) if len(h) else np.empty((0, 2), np.uint64)
-        keys, cnt = np.unique(pairs[:, 0], return_counts=True)
-        yield sc.broadcast(Index(rows, dict(zip(keys.tolist(), cnt.tolist())), max(1, len(rows)), shingle, threshold, radius))
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select("item_id", "text").where("item_id is not null and text is not null")
+
+
+def _item_shingles(items: DataFrame, k: int) -> DataFrame:
+    """``h``: each item's distinct shingles."""
+    def run(batches):
+        for b in batches:
+            w = Words(*text_buffer(b.column(0)))
+            h, ok = shingle_hashes(w, k)
+            pairs = np.unique(np.stack([w.doc[:len(h)][ok].astype(np.uint64), h[ok]], axis=1), axis=0) if len(h) else np.empty((0, 2), np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1].view(np.int64) if len(pairs) else np.empty(0, np.int64))], names=["h"])
+    return items.select("text").mapInArrow(run, "h long")
+
+
+class Slices:
+    """The benchmark cut into slices of about ``slice_bytes`` of text (one longer item makes
+    a slice of its own). Shingle counts and the number of items are those of the whole
+    benchmark, so no weight depends on the cut."""
+
+    def __init__(self, benchmark: DataFrame, shingle: int, slice_bytes: int):
+        self.items, self.k = _items(benchmark), shingle
+        size = self.items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+        self.n_items, self.n = max(1, size.n), max(1, -(-(size.bytes or 0) // slice_bytes))
+        self.counts = stage(_item_shingles(self.items, shingle).groupBy("h").agg(F.count("*").alias("n")), "shingles")
+
+    def indexes(self, threshold: float, radius: int):
+        """One broadcast index after another."""
+        sc = self.items.sparkSession.sparkContext
+        for s in range(self.n):
+            part = self.items if self.n == 1 else self.items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(self.n)) == s)
+            rows = [(r.item_id, r.text) for r in part.collect()]
+            counts = self.counts
+            if self.n > 1:
+                counts = counts.join(_item_shingles(part, self.k).distinct(), "h")
+            t = counts.toArrow()
+            df = dict(zip(t.column("h").to_numpy().view(np.uint64).tolist(), t.column("n").to_pylist()))
+            yield sc.broadcast(Index(rows, df, self.n_items, self.k, threshold, radius))
+
+    def with_weights(self, docs: DataFrame, at: int) -> DataFrame:
+        """``docs`` with ``_benchmark_shingles``, bytes of the (hash, items) pairs of a text's shingles that
+        several items of the benchmark have (one item's weigh as foreign ones): a slice's
+        index lacks those of the other slices. Narrow, a broadcast slice of the table after another."""
+        schema = T.StructType([*docs.schema.fields, T.StructField("_benchmark_shingles", T.BinaryType())])
+        docs = docs.withColumn("_benchmark_shingles", F.lit(b""))
+        several = self.counts.where("n > 1")
+        for s in range(self.n):
+            t = several.where(F.pmod("h", F.lit(self.n)) == s).orderBy(F.col("h") < 0, "h").toArrow()      # as unsigned numbers
+            table = docs.sparkSession.sparkContext.broadcast((t.column("h").to_numpy().view(np.uint64), t.column("n").to_numpy()))
+            docs = docs.mapInArrow(self._add(table, at), schema)
+        return docs
+
+    def _add(self, table, at: int):
+        k = self.k
+
+        def run(batches):
+            keys, counts = table.value
+            for b in batches:
+                found = b.column(b.num_columns - 1).to_pylist()
+                w = Words(*text_buffer(b.column(at)))
+                h, ok = shingle_hashes(w, k)
+                if len(h) and len(keys):
+                    i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                    hit = np.flatnonzero(ok & (keys[i] == h))
+                    i, doc = i[hit], w.doc[hit]
+                    cut = np.flatnonzero(np.diff(doc)) + 1
+                    for d, one in zip(doc[np.append(0, cut)] if len(doc) else [], np.split(i, cut)):
+                        one = np.unique(one)
+                        found[d] += np.stack([keys[one], counts[one].astype(np.uint64)], axis=1).tobytes()
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.binary())], names=b.schema.names)
+        return run
+
+    def elsewhere(self):
+        """From a batch's ``_benchmark_shingles`` (None: nothing lies elsewhere) to what ``Index.search`` takes."""
+        n_items = self.n_items
+
+        def table(col):
+            if col is None:
+                return None
+            pairs = np.frombuffer(b"".join(col.to_pylist()), np.uint64).reshape(-1, 2)
+            keys, first = np.unique(pairs[:, 0], return_index=True)
+            return keys, np.log1p(n_items / pairs[first, 1].astype(float))
+        return table
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -183,12 +253,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     a NULL id is reported with it; other columns are ignored; empty tables give an
     empty result."""
     src = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
+    slices = Slices(benchmark, shingle, slice_bytes)
+    several, elsewhere = slices.n > 1, slices.elsewhere()
+    src = slices.with_weights(src, 1) if several else src
     schema = T.StructType([T.StructField(id_col, src.schema["_id"].dataType), *T._parse_datatype_string(RESULT).fields])
     out = None
-    for index in indexes(benchmark, shingle, threshold, radius, slice_bytes):
+    for index in slices.indexes(threshold, radius):
         def run(batches, index=index):
             for b in batches:
-                found = index.value.search(b.column(1))
+                found = index.value.search(b.column(1), elsewhere(b.column(2) if several else None))
                 if found:
                     d, item, s, m, sim = zip(*found)
                     yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(d, pa.int64())), pa.array(item, pa.int64()),
@@ -202,11 +275,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", shingle: int = 5,
                   threshold: float = 0.8, radius: int = 15, slice_bytes: int = 32 << 20) -> DataFrame:
     """``docs`` without the rows that :func:`leaks` reports; nothing is shuffled."""
-    at = docs.columns.index(text_col)
-    for index in indexes(benchmark, shingle, threshold, radius, slice_bytes):
+    at, names = docs.columns.index(text_col), docs.columns
+    slices = Slices(benchmark, shingle, slice_bytes)
+    several, elsewhere = slices.n > 1, slices.elsewhere()
+    docs = slices.with_weights(docs, at) if several else docs
+    for index in slices.indexes(threshold, radius):
         def run(batches, index=index):
             for b in batches:
-                bad = {x[0] for x in index.value.search(b.column(at))}
+                bad = {x[0] for x in index.value.search(b.column(at), elsewhere(b.column(b.num_columns - 1) if several else None))}
                 yield b.filter(pa.array([i not in bad for i in range(b.num_rows)], pa.bool_())) if bad else b
         docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.select(*[col(c) for c in names])
