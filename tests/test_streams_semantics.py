@@ -54,3 +54,32 @@ def test_time_rank_chunked_equals_window(spark):
     small = with_entity_windows(times, build, "_one", "snapshot_time", lookback=0, chunk_rows=37, bucket="hour")
     assert small.join(ref, "snapshot_time").filter("snap_rank <> r").count() == 0
     assert snapshots.time_rank(t).join(ref, "snapshot_time").filter("snap_rank <> r").count() == 0
+
+
+def test_symbols_share_state_keys(spark, tmp_path):
+    """Many symbols, few state keys: steps stay each symbol's own over several batches, also late in order."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    rows = [(f"S{i % 40}" if i % 41 else None, 1_700_000_000 + int(t), float(p))
+            for i, (t, p) in enumerate(zip(rng.permutation(4000) * 60, rng.integers(0, 9, 4000)))]
+    df = spark.createDataFrame(rows, "symbol string, t long, price double").selectExpr("symbol", "timestamp_seconds(t) as snapshot_time", "price")
+    src = str(tmp_path / "in")
+    for k in range(3):
+        df.where(f"int(unix_seconds(snapshot_time) / 80000) % 3 = {k}").coalesce(1).write.mode("append").parquet(src)
+    from tidemark.streaming import streams
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 3).parquet(src)
+    out = streams.stream_step_features(stream, buckets=3)
+    (out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "chk")).option("path", str(tmp_path / "out"))
+     .trigger(availableNow=True).start().awaitTermination())
+    got = spark.read.parquet(str(tmp_path / "out"))
+    limit = max(t for _, t, _ in rows) - 3600
+    want, ema = {}, {}
+    last = {}
+    for s, t, p in sorted(rows, key=lambda r: r[1]):
+        if t <= limit:
+            prev = last.get(s)
+            ema[s] = p if s not in ema else ema[s] * (1 - 2 / 13) + p * (2 / 13)
+            want[s, t] = (p, prev, prev is not None and (p > 0 if prev == 0 else p / prev - 1 > 0.1), round(ema[s], 9))
+            last[s] = p
+    assert {(r.symbol, r.t): (r.price, r.prev_price, r.is_price_spike, round(r.ema_12, 9)) for r in
+            got.selectExpr("*", "unix_seconds(snapshot_time) t").collect()} == want

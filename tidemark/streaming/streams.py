@@ -7,11 +7,11 @@ same logic runs as streams over landing folders:
   ``dropDuplicatesWithinWatermark`` on the natural key (first copy wins, as
   insert-ignore) → append to the date-partitioned store.
 * S2 ``stream_ohlc``: tumbling event-time windows with a watermark.
-* S3/S4 ``stream_step_features``: keyed state per symbol
+* S3/S4 ``stream_step_features``: keyed state of symbols
   (``applyInPandasWithState``): rows are buffered until the watermark passes
   them, then emitted in time order with the one-step return flags and the
-  recursive EMA carried from the previous row. State per key is the pending
-  rows plus three numbers.
+  recursive EMA carried from the previous row. Symbols share state keys by hash
+  (``STEP_BUCKETS``); a key's state is the pending rows and each symbol's last price and EMA.
 * S5 ``stream_future_guard``: drop rows stamped after "now" *before* the
   watermark, so one bad clock cannot make every later row late.
 * S6 ``refresh_batch``: ``foreachBatch`` body that stores the micro-batch and
@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,74 +70,74 @@ STEP_OUT = T.StructType([
     T.StructField("ema_12", T.DoubleType()),
 ])
 STEP_STATE = T.StructType([
-    T.StructField("pend_t", T.ArrayType(T.LongType())), T.StructField("pend_p", T.ArrayType(T.DoubleType())),
-    T.StructField("last_p", T.DoubleType()), T.StructField("ema", T.DoubleType()),
-    T.StructField("seen", T.BooleanType()),
+    T.StructField("pend_s", T.ArrayType(T.StringType())), T.StructField("pend_t", T.ArrayType(T.LongType())),
+    T.StructField("pend_p", T.ArrayType(T.DoubleType())), T.StructField("last_s", T.ArrayType(T.StringType())),
+    T.StructField("last_p", T.ArrayType(T.DoubleType())), T.StructField("ema", T.ArrayType(T.DoubleType())),
 ])
+STEP_BUCKETS = 4096     # state keys: symbols share one by hash, as a call per key costs more than its rows
 
 
-def _flag_below(cur, prev, thr):
-    if prev is None or cur is None or (isinstance(prev, float) and math.isnan(prev)):
-        return False
-    if prev == 0:
-        return cur < 0
-    return cur / prev - 1 < thr
-
-
-def _flag_above(cur, prev, thr):
-    if prev is None or cur is None or (isinstance(prev, float) and math.isnan(prev)):
-        return False
-    if prev == 0:
-        return cur > 0
-    return cur / prev - 1 > thr
+def _step_flags(cur: np.ndarray, prev: np.ndarray, drop: float, rise: float) -> tuple[np.ndarray, np.ndarray]:
+    """Crash and spike flags; nothing is flagged after a missing price (NaN)."""
+    with np.errstate(all="ignore"):
+        step = cur / prev - 1
+        zero = prev == 0
+        return np.where(zero, cur < 0, step < drop), np.where(zero, cur > 0, step > rise)
 
 
 def _step_state_fn(drop: float, rise: float, alpha: float):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            pend_t, pend_p, last_p, ema, seen = state.get
-            pend_t, pend_p = list(pend_t or []), list(pend_p or [])
-        else:
-            pend_t, pend_p, last_p, ema, seen = [], [], None, None, False
-        for pdf in pdfs:
-            pend_t.extend(pdf["_us"].astype("int64").tolist())
-            pend_p.extend(pdf["price"].astype(float).tolist())
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        order = sorted(range(len(pend_t)), key=lambda i: pend_t[i])
-        out_rows, keep_t, keep_p = [], [], []
-        for i in order:
-            t, p = pend_t[i], pend_p[i]
-            if t <= wm_us:
-                prev = last_p
-                ema = p if not seen else (ema * (1.0 - alpha) + p * alpha)
-                out_rows.append((key[0], t, p, prev, _flag_below(p, prev, drop), _flag_above(p, prev, rise), ema))
-                last_p, seen = p, True
-            else:
-                keep_t.append(t)
-                keep_p.append(p)
-        if state.hasTimedOut and not keep_t:
-            state.remove()
-        else:
-            state.update((keep_t, keep_p, last_p, ema, seen))
-            if keep_t:
-                state.setTimeoutTimestamp(max(min(keep_t) // 1000, state.getCurrentWatermarkMs() + 1))
-        if out_rows:
-            df = pd.DataFrame(out_rows, columns=[f.name for f in STEP_OUT.fields])
-            df["snapshot_time"] = pd.to_datetime(df["snapshot_time"], unit="us")  # naive UTC (session zone)
-            yield df
+        pend_s, pend_t, pend_p, last_s, last_p, last_e = (x or [] for x in state.get) if state.exists else ([],) * 6
+        parts = [(np.array(pend_s, object), np.array(pend_t, np.int64), np.array(pend_p, float))]
+        parts += [(f["symbol"].to_numpy(object), f["_us"].to_numpy(np.int64), f["price"].to_numpy(float)) for f in pdfs]
+        names, times, prices = (np.concatenate(x) for x in zip(*parts))
+        codes, symbols = pd.factorize(np.concatenate([np.array(last_s, object), names]), use_na_sentinel=False)
+        # each symbol's newest emitted price and EMA; the state's symbols have the first codes
+        known = len(last_s)
+        prev_p = np.concatenate([np.array(last_p, float), np.full(len(symbols) - known, np.nan)])
+        prev_e = list(last_e) + [None] * (len(symbols) - known)
+        codes = codes[known:]
+        order = np.lexsort((times, codes))
+        passed = times[order] <= state.getCurrentWatermarkMs() * 1000
+        keep, order = np.sort(order[~passed]), order[passed]
+        out = None
+        if len(order):
+            c, t, p = codes[order], times[order], prices[order]
+            first = np.append(True, c[1:] != c[:-1])
+            prev = np.where(first, prev_p[c], np.append(np.nan, p[:-1]))
+            emas = []
+            for new, i, x in zip(first.tolist(), c.tolist(), p.tolist()):
+                ema = prev_e[i] if new else ema
+                ema = x if ema is None else ema * (1.0 - alpha) + x * alpha
+                emas.append(ema)
+            last = np.flatnonzero(np.append(first[1:], True))
+            prev_p[c[last]] = p[last]
+            for i, e in zip(c[last].tolist(), last.tolist()):
+                prev_e[i] = emas[e]
+            crash, spike = _step_flags(p, prev, drop, rise)
+            out = pd.DataFrame({"symbol": symbols[c], "snapshot_time": t.astype("datetime64[us]"), "price": p, "prev_price": prev,
+                                "is_flash_crash": crash, "is_price_spike": spike, "ema_12": emas}, copy=False)  # naive UTC (session zone)
+        seen = [i for i, e in enumerate(prev_e) if e is not None]
+        state.update((names[keep].tolist(), times[keep].tolist(), prices[keep].tolist(), [symbols[i] for i in seen],
+                      prev_p[seen].tolist(), [prev_e[i] for i in seen]))
+        if len(keep):
+            state.setTimeoutTimestamp(max(int(times[keep].min()) // 1000, state.getCurrentWatermarkMs() + 1))
+        if out is not None:
+            yield out
     return fn
 
 
 def stream_step_features(stream: DataFrame, delay: str = "1 hour", drop: float = FLASH_CRASH_DROP,
                          rise: float = PRICE_SPIKE_RISE, alpha: float = EMA_ALPHA, entity: str = "symbol",
-                         time: str = "snapshot_time", price: str = "price") -> DataFrame:
+                         time: str = "snapshot_time", price: str = "price", buckets: int = STEP_BUCKETS) -> DataFrame:
     """Per-symbol one-step flags and EMA, emitted in event-time order
     once the watermark passes each row."""
     s = (stream.select(F.col(entity).alias("symbol"), F.col(time).cast(T.TimestampType()).alias("snapshot_time"),
                        F.col(price).cast("double").alias("price"))
          .filter(F.col("price").isNotNull()).withWatermark("snapshot_time", delay)
          .withColumn("_us", F.unix_micros("snapshot_time")))
-    return s.groupBy("symbol").applyInPandasWithState(
+    s = s.withColumn("_bucket", F.pmod(F.xxhash64("symbol"), F.lit(buckets)))
+    return s.groupBy("_bucket").applyInPandasWithState(
         _step_state_fn(drop, rise, alpha), STEP_OUT, STEP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
